@@ -1,0 +1,37 @@
+"""Writing an intermediate frame once instead of computing it for each of its uses.
+
+The files are in the shared folder named by ``spark.checkpoint.dir``, so they outlive lost executors.
+They stay until the folder's owner clears them.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def staging_root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stakescore-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet and read it back, so that later uses prune columns and push filters."""
+    path = f"{staging_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lazy(df: DataFrame, name: str) -> DataFrame:
+    """Stage nothing: every use computes the frame again."""
+    return df

@@ -1,0 +1,158 @@
+"""Incremental runs: overlapping height batches, resume point and idempotent append.
+
+Labels look ahead by a validator's rows, which has no event-time form, so increments are bounded
+batches, all computed by one job, and not a stream.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stakescore.operators.quality import distinct_blocks, height_bounds
+from stakescore.params import ScoringParams
+from stakescore.plans.data_scoring import data_scoring, survey
+from stakescore.plans.staging import Stage, written
+from stakescore.schemas import HEIGHT, KEY
+
+
+@dataclass(frozen=True)
+class BatchPlan:
+    """Inclusive height batches ``[start + i * stride, ... + batch_size - 1]`` for ``i < whole``, then perhaps
+    one shorter batch ending at ``tail_end``. Consecutive batches overlap by the vote and label windows.
+    """
+
+    start: int
+    stride: int
+    batch_size: int
+    whole: int
+    tail_end: int | None
+    vote_proposed_win_size: int
+    combine_win_size: int
+    label_win_size: int
+
+    @staticmethod
+    def of(
+        start_block: int,
+        global_end_block: int,
+        batch_size: int,
+        vote_proposed_win_size: int,
+        combine_win_size: int,
+        label_win_size: int,
+        min_block: int,
+        strict: bool = False,
+    ) -> BatchPlan:
+        """``strict`` also skips a tail that would label exactly one bucket."""
+        v, c, ahead = vote_proposed_win_size, combine_win_size, label_win_size
+        if batch_size < v + c + ahead:
+            raise ValueError("batch_size must hold the vote, combine and label windows")
+        if ahead % c:
+            raise ValueError("label_win_size must be a multiple of combine_win_size")
+        if (batch_size - v + 1) % c:
+            raise ValueError("batch_size - vote_proposed_win_size + 1 must be a multiple of combine_win_size")
+        first = max(min_block, start_block - v + 1)
+        stride = batch_size - v - ahead + 1
+        whole, tail_end = 0, None
+        if start_block <= global_end_block:
+            room = global_end_block - (first + batch_size - 1)
+            whole = room // stride + 1 if room >= 0 else 0
+            tail_start = first + whole * stride
+            warm = global_end_block - tail_start + 1 - (v - 1)
+            size = warm // c * c + v - 1
+            if size >= v + c + ahead - (0 if strict else 1):
+                tail_end = tail_start + size - 1
+        return BatchPlan(first, stride, batch_size, whole, tail_end, v, c, ahead)
+
+    @property
+    def count(self) -> int:
+        return self.whole + (self.tail_end is not None)
+
+    def _end(self, batch):
+        end = F.lit(self.start + self.batch_size - 1).cast("bigint") + batch * self.stride
+        return end if self.tail_end is None else F.when(batch < self.whole, end).otherwise(F.lit(self.tail_end))
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """(batch_id, batch_start, batch_end)."""
+        batch = F.col("id")
+        return spark.range(self.count).select(
+            batch.alias("batch_id"),
+            (F.lit(self.start).cast("bigint") + batch * self.stride).alias("batch_start"),
+            self._end(batch).cast("bigint").alias("batch_end"),
+        )
+
+    def assign(self, panel: DataFrame) -> DataFrame:
+        """Every row once per batch that holds its height, as ``batch_id``. The batches of a height follow
+        from arithmetic, so nothing is joined or shuffled.
+        """
+        if not self.count:
+            return panel.withColumn("batch_id", F.lit(0).cast("bigint")).limit(0)
+        height = F.col(HEIGHT).cast("bigint")
+        reached = F.floor((height - self.start) / F.lit(self.stride))
+        left = F.floor((height - self.start - self.batch_size) / F.lit(self.stride))
+        first = F.greatest(left + 1, F.lit(0)).cast("bigint")
+        last = F.least(reached, F.lit(self.count - 1)).cast("bigint")
+        return (
+            panel.filter(F.col(HEIGHT) >= self.start)
+            .withColumn("batch_id", F.explode(F.when(first <= last, F.sequence(first, last))))
+            .filter(F.col(HEIGHT) <= self._end(F.col("batch_id")))
+        )
+
+
+def batch_coverage(plan: BatchPlan, panel: DataFrame) -> DataFrame:
+    """Per batch: the first and last height it labels, the number of labelled buckets of a validator without
+    gaps, and how many of those bucket starts the panel has.
+    """
+    v, c, ahead = plan.vote_proposed_win_size, plan.combine_win_size, plan.label_win_size
+    warm = F.col("batch_end") - F.col("batch_start") - v + 2
+    labelled = F.floor(warm / F.lit(c)) - ahead // c
+    batches = plan.frame(panel.sparkSession).select(
+        "*",
+        (F.col("batch_start") + v - 1).alias("first_label"),
+        labelled.alias("buckets"),
+    ).withColumn("last_label", F.col("first_label") + (F.col("buckets") - 1) * c)
+    starts = batches.select(
+        "batch_id", F.explode(F.sequence("first_label", "last_label", F.lit(c).cast("bigint"))).alias("_start")
+    )
+    heights = distinct_blocks(panel).select(F.col(HEIGHT).cast("bigint").alias("_start"), F.lit(1).alias("_hit"))
+    present = (
+        starts.join(heights, "_start", "left").groupBy("batch_id").agg(F.count("_hit").alias("present_buckets"))
+    )
+    return batches.join(present, "batch_id")
+
+
+def batched_scoring(
+    panel: DataFrame,
+    plan: BatchPlan,
+    params: ScoringParams,
+    stage: Stage = written,
+    top: DataFrame | None = None,
+) -> DataFrame:
+    """Labelled buckets of every batch, each scored on its own rows, in one job. The top set is that of the
+    survey window on the whole panel, computed once.
+    """
+    if top is None and params.top_validators is not None:
+        top = survey(panel, params, stage)
+    return data_scoring(plan.assign(panel), params, stage, scope=("batch_id",), top=top)
+
+
+def covers(panel: DataFrame, end_block: int) -> DataFrame:
+    """(max_height, covered): whether the source reaches ``end_block``."""
+    return height_bounds(panel).select("max_height", (F.col("max_height") >= end_block).alias("covered"))
+
+
+def resume_point(sink: DataFrame, panel: DataFrame, start_block: int, combine_win_size: int) -> DataFrame:
+    """(resume_start, global_end): the first unlabelled bucket after what the sink holds, or ``start_block``
+    for an empty sink, and the panel's last height.
+    """
+    done = sink.agg(F.max(HEIGHT).alias("_last"))
+    end = panel.agg(F.max(HEIGHT).alias("_end"))
+    return done.select(
+        F.coalesce(F.col("_last") + combine_win_size, F.lit(start_block)).alias("resume_start"),
+        end.scalar().alias("global_end"),
+    )
+
+
+def append_dedup(new: DataFrame, sink: DataFrame) -> DataFrame:
+    """The rows whose key the sink does not hold yet."""
+    return new.join(sink.select(*KEY), list(KEY), "left_anti")
