@@ -20,7 +20,7 @@ from stakescore.catalog.panels import (
 from stakescore.operators import labeling, quality, scoring
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as scoring_plan
-from stakescore.plans.staging import staging_root, written
+from stakescore.staging import staging_root, written
 from stakescore.schemas import HEIGHT, KEY, OPERATOR
 from stakescore.sources import files
 from stakescore.streaming import backfill
@@ -41,8 +41,13 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select([column(f) for f in df.schema])
 
 
+def _panel(spark, sf_dir):
+    """The weekly panel as a table, for plans that read it more than once."""
+    return written(weekly_panel(spark, sf_dir), "panel")
+
+
 def _preprocessed(spark, sf_dir):
-    return scoring.preprocess(weekly_panel(spark, sf_dir))
+    return scoring.preprocess(_panel(spark, sf_dir), stage=written)
 
 
 def _powered(spark, sf_dir):
@@ -54,12 +59,13 @@ def _commissioned(spark, sf_dir):
 
 
 def _bonded(spark, sf_dir):
-    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level)
+    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level, stage=written)
 
 
 def _active(spark, sf_dir):
     return scoring.vote_proposed_score(
-        _bonded(spark, sf_dir), TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK
+        written(_bonded(spark, sf_dir), "bonded"),
+        TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK, stage=written,
     )
 
 
@@ -69,7 +75,7 @@ def _scored(spark, sf_dir):
 
 def _score_table(spark, sf_dir):
     """The staged score table that survey, buckets and labels read."""
-    scored = scoring_plan.score_panel(weekly_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
+    scored = scoring_plan.score_panel(_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
     return written(scored, "scores")
 
 
@@ -85,15 +91,15 @@ def _buckets(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return scoring_plan.data_scoring(weekly_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
+    return scoring_plan.data_scoring(_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
 
 
 def _sink(spark, sf_dir):
     return schemas.project(_labelled(spark, sf_dir), schemas.BLOCK_LABEL_SCHEMA)
 
 
-def _batches(spark, sf_dir) -> backfill.BatchPlan:
-    bounds = quality.height_bounds(weekly_panel(spark, sf_dir)).first()
+def _batches(panel) -> backfill.BatchPlan:
+    bounds = quality.height_bounds(panel).first()
     return backfill.BatchPlan.of(
         bounds.min_height + TEST.vote_proposed_win_size - 1, bounds.max_height, TEST_BATCH_SIZE,
         TEST.vote_proposed_win_size, TEST.combine_win_size, TEST.label_win_size, bounds.min_height,
@@ -134,7 +140,8 @@ def vote_points(spark, sf_dir):
 
 
 def moving_vote_sum(spark, sf_dir):
-    return scoring.moving_vote_sum(vote_points(spark, sf_dir), TEST.vote_proposed_win_size, chunk=TEST_CHUNK)
+    points = written(vote_points(spark, sf_dir), "points")
+    return scoring.moving_vote_sum(points, TEST.vote_proposed_win_size, chunk=TEST_CHUNK)
 
 
 def vote_proposed_score(spark, sf_dir):
@@ -193,15 +200,17 @@ def key_violations(spark, sf_dir):
 
 
 def batch_intervals(spark, sf_dir):
-    return _batches(spark, sf_dir).frame(spark)
+    return _batches(weekly_panel(spark, sf_dir)).frame(spark)
 
 
 def batch_coverage(spark, sf_dir):
-    return backfill.batch_coverage(_batches(spark, sf_dir), weekly_panel(spark, sf_dir))
+    panel = weekly_panel(spark, sf_dir)
+    return backfill.batch_coverage(_batches(panel), panel)
 
 
 def batched_scoring(spark, sf_dir):
-    return backfill.batched_scoring(weekly_panel(spark, sf_dir), _batches(spark, sf_dir), test_params(sf_dir))
+    panel = _panel(spark, sf_dir)
+    return backfill.batched_scoring(panel, _batches(panel), test_params(sf_dir))
 
 
 def covers(spark, sf_dir):
@@ -216,10 +225,11 @@ def resume_point(spark, sf_dir):
 
 def append_dedup(spark, sf_dir):
     """The labels of the whole history, after a run over the history up to the survey's end."""
-    panel, params = weekly_panel(spark, sf_dir), test_params(sf_dir)
+    panel, params = _panel(spark, sf_dir), test_params(sf_dir)
     history = files.range_scan(panel, 0, TEST.end_block)
     sink = scoring_plan.data_scoring(history, params, chunk=TEST_CHUNK)
-    return backfill.append_dedup(_labelled(spark, sf_dir), sink).select(*KEY, "score", "label")
+    labelled = scoring_plan.data_scoring(panel, params, chunk=TEST_CHUNK)
+    return backfill.append_dedup(labelled, sink).select(*KEY, "score", "label")
 
 
 def csv_roundtrip(spark, sf_dir):

@@ -2,7 +2,12 @@
 
 ``scope`` names extra key columns (a batch id) that separate independent panels in one frame.
 Keys (scope, block_height, operator_address) must be unique and not null; ``quality.key_violations``
-finds those that are not. ``plans.data_scoring`` computes the same result with fewer shuffles.
+finds those that are not.
+
+Operators that attach block values use their input twice. ``stage`` tells what to do with the frames that
+would be computed again: ``staging.written`` writes them once, ``staging.lazy`` leaves it all to the final
+action. When chaining operators, stage their results too; ``plans.data_scoring`` computes the whole chain
+with fewer shuffles.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from stakescore.functions import scores
 from stakescore.operators.chunked import CHUNK, trailing_sum
 from stakescore.operators.skew import attach_by_key
 from stakescore.schemas import HEIGHT, OPERATOR
+from stakescore.staging import Stage, lazy
 
 
 def block_totals() -> dict[str, Column]:
@@ -52,9 +58,9 @@ def clean(df: DataFrame) -> DataFrame:
     })
 
 
-def preprocess(df: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+def preprocess(df: DataFrame, scope: Sequence[str] = (), stage: Stage = lazy) -> DataFrame:
     """``clean`` plus the block's validator count, total tokens and total self-bond on every row."""
-    return attach_to_blocks(clean(df), block_table(df, block_totals(), scope), scope)
+    return attach_to_blocks(clean(df), stage(block_table(df, block_totals(), scope), "totals"), scope)
 
 
 def voting_power_score(df: DataFrame) -> DataFrame:
@@ -72,9 +78,11 @@ def commission_score(df: DataFrame, accept_rate: float) -> DataFrame:
     return df.withColumn("commission_score", scores.commission(F.col("commission_rate"), accept_rate))
 
 
-def self_bonded_score(df: DataFrame, concentration_level: float, scope: Sequence[str] = ()) -> DataFrame:
+def self_bonded_score(
+    df: DataFrame, concentration_level: float, scope: Sequence[str] = (), stage: Stage = lazy
+) -> DataFrame:
     """Self-bond excess as a fraction of the block's largest; null where that is 0."""
-    largest = block_table(df, {"_largest_bond": F.max("self_bonded")}, scope)
+    largest = stage(block_table(df, {"_largest_bond": F.max("self_bonded")}, scope), "bonds")
     block = (F.col("total_self_bonded_amt_per_block"), F.col("validators_count_per_block"), concentration_level)
     return (
         attach_to_blocks(df, largest, scope)
@@ -112,13 +120,15 @@ def vote_proposed_score(
     vote_proposed_win_size: int,
     scope: Sequence[str] = (),
     chunk: int = CHUNK,
+    stage: Stage = lazy,
 ) -> DataFrame:
     """Drop rows with any null (warm-up rows among them) and add the activity sum as a fraction of the
     block's largest among the remaining rows; null where that is 0.
     """
     points = vote_points(df, vote_score, propose_score)
-    kept = moving_vote_sum(points, vote_proposed_win_size, scope, chunk).drop("vote_propose_point").na.drop()
-    largest = block_table(kept, {"_largest_sum": F.max("vote_propose_score")}, scope)
+    summed = moving_vote_sum(points, vote_proposed_win_size, scope, chunk).drop("vote_propose_point")
+    kept = stage(summed.na.drop(), "sums")
+    largest = stage(block_table(kept, {"_largest_sum": F.max("vote_propose_score")}, scope), "largest-sums")
     return (
         attach_to_blocks(kept, largest, scope)
         .withColumn("vote_propose_score", F.try_divide("vote_propose_score", "_largest_sum"))

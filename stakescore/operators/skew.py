@@ -21,13 +21,17 @@ ROWS_PER_PART = 1_000_000
 HEAVY_KEYS = 100_000
 
 
+def parts_of(weight: Column, rows_per_part: int) -> Column:
+    return F.ceil(weight / F.lit(rows_per_part)).cast("int")
+
+
 def heavy_keys(values: DataFrame, keys: Sequence[str], weight: str, rows_per_part: int, limit: int) -> DataFrame:
     """The at most ``limit`` heaviest keys above ``rows_per_part`` rows, with their number of parts."""
     return (
         values.filter(F.col(weight) > rows_per_part)
         .orderBy(F.desc(weight), *keys)
         .limit(limit)
-        .select(*keys, F.ceil(F.col(weight) / F.lit(rows_per_part)).cast("int").alias("_parts"))
+        .select(*keys, parts_of(F.col(weight), rows_per_part).alias("_parts"))
     )
 
 
@@ -47,15 +51,13 @@ def attach_by_key(
     ``spread_by`` are columns of ``rows`` that vary within a key. ``how`` is inner, left or left_semi.
     """
     keys = list(keys)
-    # At most `limit` narrow rows, so the broadcast does not grow with the data.
+    # At most `limit` narrow rows, so the broadcast does not grow with the data. Rows of any other key
+    # take part 0, which every key has.
     heavy = F.broadcast(heavy_keys(values, keys, weight, rows_per_part, limit))
+    parts = F.col("_parts")
+    part = F.when(parts.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
+    every_part = F.sequence(F.lit(0), F.greatest(parts_of(F.col(weight), rows_per_part) - 1, F.lit(0)))
 
-    def part_of(parts: Column) -> Column:
-        return F.when(parts.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
-
-    every_part = F.when(F.col("_parts").isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col("_parts") - 1)
-    )
-    spread = rows.join(heavy, keys, "left").withColumn("_part", part_of(F.col("_parts"))).drop("_parts")
-    repeated = values.join(heavy, keys, "left").withColumn("_part", F.explode(every_part)).drop("_parts", weight)
+    spread = rows.join(heavy, keys, "left").withColumn("_part", part).drop("_parts")
+    repeated = values.withColumn("_part", F.explode(every_part)).drop(weight)
     return spread.join(repeated, [*keys, "_part"], how).drop("_part")

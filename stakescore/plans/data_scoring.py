@@ -6,7 +6,7 @@ from one aggregation: the largest self-bond excess is the excess of the largest
 block either no row or every complete warmed-up row survives the null drop. So:
 
 1. one shuffle by (validator, chunk) gives the activity sums; the rows are staged,
-2. one aggregation by block gives all block values,
+2. one aggregation by block gives all block values; staged too, so their size is known to later joins,
 3. the survey reads the survey heights only and gives the top set,
 4. the top validators' rows take the block values in one join and are scored, bucketed and labelled.
 """
@@ -21,7 +21,7 @@ from stakescore.functions import scores
 from stakescore.operators import labeling, scoring
 from stakescore.operators.chunked import CHUNK, trailing_sum
 from stakescore.params import ScoringParams
-from stakescore.plans.staging import Stage, written
+from stakescore.staging import Stage, written
 from stakescore.schemas import HEIGHT, OPERATOR, PANEL_COLUMNS
 
 
@@ -83,17 +83,20 @@ def scored_rows(rows: DataFrame, blocks: DataFrame, params: ScoringParams, scope
 def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
     """The top validators of the survey window, from the panel up to its end (no score looks ahead)."""
     history = panel.filter(F.col(HEIGHT) <= params.end_block)
-    rows = stage(activity_rows(history, params, chunk=chunk), "survey")
-    in_window = F.col(HEIGHT) >= params.start_block
-    recent = rows.filter(in_window)
-    scored = scored_rows(recent, block_values(recent, params), params)
+    rows = stage(activity_rows(history, params, chunk=chunk), "survey").filter(F.col(HEIGHT) >= params.start_block)
+    return _surveyed(rows, stage(block_values(rows, params), "survey-blocks"), params)
+
+
+def _surveyed(rows: DataFrame, blocks: DataFrame, params: ScoringParams) -> DataFrame:
+    window = rows.filter(F.col(HEIGHT).between(params.start_block, params.end_block))
+    scored = scored_rows(window, blocks, params)
     return labeling.survey_top(scored, params.start_block, params.end_block, params.top_validators)
 
 
 def score_panel(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
     """Per-block scores of every validator (the ``validator_score`` table, before survey and buckets)."""
     rows = stage(activity_rows(panel, params, chunk=chunk), "activity")
-    return scored_rows(rows, block_values(rows, params), params)
+    return scored_rows(rows, stage(block_values(rows, params), "blocks"), params)
 
 
 def data_scoring(
@@ -108,15 +111,14 @@ def data_scoring(
     ``params.top_validators`` rows; with ``scope`` (independent batches) it must be given, or no top asked.
     """
     rows = stage(activity_rows(panel, params, scope, chunk), "activity")
-    blocks = block_values(rows, params, scope)
+    blocks = stage(block_values(rows, params, scope), "blocks")
     kept = rows
     if params.top_validators is not None:
         if top is None:
             if scope:
                 raise ValueError("a survey over batches is not defined: pass top")
-            window = rows.filter(F.col(HEIGHT).between(params.start_block, params.end_block))
-            surveyed = scored_rows(window, block_values(window, params), params)
-            top = labeling.survey_top(surveyed, params.start_block, params.end_block, params.top_validators)
+            top = _surveyed(rows, blocks, params)
+        # A top set computed twice could differ in the last bits of its means.
         kept = labeling.keep_validators(rows, stage(top, "top"), params.top_validators)
     scored = scored_rows(kept, blocks, params, scope)
     buckets = labeling.combine_data(scored, params.combine_win_size, scope, chunk)

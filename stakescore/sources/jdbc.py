@@ -62,6 +62,12 @@ def sampling(
     ).filter(F.col(HEIGHT).between(from_block, to_block))
 
 
+def height_bounds(spark: SparkSession, url: str, table: str, **settings) -> DataFrame:
+    """(min_height, max_height) of a table; the database aggregates."""
+    bounds = f"(SELECT min({HEIGHT}) AS min_height, max({HEIGHT}) AS max_height FROM {table}) AS bounds"
+    return query(spark, url, bounds, custom_schema=None, **settings)
+
+
 def sink_options(
     url: str,
     table: str,

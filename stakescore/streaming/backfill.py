@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stakescore.operators.quality import distinct_blocks, height_bounds
 from stakescore.params import ScoringParams
 from stakescore.plans.data_scoring import data_scoring, survey
-from stakescore.plans.staging import Stage, written
+from stakescore.staging import Stage, written
 from stakescore.schemas import HEIGHT, KEY
 
 
