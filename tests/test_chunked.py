@@ -1,0 +1,85 @@
+"""Chunked window operators against plain Python over irregular histories."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stakescore.operators.chunked import adjacent_gaps, chunk_of, forward_mean, row_numbers, trailing_sum
+from tests.conftest import rows_of
+
+
+def irregular(seed, groups=4, span=120):
+    rng = random.Random(seed)
+    return [
+        (f"v{g}", h, rng.randint(0, 8))
+        for g in range(groups)
+        for h in range(span)
+        if rng.random() < (0.15, 0.5, 0.9, 1.0)[g % 4]
+    ]
+
+
+@pytest.mark.parametrize("win, chunk", [(1, 7), (5, 1), (5, 3), (8, 64), (30, 11), (500, 16)])
+def test_trailing_sum_counts_heights_and_rows(spark, win, chunk):
+    rows = irregular(win * chunk)
+    df = spark.createDataFrame(rows, "v string, block_height int, p int")
+    got = rows_of(trailing_sum(df, "p", win, ["v"], "total", "position", chunk=chunk), "v", "block_height", "total", "position")
+    want = []
+    for v, h, _ in rows:
+        history = [(x, p) for w, x, p in rows if w == v and x <= h]
+        want.append((v, h, sum(p for x, p in history if x > h - win), len(history)))
+    assert got == sorted(want, key=repr)
+
+
+def test_trailing_sum_keeps_other_columns(spark):
+    df = spark.createDataFrame(
+        [("a", 3, 1, None, True), ("a", 1, 2, 1.5, None)], "v string, block_height int, p int, x double, b boolean"
+    )
+    got = trailing_sum(df, "p", 10, ["v"], "total", "position", chunk=2)
+    assert got.columns == ["v", "block_height", "p", "x", "b", "total", "position"]
+    assert rows_of(got, *got.columns) == [("a", 1, 2, 1.5, None, 2, 1), ("a", 3, 1, None, True, 3, 2)]
+
+
+def test_trailing_sum_near_the_largest_int(spark):
+    top = 2**31 - 1
+    df = spark.createDataFrame([("a", top - 1, 1), ("a", top, 1)], "v string, block_height int, p int")
+    assert rows_of(trailing_sum(df, "p", 2, ["v"], "t", "n"), "block_height", "t") == [(top - 1, 1), (top, 2)]
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 64, 1000])
+def test_row_numbers(spark, chunk):
+    rows = irregular(chunk)
+    df = spark.createDataFrame(rows, "v string, block_height int, p int")
+    want = [(v, h, sum(w == v and x <= h for w, x, _ in rows)) for v, h, _ in rows]
+    assert rows_of(row_numbers(df, ["v"], "n", chunk=chunk), "v", "block_height", "n") == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("size, chunk", [(0, 4), (1, 4), (3, 5), (12, 1), (200, 8)])
+def test_forward_mean(spark, size, chunk):
+    rng = random.Random(size)
+    series = {f"v{g}": [rng.choice([None, 1.0, 2.0, 5.0]) for _ in range(40 * g)] for g in range(1, 4)}
+    df = spark.createDataFrame(
+        [(v, i, x) for v, xs in series.items() for i, x in enumerate(xs)], "v string, i bigint, x double"
+    )
+    got = forward_mean(df, "x", size, ["v"], "i", "m", chunk=chunk)
+    want = []
+    for v, xs in series.items():
+        for i, x in enumerate(xs):
+            seen = [y for y in xs[i:i + size + 1] if y is not None]
+            far = xs[i + size] if i + size < len(xs) else None
+            want.append((v, i, x, None if far is None else pytest.approx(sum(seen) / len(seen))))
+    got = sorted((tuple(r) for r in got.collect()), key=lambda r: r[:2])
+    assert got == sorted(want, key=lambda r: r[:2])
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 64, 65_536])
+def test_adjacent_gaps_over_empty_chunks(spark, chunk):
+    heights = [3, 4, 5, 9, 10, 40, 41, 900, 901, 2_000_000]
+    df = spark.createDataFrame([(h,) for h in heights * 2 + [None]], "block_height int")
+    want = [(a, b, b - a) for a, b in zip(heights, heights[1:])]
+    assert rows_of(adjacent_gaps(df, chunk=chunk), "previous_block", "block", "gap") == sorted(want, key=repr)
+
+
+def test_chunk_of_is_a_floor(spark):
+    df = spark.createDataFrame([(h,) for h in (-5, -1, 0, 3, 4)], "h int")
+    assert [r[0] for r in df.orderBy("h").select(chunk_of(F.col("h"), 4)).collect()] == [-2, -1, 0, 0, 1]

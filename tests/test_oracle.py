@@ -1,0 +1,48 @@
+"""Every registered query against its SQL, and the row counts of the weekly panel."""
+
+import pytest
+
+import __spark_entry__ as contract
+from stakescore.catalog import oracle
+from stakescore.catalog.panels import SURVEY_SIZE, weekly_panel
+from stakescore.catalog.queries import QUERIES, registered
+from stakescore.operators import quality
+from tests.conftest import TESTDATA, rows_of
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql()) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_sql(spark, duck, sf_dir, name):
+    got = registered()[name](spark, sf_dir)
+    sql = oracle.statements(SURVEY_SIZE["sf0.001"])[name]
+    columns = sorted(got.columns)
+    assert sorted(duck.sql(sql).columns) == columns
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    want = sorted(duck.sql(f"SELECT {quoted} FROM ({sql})").fetchall(), key=repr)
+    assert rows_of(got, *columns) == want
+
+
+@pytest.mark.parametrize("sf, rows, validators, nulls", [
+    ("sf0.001", 2_899, 10, (522, 881, 11)),
+    ("sf0.01", 29_002, 100, (5_024, 8_719, 143)),
+    ("sf0.1", 290_821, 1_000, (50_037, 87_300, 1_409)),
+])
+def test_weekly_panel_counts(spark, sf, rows, validators, nulls):
+    from pyspark.sql import functions as F
+
+    panel = weekly_panel(spark, f"{TESTDATA}/{sf}").cache()
+    try:
+        assert panel.count() == rows
+        assert panel.select("operator_address").distinct().count() == validators
+        counted = panel.agg(*[F.count_if(F.col(c).isNull()) for c in ("vote", "propose", "jailed")]).first()
+        assert tuple(counted) == nulls
+        assert quality.key_violations(panel).count() == 0
+    finally:
+        panel.unpersist()
+
+
+def test_entry_has_rows(spark):
+    assert contract.entry(spark).count() == 342
