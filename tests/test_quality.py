@@ -1,0 +1,32 @@
+from stakescore.operators import quality
+from tests.conftest import rows_of
+
+
+def test_key_violations(panel_of, spark):
+    keys = [(1, "a"), (1, "a"), (1, "b"), (None, "c"), (2, None), (2, "a")]
+    df = spark.createDataFrame(keys, "block_height int, operator_address string")
+    assert rows_of(quality.key_violations(df), "block_height", "operator_address", "copies") == [
+        (1, "a", 2), (2, None, 1), (None, "c", 1),
+    ]
+
+
+def test_known_gap_shapes(spark):
+    heights = list(range(1000, 1300)) + list(range(1540, 1600)) + [1621]
+    df = spark.createDataFrame([(h,) for h in heights], "block_height int")
+    assert rows_of(quality.block_gaps(df), "previous_block", "block", "gap") == [(1299, 1540, 241), (1599, 1621, 22)]
+    assert rows_of(quality.stride_histogram(df), "gap", "pairs") == [(1, 358), (22, 1), (241, 1)]
+
+
+def test_counts_and_bounds(spark):
+    df = spark.createDataFrame([(h, v) for h in (5, 6, 9) for v in "ab"], "block_height int, operator_address string")
+    assert tuple(quality.label_counts(df).first()) == (6, 3)
+    assert tuple(quality.label_counts(df.limit(0)).first()) == (0, 0)
+    assert tuple(quality.height_bounds(df).first()) == (5, 9)
+    assert quality.distinct_blocks(df).count() == 3
+
+
+def test_expected_buckets_of_the_production_range(spark):
+    df = spark.createDataFrame([(7_049_472,), (9_070_703,)], "block_height int")
+    row = quality.expected_buckets(df, 14_400, 150, 100_800).first()
+    assert round(row["buckets"], 2) == 12_706.88
+    assert row["whole_buckets"] == 12_706
