@@ -47,7 +47,7 @@ def _panel(spark, sf_dir):
 
 
 def _preprocessed(spark, sf_dir):
-    return scoring.preprocess(_panel(spark, sf_dir), stage=written)
+    return scoring.preprocess(_panel(spark, sf_dir))
 
 
 def _powered(spark, sf_dir):
@@ -59,13 +59,13 @@ def _commissioned(spark, sf_dir):
 
 
 def _bonded(spark, sf_dir):
-    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level, stage=written)
+    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level)
 
 
 def _active(spark, sf_dir):
     return scoring.vote_proposed_score(
         written(_bonded(spark, sf_dir), "bonded"),
-        TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK, stage=written,
+        TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK,
     )
 
 

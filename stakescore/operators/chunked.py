@@ -49,31 +49,32 @@ def trailing_sum(
     ``position``, the row's 1-based number in its group.
 
     Every row adds its points at ``h`` and takes them off at ``h + win``, so the sum is a running sum and
-    its cost does not depend on ``win``. ``points`` must be integer and not null.
+    its cost does not depend on ``win``. ``points`` must be integer and not null. ``df`` is read three times,
+    twice for the group, clock and points only: pass a table.
     """
     group = list(group)
     if win < 1 or chunk < 1:
         raise ValueError("win and chunk must be positive")
     payload = [c for c in df.columns if c not in group]
-    started = F.col("_shift") == 0
+    at, gain = F.col(clock).cast("bigint"), F.col(points).cast("bigint")
 
-    # One pass makes both events; the expiry carries only the group and the points.
-    events = df.select(
-        *group,
-        F.explode(F.array(F.lit(0), F.lit(win))).alias("_shift"),
-        *payload,
+    # An expiry carries no row; as one struct the absent columns take a few bytes.
+    starts = df.select(*group, at.alias("_at"), gain.alias("_delta"), F.struct(*payload).alias("_row"))
+    no_row = F.lit(None).cast(starts.schema["_row"].dataType)
+    expiries = df.select(*group, (at + win).alias("_at"), (-gain).alias("_delta"), no_row.alias("_row"))
+    events = starts.unionByName(expiries).withColumn("_chunk", chunk_of(F.col("_at"), chunk))
+
+    started = F.col("_shift") == 0
+    narrow = df.select(
+        *group, F.explode(F.array(F.lit(0), F.lit(win))).alias("_shift"), at.alias("_at"), gain.alias("_gain")
     ).select(
         *group,
-        (F.col(clock).cast("bigint") + F.col("_shift")).alias("_at"),
-        F.when(started, F.col(points)).otherwise(-F.col(points)).cast("bigint").alias("_delta"),
-        started.alias("_real"),
-        *[F.when(started, F.col(c)).alias(c) for c in payload],
-    ).withColumn("_chunk", chunk_of(F.col("_at"), chunk))
-
-    offsets = _offsets(events, group, {
-        "_sum_before": F.sum("_delta"),
-        "_rows_before": F.count_if("_real"),
-    })
+        chunk_of(F.col("_at") + F.col("_shift"), chunk).alias("_chunk"),
+        F.when(started, F.col("_gain")).otherwise(-F.col("_gain")).alias("_delta"),
+        started.alias("_start"),
+    )
+    offsets = _offsets(narrow, group, {"_sum_before": F.sum("_delta"), "_rows_before": F.count_if("_start")})
+
     running = (
         Window.partitionBy(*group, "_chunk").orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -81,10 +82,10 @@ def trailing_sum(
     local = events.select(
         "*",
         F.sum("_delta").over(running).alias("_sum"),
-        F.count_if("_real").over(running).alias("_rows"),
-    ).filter("_real")
+        F.count("_row").over(running).alias("_rows"),
+    ).filter(F.col("_row").isNotNull())
     return local.join(offsets, [*group, "_chunk"]).select(
-        *[F.col(c) for c in df.columns],
+        *[F.col(c) if c in group else F.col(f"_row.{c}").alias(c) for c in df.columns],
         (F.col("_sum") + F.col("_sum_before")).alias(total),
         (F.col("_rows") + F.col("_rows_before")).alias(position),
     )

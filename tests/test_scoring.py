@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from stakescore.operators import labeling, scoring
 from stakescore.params import LOCAL, PRODUCTION, ScoringParams
 from stakescore.plans.data_scoring import data_scoring, score_panel
-from stakescore.staging import lazy
 from tests.conftest import rows_of
 
 PARAMS = ScoringParams(
@@ -201,7 +200,6 @@ def test_steps_equal_the_whole_plan(spark, sf_dir):
     assert len(want) == 342
     for chunk in (16, 16_384):
         assert rounded(data_scoring(panel, params, chunk=chunk)) == want
-    assert rounded(data_scoring(panel, params, stage=lazy)) == want
 
 
 def test_parameters_are_checked():
