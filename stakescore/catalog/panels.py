@@ -22,7 +22,9 @@ SURVEY_SIZE = {"sf0.001": 5, "sf0.01": 20, "sf0.1": 50}
 def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (week, supplier) of ``lineitem``, with gaps per supplier."""
     line = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    # Whole numbers up to the last bits, so this is their rounding (round() goes through decimals).
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    percent = F.floor(F.col("l_discount") * 100 + 0.5)
     accepted = F.col("l_returnflag") == "A"
     amount = "decimal(38,0)"
     weeks = line.groupBy(
@@ -31,7 +33,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(cents).cast(amount).alias("tokens"),
         (F.sum(F.col("l_quantity").cast("bigint")) * 1_000_000).cast(amount).alias("delegator_shares"),
         F.sum(F.when(F.col("l_returnflag") == "R", cents).otherwise(F.lit(0))).cast(amount).alias("self_bonded"),
-        (F.max(F.round(F.col("l_discount") * 100)) * 1e16).alias("commission_rate"),
+        (F.max(percent) * 1e16).alias("commission_rate"),
         F.max(F.when(F.col("l_returnflag") != "N", accepted)).alias("vote"),
         F.max(F.when(F.col("l_linestatus") == "F", accepted)).alias("propose"),
     )

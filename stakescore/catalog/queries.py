@@ -20,7 +20,7 @@ from stakescore.catalog.panels import (
 from stakescore.operators import labeling, quality, scoring
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as scoring_plan
-from stakescore.staging import staging_root, written
+from stakescore.staging import staging_path, written
 from stakescore.schemas import HEIGHT, KEY, OPERATOR
 from stakescore.sources import files
 from stakescore.streaming import backfill
@@ -28,7 +28,7 @@ from stakescore.streaming import backfill
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def test_params(sf_dir: str) -> ScoringParams:
+def params_for(sf_dir: str) -> ScoringParams:
     return replace(TEST, top_validators=SURVEY_SIZE.get(os.path.basename(sf_dir.rstrip("/")), 20))
 
 
@@ -75,12 +75,12 @@ def _scored(spark, sf_dir):
 
 def _score_table(spark, sf_dir):
     """The staged score table that survey, buckets and labels read."""
-    scored = scoring_plan.score_panel(_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
+    scored = scoring_plan.score_panel(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
     return written(scored, "scores")
 
 
 def _kept(spark, sf_dir):
-    params = test_params(sf_dir)
+    params = params_for(sf_dir)
     return labeling.validator_filter(
         _score_table(spark, sf_dir), params.start_block, params.end_block, params.top_validators
     )
@@ -91,7 +91,7 @@ def _buckets(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return scoring_plan.data_scoring(_panel(spark, sf_dir), test_params(sf_dir), chunk=TEST_CHUNK)
+    return scoring_plan.data_scoring(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
 
 
 def _sink(spark, sf_dir):
@@ -153,7 +153,7 @@ def validator_score_table(spark, sf_dir):
 
 
 def top_validators(spark, sf_dir):
-    params = test_params(sf_dir)
+    params = params_for(sf_dir)
     return labeling.survey_top(
         _score_table(spark, sf_dir), params.start_block, params.end_block, params.top_validators
     )
@@ -210,7 +210,7 @@ def batch_coverage(spark, sf_dir):
 
 def batched_scoring(spark, sf_dir):
     panel = _panel(spark, sf_dir)
-    return backfill.batched_scoring(panel, _batches(panel), test_params(sf_dir))
+    return backfill.batched_scoring(panel, _batches(panel), params_for(sf_dir))
 
 
 def covers(spark, sf_dir):
@@ -225,7 +225,7 @@ def resume_point(spark, sf_dir):
 
 def append_dedup(spark, sf_dir):
     """The labels of the whole history, after a run over the history up to the survey's end."""
-    panel, params = _panel(spark, sf_dir), test_params(sf_dir)
+    panel, params = _panel(spark, sf_dir), params_for(sf_dir)
     history = files.range_scan(panel, 0, TEST.end_block)
     sink = scoring_plan.data_scoring(history, params, chunk=TEST_CHUNK)
     labelled = scoring_plan.data_scoring(panel, params, chunk=TEST_CHUNK)
@@ -233,7 +233,7 @@ def append_dedup(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    path = f"{staging_root(spark)}/heights-{os.urandom(8).hex()}"
+    path = staging_path(spark, "heights")
     files.write_heights(minute_heights(spark, sf_dir), path)
     return files.read_heights(spark, path)
 

@@ -1,7 +1,7 @@
 """Writing an intermediate frame once instead of computing it for each of its uses.
 
 The files are in the shared folder named by ``spark.checkpoint.dir``, so they outlive lost executors.
-They stay until the folder's owner clears them.
+All files of an application are below one folder with its id, to be cleared when it has ended.
 """
 
 from __future__ import annotations
@@ -25,9 +25,14 @@ def staging_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A path not used before."""
+    return f"{staging_root(spark)}/stakescore-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back, so that later uses prune columns and push filters."""
-    path = f"{staging_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

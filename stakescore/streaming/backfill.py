@@ -14,7 +14,7 @@ from stakescore.operators.quality import distinct_blocks, height_bounds
 from stakescore.params import ScoringParams
 from stakescore.plans.data_scoring import data_scoring, survey
 from stakescore.staging import Stage, written
-from stakescore.schemas import HEIGHT, KEY
+from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, project
 
 
 @dataclass(frozen=True)
@@ -87,13 +87,14 @@ class BatchPlan:
         """
         if not self.count:
             return panel.withColumn("batch_id", F.lit(0).cast("bigint")).limit(0)
+        last_end = self.tail_end or self.start + (self.whole - 1) * self.stride + self.batch_size - 1
         height = F.col(HEIGHT).cast("bigint")
         reached = F.floor((height - self.start) / F.lit(self.stride))
         left = F.floor((height - self.start - self.batch_size) / F.lit(self.stride))
         first = F.greatest(left + 1, F.lit(0)).cast("bigint")
         last = F.least(reached, F.lit(self.count - 1)).cast("bigint")
         return (
-            panel.filter(F.col(HEIGHT) >= self.start)
+            panel.filter(F.col(HEIGHT).between(self.start, last_end))
             .withColumn("batch_id", F.explode(F.when(first <= last, F.sequence(first, last))))
             .filter(F.col(HEIGHT) <= self._end(F.col("batch_id")))
         )
@@ -156,3 +157,30 @@ def resume_point(sink: DataFrame, panel: DataFrame, start_block: int, combine_wi
 def append_dedup(new: DataFrame, sink: DataFrame) -> DataFrame:
     """The rows whose key the sink does not hold yet."""
     return new.join(sink.select(*KEY), list(KEY), "left_anti")
+
+
+def incremental_labels(
+    panel: DataFrame,
+    sink: DataFrame,
+    start_block: int,
+    end_block: int,
+    batch_size: int,
+    params: ScoringParams,
+    top: DataFrame | None = None,
+    stage: Stage = written,
+) -> DataFrame:
+    """The ``block_label`` rows that the sink lacks for the asked range: resumes after what it holds, scores
+    the remaining batches and leaves out keys it has. Only the panel's bounds and the sink's last height
+    are fetched. Append the result with ``sources.jdbc.upload`` or a file write.
+    """
+    bounds = height_bounds(panel).first()
+    if bounds.max_height is None or bounds.max_height < end_block:
+        raise ValueError(f"end block {end_block} is beyond the source's last block {bounds.max_height}")
+    done = height_bounds(sink).first().max_height
+    start = start_block if done is None else max(start_block, done + params.combine_win_size)
+    plan = BatchPlan.of(
+        start, end_block, batch_size, params.vote_proposed_win_size, params.combine_win_size,
+        params.label_win_size, bounds.min_height,
+    )
+    labelled = batched_scoring(panel, plan, params, stage, top)
+    return append_dedup(project(labelled, BLOCK_LABEL_SCHEMA), sink)

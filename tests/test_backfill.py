@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stakescore.params import LOCAL, LOCAL_BATCH_SIZE, PRODUCTION, PRODUCTION_BATCH_SIZE, ScoringParams
 from stakescore.plans.data_scoring import data_scoring
 from stakescore.schemas import BLOCK_LABEL_SCHEMA, project
+from stakescore.staging import written
 from stakescore.streaming import backfill
 from stakescore.streaming.backfill import BatchPlan
 from tests.conftest import rows_of
@@ -154,6 +155,21 @@ def test_resume_continues_where_one_run_would(spark, dense):
     assert comparable(sink.unionByName(later)) == comparable(whole)
 
 
+def test_increments_add_up_to_the_whole_history(spark, dense):
+    sink = spark.createDataFrame([], BLOCK_LABEL_SCHEMA)
+    for end in (150, 290, 398, 398):
+        new = backfill.incremental_labels(dense.filter(F.col("block_height") <= end), sink, 7, end, 87, SMALL)
+        sink = written(sink.unionByName(new), "sink")
+    assert comparable(sink) == comparable(data_scoring(dense, SMALL))
+    with pytest.raises(ValueError):
+        backfill.incremental_labels(dense, sink, 7, 399, 87, SMALL)
+
+
+def test_assigned_heights_are_pushed_to_the_scan(spark, dense):
+    plan_text = plan(20, 250, 87, SMALL, 0).assign(written(dense, "dense"))._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(block_height,13)" in plan_text and "LessThanOrEqual(block_height," in plan_text
+
+
 def test_resume_of_an_empty_sink(spark, dense):
     empty = spark.createDataFrame([], BLOCK_LABEL_SCHEMA)
     assert tuple(backfill.resume_point(empty, dense, 7, 4).first()) == (7, 398)
