@@ -66,9 +66,8 @@ def inactive(jailed: Column, status: Column) -> Column:
     return F.coalesce(jailed == 1, F.lit(False)) | F.coalesce(status.contains("UNBONDED"), F.lit(False))
 
 
-def overridden_score(score: Column, jailed: Column, status: Column) -> Column:
-    """0 for inactive validators, even where the score is null."""
-    return F.when(inactive(jailed, status), F.lit(0.0)).otherwise(score)
+def overridden_score(score: Column, is_inactive: Column) -> Column:
+    return F.when(is_inactive, F.lit(0.0)).otherwise(score)
 
 
 def complete(df: DataFrame, columns: list[str]) -> Column:

@@ -136,7 +136,12 @@ def vote_proposed_score(
     )
 
 
-def final_score(df: DataFrame, A: int, B: int, C: int, D: int) -> DataFrame:
+def weighted_total(A: int, B: int, C: int, D: int) -> Column:
     parts = ("voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score")
-    total = scores.weighted_score((A, B, C, D), tuple(F.col(c) for c in parts))
-    return df.withColumn("score", scores.overridden_score(total, F.col("jailed"), F.col("status")))
+    return scores.weighted_score((A, B, C, D), tuple(F.col(c) for c in parts))
+
+
+def final_score(df: DataFrame, A: int, B: int, C: int, D: int) -> DataFrame:
+    """The weighted sum of the sub-scores; 0 for inactive validators, even where a sub-score is null."""
+    inactive = scores.inactive(F.col("jailed"), F.col("status"))
+    return df.withColumn("score", scores.overridden_score(weighted_total(A, B, C, D), inactive))

@@ -26,16 +26,22 @@ from stakescore.schemas import HEIGHT, OPERATOR, PANEL_COLUMNS
 
 
 def activity_rows(panel: DataFrame, params: ScoringParams, scope: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
-    """Cleaned panel rows with ``_activity`` and ``_eligible`` (complete and warmed up)."""
+    """Panel amounts and rates with ``_activity``, ``_eligible`` (complete and warmed up) and ``_inactive``;
+    flags and status end here, so they are not shuffled.
+    """
     rows = scoring.clean(panel.select(*scope, *PANEL_COLUMNS))
-    rows = rows.withColumn("_complete", scores.complete(rows, list(PANEL_COLUMNS)))
+    rows = rows.withColumns({
+        "_complete": scores.complete(rows, list(PANEL_COLUMNS)),
+        "_inactive": scores.inactive(F.col("jailed"), F.col("status")),
+    })
     rows = scoring.vote_points(rows, params.vote_score, params.propose_score)
+    rows = rows.drop("jailed", "status", "vote", "propose")
     win = params.vote_proposed_win_size
     summed = trailing_sum(rows, "vote_propose_point", win, [*scope, OPERATOR], "_activity", "_position", chunk=chunk)
     return (
         summed
         .withColumn("_eligible", F.col("_complete") & (F.col("_position") >= win))
-        .drop("_complete", "_position", "vote_propose_point", "vote", "propose")
+        .drop("_complete", "_position", "vote_propose_point")
     )
 
 
@@ -77,7 +83,8 @@ def scored_rows(rows: DataFrame, blocks: DataFrame, params: ScoringParams, scope
         ),
         "vote_propose_score": F.try_divide("_activity", "_largest_sum"),
     }).drop("_activity", "_largest_sum", "_largest_excess")
-    return scoring.final_score(scored, params.A, params.B, params.C, params.D)
+    total = scoring.weighted_total(params.A, params.B, params.C, params.D)
+    return scored.withColumn("score", scores.overridden_score(total, F.col("_inactive"))).drop("_inactive")
 
 
 def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:

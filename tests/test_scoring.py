@@ -174,7 +174,8 @@ def test_identities_of_a_63_validator_block(panel_of):
     for r in scored.collect():
         total = (9 * r["voting_power_score"] + 4 * r["commission_score"] + 2 * r["self_bonded_score"]
                  + 4 * r["vote_propose_score"])
-        inactive = r["jailed"] or "UNBONDED" in r["status"]
+        i = int(r["operator_address"][1:])
+        inactive = i % 9 == 0 or i % 10 == 3
         assert r["score"] == pytest.approx(0 if inactive else total, abs=1e-9)
         assert r["voting_power_score"] == pytest.approx(max(0, 1 - float(r["tokens_proportion"]) * 63 / 2), abs=1e-9)
 
