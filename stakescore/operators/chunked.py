@@ -25,6 +25,14 @@ def chunk_of(clock: Column, chunk: int) -> Column:
     return F.floor((clock - F.pmod(clock, F.lit(chunk))) / F.lit(chunk)).cast("bigint")
 
 
+def _rows_in_chunk(rows: Column, chunk: int) -> Column:
+    """``rows``, or an error where copies of a key make a chunk larger than its number of heights. The error
+    comes from the map-side combined totals, so no task sorts a group of copies to the end.
+    """
+    copies = F.raise_error(F.lit("a validator has more rows than heights: block and validator are not a key"))
+    return F.when(rows > chunk, copies.cast("bigint")).otherwise(rows)
+
+
 def _offsets(parts: DataFrame, group: Sequence[str], totals: dict[str, Column]) -> DataFrame:
     """Per (group, _chunk): the totals of all earlier chunks of the group."""
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -73,7 +81,10 @@ def trailing_sum(
         F.when(started, F.col("_gain")).otherwise(-F.col("_gain")).alias("_delta"),
         started.alias("_start"),
     )
-    offsets = _offsets(narrow, group, {"_sum_before": F.sum("_delta"), "_rows_before": F.count_if("_start")})
+    offsets = _offsets(narrow, group, {
+        "_sum_before": F.sum("_delta"),
+        "_rows_before": _rows_in_chunk(F.count_if("_start"), chunk),
+    })
 
     running = (
         Window.partitionBy(*group, "_chunk").orderBy("_at")
@@ -97,7 +108,7 @@ def row_numbers(
     """Add ``position``, the row's 1-based number in its group by clock."""
     group = list(group)
     parts = df.withColumn("_chunk", chunk_of(F.col(clock), chunk))
-    offsets = _offsets(parts, group, {"_rows_before": F.count("*")})
+    offsets = _offsets(parts, group, {"_rows_before": _rows_in_chunk(F.count("*"), chunk)})
     local = parts.withColumn("_row", F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(clock)))
     return local.join(offsets, [*group, "_chunk"]).select(
         *[F.col(c) for c in df.columns],

@@ -83,3 +83,32 @@ def test_adjacent_gaps_over_empty_chunks(spark, chunk):
 def test_chunk_of_is_a_floor(spark):
     df = spark.createDataFrame([(h,) for h in (-5, -1, 0, 3, 4)], "h int")
     assert [r[0] for r in df.orderBy("h").select(chunk_of(F.col("h"), 4)).collect()] == [-2, -1, 0, 0, 1]
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("operator", [
+    lambda df: trailing_sum(df, "p", 50, ["v"], "t", "n", chunk=100),
+    lambda df: row_numbers(df, ["v"], "n", chunk=100),
+    lambda df: forward_mean(df, "x", 3, ["v"], "i", "m", chunk=100),
+])
+def test_one_history_runs_in_many_tasks(spark, fixed_partitions, operator):
+    df = spark.range(8000).selectExpr(
+        "'a' AS v", "cast(id AS int) AS block_height", "1 AS p", "id AS i", "cast(id AS double) AS x"
+    )
+    out = operator(df)
+    tasks = out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), *map(F.max, out.columns)).collect()
+    assert len(tasks) == fixed_partitions
+    assert max(r["rows"] for r in tasks) < 8000 / 2
+
+
+def test_copies_of_a_key_are_an_error(spark):
+    df = spark.range(200).selectExpr("'a' AS v", "5 AS block_height", "1 AS p")
+    for broken in (trailing_sum(df, "p", 3, ["v"], "t", "n", chunk=100), row_numbers(df, ["v"], "n", chunk=100)):
+        with pytest.raises(Exception, match="more rows than heights"):
+            broken.collect()
