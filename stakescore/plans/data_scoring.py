@@ -114,19 +114,21 @@ def data_scoring(
     top: DataFrame | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """Labelled buckets of the top validators. ``top`` overrides the survey with a given top set of at most
-    ``params.top_validators`` rows; with ``scope`` (independent batches) it must be given, or no top asked.
+    """Labelled buckets of the top validators. ``top`` (``operator_address``, one row each) is kept instead of
+    the survey's top set; with ``scope`` (independent batches) it must be given, or no top set asked for.
     """
     rows = stage(activity_rows(panel, params, scope, chunk), "activity")
     blocks = stage(block_values(rows, params, scope), "blocks")
     kept = rows
-    if params.top_validators is not None:
-        if top is None:
-            if scope:
-                raise ValueError("a survey over batches is not defined: pass top")
-            top = _surveyed(rows, blocks, params)
-        # A top set computed twice could differ in the last bits of its means.
-        kept = labeling.keep_validators(rows, stage(top, "top"), params.top_validators)
+    if top is not None:
+        top = stage(top, "top")
+        kept = labeling.keep_validators(rows, top, top.count())
+    elif params.top_validators is not None:
+        if scope:
+            raise ValueError("a survey over batches is not defined: pass top")
+        # Staged, as a top set computed twice could differ in the last bits of its means.
+        top = stage(_surveyed(rows, blocks, params), "top")
+        kept = labeling.keep_validators(rows, top, params.top_validators)
     scored = scored_rows(kept, blocks, params, scope)
     buckets = labeling.combine_data(scored, params.combine_win_size, scope, chunk)
     return labeling.shifting_data(buckets, params.label_win_size, params.combine_win_size, scope).drop("new_block")
