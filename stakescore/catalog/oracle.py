@@ -89,7 +89,8 @@ def scores(name: str, source: str, scope: str = "") -> str:
 {name}_kept AS (
   SELECT * FROM {name}_moving
   WHERE jailed IS NOT NULL AND self_bonded_score IS NOT NULL AND activity IS NOT NULL
-    AND tokens_proportion IS NOT NULL AND commission_score IS NOT NULL),
+    AND tokens_proportion IS NOT NULL AND commission_score IS NOT NULL
+    AND delegator_shares IS NOT NULL AND status IS NOT NULL),
 {name}_active AS (
   SELECT *, activity / nullif(max(activity) OVER {block}, 0) AS vote_propose_score FROM {name}_kept),
 {name}_scored AS (
