@@ -6,9 +6,12 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
+from stakescore.catalog.panels import TEST, weekly_panel
 from stakescore.catalog.queries import registered
+from stakescore.operators import scoring
+from stakescore.operators.chunked import trailing_sum
 
 HEADLINE = (
     "scan_panel", "preprocess", "voting_power_score", "self_bonded_score", "moving_vote_sum",
@@ -16,6 +19,25 @@ HEADLINE = (
 )
 
 
+def wide_window(spark, sf_dir):
+    """The activity sum of the weekly panel over 64 heights."""
+    points = scoring.vote_points(scoring.clean(weekly_panel(spark, sf_dir)), TEST.vote_score, TEST.propose_score)
+    return scoring.moving_vote_sum(points, 64)
+
+
+def one_key(spark, sf_dir):
+    """All orders as one history by order key, summed over 8,000 keys back."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.lit("all").alias("history"),
+        F.col("o_orderkey").cast("int").alias("block_height"),
+        F.length("o_orderpriority").alias("points"),
+    )
+    return trailing_sum(orders, "points", 8_000, ["history"], "total", "position")
+
+
+WINDOWS = {"moving_vote_sum_win64": wide_window, "one_key_win8000": one_key}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -29,8 +51,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    queries, times = registered(), {}
-    for name in HEADLINE:
+    queries, times = registered() | WINDOWS, {}
+    for name in (*HEADLINE, *WINDOWS):
         best = None
         for _ in range(3):
             started = time.perf_counter()

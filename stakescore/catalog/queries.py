@@ -73,17 +73,14 @@ def _scored(spark, sf_dir):
     return scoring.final_score(_active(spark, sf_dir), TEST.A, TEST.B, TEST.C, TEST.D)
 
 
-def _score_table(spark, sf_dir):
-    """The staged score table that survey, buckets and labels read."""
-    scored = scoring_plan.score_panel(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
-    return written(scored, "scores")
+def _scores(spark, sf_dir):
+    return scoring_plan.score_panel(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
 
 
 def _kept(spark, sf_dir):
     params = params_for(sf_dir)
-    return labeling.validator_filter(
-        _score_table(spark, sf_dir), params.start_block, params.end_block, params.top_validators
-    )
+    scored = written(_scores(spark, sf_dir), "scores")
+    return labeling.validator_filter(scored, params.start_block, params.end_block, params.top_validators)
 
 
 def _buckets(spark, sf_dir):
@@ -149,13 +146,13 @@ def vote_proposed_score(spark, sf_dir):
 
 
 def validator_score_table(spark, sf_dir):
-    return schemas.project(_score_table(spark, sf_dir), schemas.VALIDATOR_SCORE_SCHEMA)
+    return schemas.project(_scores(spark, sf_dir), schemas.VALIDATOR_SCORE_SCHEMA)
 
 
 def top_validators(spark, sf_dir):
     params = params_for(sf_dir)
     return labeling.survey_top(
-        _score_table(spark, sf_dir), params.start_block, params.end_block, params.top_validators
+        _scores(spark, sf_dir), params.start_block, params.end_block, params.top_validators
     )
 
 

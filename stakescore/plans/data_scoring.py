@@ -90,7 +90,8 @@ def scored_rows(rows: DataFrame, blocks: DataFrame, params: ScoringParams, scope
 def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
     """The top validators of the survey window, from the panel up to its end (no score looks ahead)."""
     history = panel.filter(F.col(HEIGHT) <= params.end_block)
-    rows = stage(activity_rows(history, params, chunk=chunk), "survey").filter(F.col(HEIGHT) >= params.start_block)
+    recent = activity_rows(history, params, chunk=chunk).filter(F.col(HEIGHT) >= params.start_block)
+    rows = stage(recent, "survey")
     return _surveyed(rows, stage(block_values(rows, params), "survey-blocks"), params)
 
 
