@@ -21,7 +21,7 @@ from stakescore.operators import labeling, quality, scoring
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as scoring_plan
 from stakescore.staging import staging_path, written
-from stakescore.schemas import HEIGHT, KEY, OPERATOR
+from stakescore.schemas import KEY
 from stakescore.sources import files
 from stakescore.streaming import backfill
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from stakescore.operators.chunked import CHUNK, LABEL_CHUNK, forward_mean, row_numbers
 from stakescore.operators.skew import attach_by_key
 from stakescore.schemas import HEIGHT, OPERATOR
+from stakescore.staging import Stage, written
 
 #: The averaged columns of a bucket.
 BUCKET_MEANS = (
@@ -41,9 +42,14 @@ def keep_validators(df: DataFrame, top: DataFrame, size: int) -> DataFrame:
     return attach_by_key(df, rows_each.join(names, OPERATOR, "left_semi"), [OPERATOR], "_weight", [HEIGHT], "left_semi")
 
 
-def validator_filter(df: DataFrame, start_block: int, end_block: int, top_validators: int) -> DataFrame:
-    """Keep the whole history of the survey window's top validators."""
-    return keep_validators(df, survey_top(df, start_block, end_block, top_validators), top_validators)
+def validator_filter(
+    df: DataFrame, start_block: int, end_block: int, top_validators: int, stage: Stage = written
+) -> DataFrame:
+    """Keep the whole history of the survey window's top validators. The top set is staged: computed twice, it
+    could differ in the last bits of its means.
+    """
+    top = stage(survey_top(df, start_block, end_block, top_validators), "top")
+    return keep_validators(df, top, top_validators)
 
 
 def combine_data(

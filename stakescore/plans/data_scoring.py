@@ -127,7 +127,6 @@ def data_scoring(
     elif params.top_validators is not None:
         if scope:
             raise ValueError("a survey over batches is not defined: pass top")
-        # Staged, as a top set computed twice could differ in the last bits of its means.
         top = stage(_surveyed(rows, blocks, params), "top")
         kept = labeling.keep_validators(rows, top, params.top_validators)
     scored = scored_rows(kept, blocks, params, scope)

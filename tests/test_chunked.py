@@ -23,7 +23,8 @@ def irregular(seed, groups=4, span=120):
 def test_trailing_sum_counts_heights_and_rows(spark, win, chunk):
     rows = irregular(win * chunk)
     df = spark.createDataFrame(rows, "v string, block_height int, p int")
-    got = rows_of(trailing_sum(df, "p", win, ["v"], "total", "position", chunk=chunk), "v", "block_height", "total", "position")
+    summed = trailing_sum(df, "p", win, ["v"], "total", "position", chunk=chunk)
+    got = rows_of(summed, "v", "block_height", "total", "position")
     want = []
     for v, h, _ in rows:
         history = [(x, p) for w, x, p in rows if w == v and x <= h]
