@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stakescore.operators import labeling, scoring
 from stakescore.params import LOCAL, PRODUCTION, ScoringParams
 from stakescore.plans.data_scoring import data_scoring, score_panel
+from stakescore.staging import lazy
 from tests.conftest import rows_of
 
 PARAMS = ScoringParams(
@@ -203,6 +204,18 @@ def test_steps_equal_the_whole_plan(spark, sf_dir):
         assert rounded(data_scoring(panel, params, chunk=chunk)) == want
 
 
+def test_lazy_equals_staged(panel_of):
+    panel = panel_of(
+        history("a", range(1, 30), self_bonded=50, tokens=70) + history("b", [*range(1, 9), *range(12, 30)])
+        + history("c", range(1, 30), propose=True, commission_rate=9e16)
+    )
+    params = replace(PARAMS, start_block=5, end_block=20, top_validators=2)
+    columns = ("operator_address", "block_height", "score", "label")
+    staged = rows_of(data_scoring(panel, params), *columns)
+    assert staged and {r[0] for r in staged} < {"a", "b", "c"}
+    assert rows_of(data_scoring(panel, params, stage=lazy), *columns) == staged
+
+
 def test_parameters_are_checked():
     with pytest.raises(ValueError):
         replace(PARAMS, label_win_size=5)
