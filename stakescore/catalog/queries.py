@@ -17,6 +17,7 @@ from stakescore import schemas
 from stakescore.catalog.panels import (
     SURVEY_SIZE, TEST, TEST_BATCH_SIZE, TEST_CHUNK, minute_heights, weekly_panel,
 )
+from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as scoring_plan
@@ -274,6 +275,10 @@ QUERIES: dict[str, Query] = {
 
 def registered() -> dict[str, Query]:
     def wrap(query: Query) -> Query:
-        return lambda spark, sf_dir: comparable(query(spark, sf_dir))
+        def run(spark, sf_dir):
+            give_folder(spark)
+            return comparable(query(spark, sf_dir))
+
+        return run
 
     return {name: wrap(query) for name, query in QUERIES.items()}

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,9 +64,20 @@ def test_sink_options_have_a_batch_size():
 
 
 def test_staging_uses_the_configured_folder(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     root = staging.staging_root(spark)
-    assert root == configured.rstrip("/") if configured else root == spark.sparkContext.getCheckpointDir().rstrip("/")
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     table = staging.written(spark.range(5), "numbers")
     assert table.count() == 5
     assert all(root.removeprefix("file:") in name for name in table.inputFiles())
+
+
+def test_staged_frames_can_be_dropped(spark):
+    table = staging.written(spark.range(5), "numbers")
+    path = table.inputFiles()[0].removeprefix("file://")
+    staging.discard(table)
+    assert not os.path.exists(path)
+
+
+def test_only_staged_frames_can_be_dropped(spark, sf_dir):
+    with pytest.raises(ValueError):
+        staging.discard(spark.read.parquet(f"{sf_dir}/nation.parquet"))
