@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stakescore import staging
 from stakescore.catalog.workdir import give_folder
-from stakescore.llm import token_files
+from stakescore.llm import byte_bpe, language, packing, simhash, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -26,8 +27,33 @@ def op1_token_files(spark, sf_dir):
     return token_files.read(spark, path)
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash.near_duplicates(_documents(spark, sf_dir), width=4, radius=4)
+
+
+def op3_byte_bpe(spark, sf_dir):
+    return byte_bpe.digests(_documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op4_language_id(spark, sf_dir):
+    return language.language_id(_documents(spark, sf_dir))
+
+
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op10_best_fit_packing(spark, sf_dir):
+    return packing.best_fit(packing.pieces(_documents(spark, sf_dir), WORD_TOKENIZER, end_id=1, capacity=4096), 4096)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_simhash": op2_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 

@@ -32,7 +32,7 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-class _Memory(dict):
+class Memory(dict):
     """Ids by chunk; what is missing is made when asked for."""
 
     def __init__(self, make):
@@ -60,8 +60,8 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.size = size
         self._bytes = byte_characters()
-        self._words = _Memory(self._plain_word)
-        self._chunks = _Memory(self._chunk)
+        self._words = Memory(self._plain_word)
+        self._chunks = Memory(self._chunk)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
