@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stakescore import staging
-from stakescore.catalog.workdir import give_folder
 from stakescore.llm import byte_bpe, language, packing, simhash, token_files, toxicity
+from stakescore.llm.workers import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +60,7 @@ QUERIES: dict[str, Query] = {
 def registered() -> dict[str, Query]:
     def wrap(query: Query) -> Query:
         def run(spark, sf_dir):
-            give_folder(spark)
+            prepare(spark)
             return query(spark, sf_dir)
 
         return run

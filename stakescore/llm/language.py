@@ -1,6 +1,6 @@
 """Language identification by compression.
 
-For each language there is a zstandard dictionary of raw text. A text is compressed with each of them, in
+For each language there is a zstandard dictionary of raw text, in lower case. A text is compressed with each of them, in
 chunks so that the dictionary counts throughout a long text, and gets the language of the smallest sum.
 Where the runner-up comes within ``MARGIN`` of it, the text is rejected.
 
@@ -25,6 +25,9 @@ SHARE = 1024
 CHUNK = 1024
 #: Saving over the runner-up, as a part of its size, below which a text is rejected.
 MARGIN = 0.004
+LEVEL = 6
+#: Behind the last chunk, as a chunk that would not get smaller is stored as it is, whatever the dictionary.
+FILLER = b"\n" * 200
 UNKNOWN = "und"
 
 LETTER = re.compile(r"[^\W\d_]").search
@@ -47,27 +50,28 @@ def dictionaries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", la
     content: dict[str, list[bytes]] = {}
     for row in sorted(texts.collect(), key=lambda r: r["id"]):
         if LETTER(row["words"]):
-            content.setdefault(row["language"], []).append(row["words"].encode()[:SHARE])
+            content.setdefault(row["language"], []).append(row["words"].lower().encode()[:SHARE])
     return {language: b"\n".join(parts[:SAMPLE]) for language, parts in sorted(content.items())}
 
 
 class Classifier:
     """The languages' compressors."""
 
-    def __init__(self, content: dict[str, bytes], level: int = 3):
+    def __init__(self, content: dict[str, bytes]):
         self.languages = list(content)
         self.compress = []
         for raw in content.values():
             dictionary = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            dictionary.precompute_compress(level=level)
+            dictionary.precompute_compress(level=LEVEL)
             self.compress.append(zstandard.ZstdCompressor(
-                level=level, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False,
+                level=LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False,
             ).compress)
 
     def sizes(self, text: str) -> list[int]:
         """Compressed bytes of a whole text by language."""
-        raw = text.encode()
+        raw = text.lower().encode()
         chunks = [raw[i : i + CHUNK] for i in range(0, len(raw), CHUNK)]
+        chunks[-1] += FILLER
         return [sum(len(squeeze(c)) for c in chunks) for squeeze in self.compress]
 
     def predict(self, text: str | None) -> tuple[str, float]:
