@@ -2,7 +2,7 @@
 
 A pre-token (a match of the pattern) begins as a linked list of its bytes. The queue has a bucket for each
 merge rank, with the list positions where a pair of that rank begins, and a two-level bitmap of the buckets
-in use; find-first-set gives the lowest rank. Entries whose pair has changed meanwhile are stale and are
+in use; find-first-set gives the lowest rank (in a bucket the first position comes first). Entries whose pair has changed meanwhile are stale and are
 skipped. So a pre-token of n bytes takes about n queue steps however long it is.
 
 Texts are encoded whole, each where it lies: no shuffle. Pre-tokens repeat, so each Python worker keeps the
@@ -22,43 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from stakescore.llm.word_ids import Memory
+from stakescore.llm.word_ids import PLAIN_WORD, Memory
 
 #: Ranks in one word of the lower bitmap.
 WORD_BITS = 8
 WORD = (1 << WORD_BITS) - 1
-
-
-class RankQueue:
-    """Positions by merge rank; the lowest rank, and in it the first position, comes out first."""
-
-    def __init__(self):
-        self.buckets: dict[int, list[int]] = {}
-        self.words: dict[int, int] = {}
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> WORD_BITS
-        self.words[word] = self.words.get(word, 0) | 1 << (rank & WORD)
-        self.top |= 1 << word
-
-    def pop(self) -> tuple[int, int]:
-        word = (self.top & -self.top).bit_length() - 1
-        bits = self.words[word]
-        rank = word << WORD_BITS | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            bits &= bits - 1
-            self.words[word] = bits
-            if not bits:
-                self.top &= self.top - 1
-        return rank, position
+NO_RANK = -1
 
 
 class ByteBpe:
@@ -71,47 +40,64 @@ class ByteBpe:
         self.matches = regex.compile(pattern).findall
         self._pieces = Memory(self._piece)
         self._first = Memory(self._chunk)
-        self._later = Memory(lambda part: self._chunk(" " + part))
+        self._later = Memory(self._later_chunk)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of a pre-token: as long as there is a pair with a rank, the first of the lowest is merged."""
-        ranks = self.ranks
-        whole = ranks.get(piece)
+        find = self.ranks.get
+        whole = find(piece)
         if whole is not None:
             return [whole]
         size = len(piece)
-        following = list(range(1, size + 1))  # where the next token begins
-        before = list(range(-1, size - 1))
-        pair = [-1] * size  # rank of the pair that begins here
-        queue = RankQueue()
-        for i in range(size - 1):
-            rank = ranks.get(piece[i : i + 2], -1)
-            if rank >= 0:
-                pair[i] = rank
-                queue.push(rank, i)
-        while queue.top:
-            rank, i = queue.pop()
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))  # the list: where neighbours begin
+        pair = [find(piece[i : i + 2], NO_RANK) for i in range(size - 1)]  # rank of the pair that begins here
+        pair.append(NO_RANK)
+        buckets: dict[int, list[int]] = {}  # positions by rank, each a heap
+        words: dict[int, int] = {}  # the lower bitmap: ranks in use
+        top = 0  # the upper bitmap: words in use
+        fresh = [i for i in range(size) if pair[i] != NO_RANK]
+        while True:
+            for i in fresh:
+                rank = pair[i]
+                if rank in buckets:
+                    heappush(buckets[rank], i)
+                else:
+                    buckets[rank] = [i]
+                    word = rank >> WORD_BITS
+                    words[word] = words.get(word, 0) | 1 << (rank & WORD)
+                    top |= 1 << word
+            if not top:
+                break
+            word = (top & -top).bit_length() - 1  # find first set
+            bits = words[word]
+            rank = (word << WORD_BITS) + (bits & -bits).bit_length() - 1
+            bucket = buckets[rank]
+            i = heappop(bucket)
+            if not bucket:
+                del buckets[rank]
+                words[word] = bits = bits & (bits - 1)
+                if not bits:
+                    top &= top - 1
+            fresh = []
             if pair[i] != rank:
-                continue
-            gone = following[i]
-            end = following[i] = following[gone]
-            pair[gone] = -1
+                continue  # stale
+            gone = after[i]
+            end = after[i] = after[gone]
+            pair[gone] = pair[i] = NO_RANK
             if end < size:
                 before[end] = i
-                pair[i] = ranks.get(piece[i : following[end]], -1)
-                if pair[i] >= 0:
-                    queue.push(pair[i], i)
-            else:
-                pair[i] = -1
+                pair[i] = find(piece[i : after[end]], NO_RANK)
+                if pair[i] != NO_RANK:
+                    fresh.append(i)
             ahead = before[i]
             if ahead >= 0:
-                pair[ahead] = ranks.get(piece[ahead:end], -1)
-                if pair[ahead] >= 0:
-                    queue.push(pair[ahead], ahead)
+                pair[ahead] = find(piece[ahead:end], NO_RANK)
+                if pair[ahead] != NO_RANK:
+                    fresh.append(ahead)
         ids, at = [], 0
         while at < size:
-            ids.append(ranks[piece[at : following[at]]])
-            at = following[at]
+            ids.append(find(piece[at : after[at]]))
+            at = after[at]
         return ids
 
     def _piece(self, piece: str) -> bytes:
@@ -120,6 +106,12 @@ class ByteBpe:
     def _chunk(self, chunk: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, self.matches(chunk)))
 
+    def _later_chunk(self, chunk: str) -> bytes:
+        plain = PLAIN_WORD(chunk)  # whose matches are the letters and the mark
+        if not plain:
+            return self._chunk(" " + chunk)
+        return self._pieces[" " + plain[1]] + (self._pieces[plain[2]] if plain[2] else b"")
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers; none for null.
 

@@ -14,8 +14,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Chunks and words kept by a worker; the memory is emptied when full, which costs time only.
-REMEMBERED = 400_000
+#: Chunks, and words, that a worker keeps at hand (and as many older ones); it forgets the rest, which costs time only.
+REMEMBERED = 300_000
 #: Longer chunks are encoded each time.
 LONGEST_REMEMBERED = 48
 
@@ -33,18 +33,26 @@ def byte_characters() -> dict[int, str]:
 
 
 class Memory(dict):
-    """Ids by chunk; what is missing is made when asked for."""
+    """Ids by chunk; what is missing is made when asked for.
+
+    When full, the memory becomes the old one, from which chunks come back as they are met again.
+    """
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self.make(key)
-        if len(key) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = value
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+            if len(key) > LONGEST_REMEMBERED:
+                return value
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
