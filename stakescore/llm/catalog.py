@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakescore import staging
-from stakescore.llm import byte_bpe, language, packing, simhash, token_files, toxicity
+from stakescore.llm import ann, byte_bpe, digest_index, language, line_dedup, packing, simhash, token_files, toxicity
 from stakescore.llm.workers import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,22 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_line_dedup(spark, sf_dir):
+    """The source of a document is its host."""
+    cut = line_dedup.drop_boilerplate(_documents(spark, sf_dir), "source")
+    return cut.select("doc_id", "source", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op8_exact_dedup(spark, sf_dir):
+    index = digest_index.DigestIndex(spark, staging.staging_path(spark, "digest-index"))
+    return digest_index.exact_duplicates(_documents(spark, sf_dir), index)
+
+
+def op9_nearest_neighbours(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return ann.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, vector="embedding")
+
+
 def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit(packing.pieces(_documents(spark, sf_dir), WORD_TOKENIZER, end_id=1, capacity=4096), 4096)
 
@@ -53,6 +69,9 @@ QUERIES: dict[str, Query] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_exact_dedup": op8_exact_dedup,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
