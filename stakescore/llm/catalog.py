@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakescore import staging
-from stakescore.llm import ann, byte_bpe, digest_index, language, line_dedup, packing, simhash, token_files, toxicity
+from stakescore.llm import ann, byte_bpe, digest_index, language, license_scan, line_dedup, oracle, packing, simhash, token_files, toxicity
 from stakescore.llm.workers import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,10 +43,17 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_license_scan(spark, sf_dir):
+    """Documents have no paths, so each gets one from its source, language and number."""
+    files = _documents(spark, sf_dir).select(F.expr(oracle.DOCUMENT_PATH).alias("path"), "text")
+    doc_id = F.element_at(F.split("path", "[.]"), -1).cast("bigint")
+    return license_scan.licences(files).withColumn("doc_id", doc_id)
+
+
 def op7_line_dedup(spark, sf_dir):
     """The source of a document is its host."""
     cut = line_dedup.drop_boilerplate(_documents(spark, sf_dir), "source")
-    return cut.select("doc_id", "source", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+    return cut.select("doc_id", "source", F.col("n_lines").cast("bigint"), F.col("n_dropped").cast("bigint"), F.sha2("text", 256).alias("text_sha256"))
 
 
 def op8_exact_dedup(spark, sf_dir):
@@ -63,16 +70,24 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit(packing.pieces(_documents(spark, sf_dir), WORD_TOKENIZER, end_id=1, capacity=4096), 4096)
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline  # beside the package, and imports it
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_language_id": op4_language_id,
     "op5_toxicity": op5_toxicity,
+    "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": pipeline,
 }
 
 
@@ -88,4 +103,4 @@ def registered() -> dict[str, Query]:
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return oracle.statements()

@@ -11,7 +11,6 @@ bound holds at any size of the corpus. Texts are scored whole, each where it lie
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from stakescore.llm.split import held_out, sampled
+from stakescore.llm.texts import added
 
 SAMPLE = 256
 SHARE = 1024
@@ -86,30 +86,31 @@ class Classifier:
         return self.languages[best], 1 - sizes[best] / second
 
 
-def identify(docs: DataFrame, content: dict[str, bytes], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, held_out, lang_pred, score and rejected.
+def identify(docs: DataFrame, content: dict[str, bytes], doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """Per document: doc_id, held_out, lang_pred, score, rejected and, with ``carry``, its row as ``doc``.
 
     The score rises with the margin and is 0.5 where rejection ends. A text that is null or has no letter,
     and any text where no language was learned, is ``und`` with score 0 and rejected; with one language
     learned, all others get it with a high score. Rows of equal id are scored each.
     """
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         classifier = Classifier(content)
-        for batch in batches:
-            found = [classifier.predict(t) for t in batch.column(1).to_pylist()]
+
+        def columns(texts: list) -> dict[str, pa.Array]:
+            found = [classifier.predict(t) for t in texts]
             margin = np.array([m for _, m in found], float)
-            yield pa.record_batch({
-                "doc_id": batch.column(0), "lang_pred": pa.array([name for name, _ in found], pa.string()),
+            return {
+                "lang_pred": pa.array([name for name, _ in found], pa.string()),
                 "score": pa.array(margin / (margin + MARGIN), pa.float64()), "rejected": pa.array(margin < MARGIN, pa.bool_()),
-            })
+            }
 
-    scored = docs.select(F.col(doc_id).cast("bigint"), text).mapInArrow(
-        rows, "doc_id long, lang_pred string, score double, rejected boolean"
-    )
-    return scored.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+        return columns
+
+    scored = added(docs, doc_id, text, make, "lang_pred string, score double, rejected boolean", carry)
+    return scored.withColumn("held_out", held_out())
 
 
-def language_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def language_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", carry: bool = False) -> DataFrame:
     """:func:`identify` by the dictionaries that the documents themselves give."""
-    return identify(docs, dictionaries(docs, doc_id, text, lang), doc_id, text)
+    return identify(docs, dictionaries(docs, doc_id, text, lang), doc_id, text, carry)
