@@ -6,15 +6,26 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 
+#: Values of the hash that picks samples.
+SPAN = 1 << 31
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fifth of the ids whose CRC-32, as text, is divisible by five; false for null."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
 def sampled(rows: DataFrame, group: str, doc_id: str, most: int) -> DataFrame:
-    """The ``most`` rows of each group whose ids have the smallest hashes, and their groups' sizes.
+    """About the ``most`` rows of each group whose ids have the smallest hashes, and no more.
 
-    ``rows`` should be narrow; Spark cuts each task's groups to ``most`` rows before the shuffle.
+    The groups are counted first, and of a large one only the share of the hashes is looked at that holds
+    twice as many; so what is sorted does not grow with the table. ``rows`` should be narrow, groups few.
     """
-    order = Window.partitionBy(group).orderBy(F.xxhash64(doc_id), doc_id)
-    return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most).drop("_rank")
+    counts = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    hashed = F.pmod(F.xxhash64(doc_id), F.lit(SPAN))
+    share = F.lit(None).cast("bigint")
+    for value, count in counts.items():
+        share = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(min(SPAN, 2 * most * SPAN // count))).otherwise(share)
+    order = Window.partitionBy(group).orderBy(hashed, doc_id)
+    few = rows.filter(hashed < share)
+    return few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most).drop("_rank")

@@ -1,0 +1,169 @@
+"""Packing against its conditions, the lower bound and a plain sweep."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from stakescore.llm import packing
+from tests.llm.conftest import ODD_TEXTS
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = Tokenizer.from_file(PATH)
+
+
+def packed(spark, sizes, capacity=64, partitions=4):
+    frame = spark.createDataFrame([(i, s, "x", 1) for i, s in enumerate(sizes)], "item long, length long, bin string, size int")
+    rows = packing.best_fit(frame.repartition(partitions), capacity).collect()
+    assert sorted(r["item"] for r in rows) == list(range(len(sizes)))
+    assert all(r["length"] == sizes[r["item"]] and (r["bin"], r["size"]) == ("x", 1) for r in rows)
+    return rows
+
+
+def sequences(rows, capacity=64):
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in by.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= capacity
+    return len(by)
+
+
+def lower_bound(sizes, capacity=64):
+    return max(-(-sum(sizes) // capacity), sum(s > capacity // 2 for s in sizes))
+
+
+@pytest.mark.parametrize("name, sizes, slack", [
+    ("mixed", random.Random(1).choices(range(1, 65), k=600), 1.03),
+    ("small", random.Random(2).choices(range(1, 10), k=900), 1.0),
+    ("equal", [18] * 600, 200 / 169),
+    ("ones", [1] * 640, 1.0),
+    ("over half", [33] * 90, 1.0),
+    ("whole", [64] * 50, 1.0),
+    ("large and small", [40] * 100 + [3] * 700, 1.0),
+    ("one", [5], 1.0),
+])
+def test_few_sequences(spark, name, sizes, slack):
+    rows = packed(spark, sizes)
+    assert sequences(rows) <= slack * lower_bound(sizes) + 1e-9
+
+
+def test_items_that_do_not_fit_or_have_no_size(spark):
+    rows = packed(spark, [3, None, 0, -2, 65, 64])
+    assert {r["item"] for r in rows if r["sequence_id"] is None} == {1, 2, 3, 4}
+    assert all((r["offset"] is None) == (r["sequence_id"] is None) for r in rows)
+    assert sequences([r for r in rows if r["sequence_id"] is not None]) == 2
+
+
+def test_no_items(spark):
+    assert packed(spark, []) == []
+
+
+def test_repeated_rows_are_each_placed(spark):
+    frame = spark.createDataFrame([(1, 30)] * 7, "item long, length long")
+    assert sequences(packing.best_fit(frame, 64).collect()) == 4
+
+
+def test_matches_between_ranges_equal_one_sweep():
+    """Slots and items cut into ranges at random are matched as by one stack over all."""
+    rng = random.Random(4)
+    for _ in range(200):
+        kinds = [rng.random() < 0.5 for _ in range(rng.randint(1, 30))]  # true: an item
+        parts = sorted(rng.randrange(4) for _ in kinds)
+        stack, want = [], {}
+        for i, item in enumerate(kinds):
+            if not item:
+                stack.append(i)
+            elif stack:
+                want[i] = stack.pop()
+        left, numbers, got = defaultdict(int), {}, {}
+        for part in range(4):
+            own, waiting = [], []
+            for i in (i for i, p in enumerate(parts) if p == part):
+                if not kinds[i]:
+                    own.append(i)
+                elif own:
+                    got[i] = own.pop()
+                else:
+                    waiting.append(i)
+            for kind, found in (("item", waiting), ("slot", own)):
+                if found:
+                    left[part, kind] = len(found)
+                numbers.update({(part, kind, n): i for n, i in enumerate(found)})
+        for part, first, slot_part, last, met, _ in packing._between_ranges(left):
+            got |= {numbers[part, "item", first + k]: numbers[slot_part, "slot", last - k] for k in range(met)}
+        assert got == want
+
+
+def test_a_range_is_swept_like_a_stack(monkeypatch):
+    class Context:
+        @staticmethod
+        def get():
+            return Context()
+
+        def partitionId(self):
+            return 3
+
+    monkeypatch.setattr("pyspark.TaskContext", Context)
+    rng = random.Random(5)
+    for _ in range(100):
+        rows = sorted(((rng.randint(1, 9), rng.random() < 0.5) for _ in range(rng.randint(1, 40))), key=lambda r: (-r[0], r[1]))
+        batch = pa.record_batch({
+            "is_item": pa.array([int(i) for _, i in rows], pa.int32()), "size": pa.array([s for s, _ in rows], pa.int32()),
+            "tie": pa.array(range(len(rows)), pa.int64()), "bin": pa.array([None if i else n for n, (_, i) in enumerate(rows)], pa.int64()),
+            "slot": pa.array([None if i else 0 for _, i in rows], pa.int32()),
+            "item": pa.array([n if i else None for n, (_, i) in enumerate(rows)], pa.int64()),
+        })
+        got = [r for b in packing._swept(iter([batch])) for r in b.to_pylist()]
+        stack, pairs, items = [], set(), []
+        for n, (_, item) in enumerate(rows):
+            if not item:
+                stack.append(n)
+            elif stack:
+                pairs.add((n, stack.pop()))
+            else:
+                items.append(n)
+        assert {(r["item"], r["bin"]) for r in got if r["kind"] == "pair"} == pairs
+        assert all(r["size"] <= r["room"] for r in got if r["kind"] == "pair")
+        assert [r["item"] for r in sorted(got, key=lambda r: r["number"]) if r["kind"] == "item"] == items
+        assert [r["bin"] for r in sorted(got, key=lambda r: r["number"]) if r["kind"] == "slot"] == stack
+
+
+def plain_pieces(rows, capacity, end_id=1):
+    found = []
+    for doc_id, text in rows:
+        ids = TOKENIZER.encode(text or "", add_special_tokens=False).ids + [end_id]
+        for piece, start in enumerate(range(0, len(ids), capacity)):
+            part = ids[start : start + capacity]
+            found.append((doc_id, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes()), part))
+    return found
+
+
+def test_pieces_and_sequences_of_ids(spark, docs_of):
+    rows = list(enumerate(ODD_TEXTS)) + [(None, "no id"), (2, "again again")]
+    cut = packing.pieces(docs_of(rows), PATH, 1, 64, with_ids=True)
+    got = packing.best_fit(cut, 64)
+    kept = got.select("doc_id", "piece", "start", "length", "ids_crc32", "ids").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted(plain_pieces(rows, 64), key=repr)
+    whole = packing.sequences(got).collect()
+    assert sum(len(r["ids"]) for r in whole) == sum(len(p[-1]) for p in plain_pieces(rows, 64))
+    assert all(len(r["ids"]) <= 64 for r in whole)
+
+
+def test_query(spark, duck, sf_dir):
+    from stakescore.llm.catalog import registered
+
+    rows = duck.sql("SELECT doc_id, text FROM documents").fetchall()
+    got = registered()["op10_best_fit_packing"](spark, sf_dir).collect()
+    want = [p[:5] for p in plain_pieces(rows, 4096)]
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == sorted(want)
+    assert sequences(got, 4096) <= lower_bound([p[3] for p in want], 4096) + 1
