@@ -40,16 +40,28 @@ BUCKET = (
     "block_height", "operator_address", "tokens", "commission_rate", "delegator_shares", "self_bonded",
     "tokens_proportion", "voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score", "score",
 )
-APPROXIMATE = {
-    "tokens", "delegator_shares", "self_bonded", "commission_rate", "total_token_amt_per_block",
-    "total_self_bonded_amt_per_block", "tokens_proportion", "voting_power_score", "commission_score",
-    "self_bonded_score", "vote_propose_score", "score", "label", "mean_score", "buckets",
+AMOUNTS = ("tokens", "delegator_shares", "self_bonded", "total_token_amt_per_block", "total_self_bonded_amt_per_block")
+DOUBLES = {
+    "commission_rate", "voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score",
+    "score", "label", "mean_score", "buckets",
 }
+#: The types of the panel and of the frames made of it, of buckets, and of the two sink tables.
+ROWS = {c: "DECIMAL(38, 0)" for c in AMOUNTS} | {"tokens_proportion": "DECIMAL(38, 6)"}
+BUCKETS = {c: "DECIMAL(38, 4)" for c in AMOUNTS} | {"tokens_proportion": "DECIMAL(38, 10)"}
+SINK = BUCKETS | {"tokens_proportion": "DECIMAL(30, 10)"}
 
 
-def out(*names: str) -> str:
-    """A select list with doubles at 32-bit precision, as the registered queries give them."""
-    return ", ".join(f"CAST(CAST({n} AS FLOAT) AS DOUBLE) AS {n}" if n in APPROXIMATE else n for n in names)
+def out(*names: str, types: dict[str, str] = ROWS) -> str:
+    """A select list with doubles rounded and decimals in their declared types, as the registered queries
+    give them.
+    """
+    def column(name: str) -> str:
+        if name in DOUBLES:
+            value = f"CAST({name} AS DOUBLE)"
+            return f"CASE WHEN abs({value}) < 1e9 THEN round({value} + 3e-10, 6) ELSE {value} END AS {name}"
+        return f"CAST({name} AS {types[name]}) AS {name}" if name in types else name
+
+    return ", ".join(map(column, names))
 
 
 def scores(name: str, source: str, scope: str = "") -> str:
@@ -72,9 +84,10 @@ def scores(name: str, source: str, scope: str = "") -> str:
       // (2 * validators_count_per_block) AS DOUBLE) / 1e6 AS mean_bond
   FROM {name}_clean),
 {name}_parts AS (
-  SELECT *, CAST(share_millionths AS DOUBLE) / 1e6 AS tokens_proportion,
-    CASE WHEN tokens_proportion > 2 * (1e0 / validators_count_per_block) THEN 0e0
-      ELSE 1 - tokens_proportion / (1e0 / validators_count_per_block) / 2 END AS voting_power_score,
+  SELECT *, CAST(share_millionths AS DECIMAL(32, 0)) * CAST(0.000001 AS DECIMAL(6, 6)) AS tokens_proportion,
+    CAST(share_millionths AS DOUBLE) / 1e6 AS share,
+    CASE WHEN share > 2 * (1e0 / validators_count_per_block) THEN 0e0
+      ELSE 1 - share / (1e0 / validators_count_per_block) / 2 END AS voting_power_score,
     CASE WHEN commission_rate > {TEST.accept_rate}e0 THEN 0e0
       ELSE 1 - commission_rate / {TEST.accept_rate}e0 END AS commission_score,
     CAST(self_bonded AS DOUBLE) - mean_bond / {TEST.concentration_level}e0 AS bond_over,
@@ -111,13 +124,14 @@ def labels(name: str, top_of: str, scope: str = "") -> str:
     """CTEs ``{name}_buckets`` and ``{name}_labels`` of the top validators."""
     line = f"PARTITION BY {scope}operator_address ORDER BY"
 
-    def mean(column: str, value: str, unit: str) -> str:
+    def mean(column: str, value: str, digits: int) -> str:
         total = f"20000 * CAST(sum({value}) AS HUGEINT)"
-        return f"CAST(({total} + count({value})) // (2 * count({value})) AS DOUBLE) / {unit} AS {column}"
+        units = f"CAST(({total} + count({value})) // (2 * count({value})) AS DECIMAL({38 - digits}, 0))"
+        return f"{units} * CAST(0.{'0' * (digits - 1)}1 AS DECIMAL({digits}, {digits})) AS {column}"
 
     exact = ",\n    ".join([
-        *[mean(c, c, "1e4") for c in ("tokens", "delegator_shares", "self_bonded")],
-        mean("tokens_proportion", "share_millionths", "1e10"),
+        *[mean(c, c, 4) for c in ("tokens", "delegator_shares", "self_bonded")],
+        mean("tokens_proportion", "share_millionths", 10),
     ])
     plain = ", ".join(
         f"avg({c}) AS {c}" for c in (
@@ -161,7 +175,7 @@ def query(ctes: list[str], select: str) -> str:
     return f"WITH {', '.join(ctes)}\n{select}"
 
 
-def statements(top: int = 20) -> dict[str, str]:
+def statements(top: int = TEST.top_validators) -> dict[str, str]:
     scored = [PANEL, scores("a", "panel")]
     topped = [*scored, survey("a", top)]
     labelled = [*topped, labels("a", "a")]
@@ -170,8 +184,11 @@ def statements(top: int = 20) -> dict[str, str]:
     gaps = "SELECT previous_block, block, block - previous_block AS gap"
     key = ("block_height", "operator_address")
 
-    def rows(ctes: list[str], source: str, *columns: str) -> str:
-        return query(ctes, f"SELECT {out(*columns)} FROM {source}")
+    def rows(ctes: list[str], source: str, *columns: str, types: dict[str, str] = ROWS) -> str:
+        return query(ctes, f"SELECT {out(*columns, types=types)} FROM {source}")
+
+    # The declared rate is a 32-bit float.
+    scanned = "(SELECT * REPLACE (CAST(commission_rate AS FLOAT) AS commission_rate) FROM panel)"
 
     batched = [
         *topped, BATCHES,
@@ -184,8 +201,8 @@ def statements(top: int = 20) -> dict[str, str]:
         scores("h", "history"), survey("h", top), labels("h", "h"),
     ]
     return {
-        "scan_panel": rows([PANEL], "panel", *PANEL_COLUMNS),
-        "range_scan": rows([PANEL], "panel", *PANEL_COLUMNS)
+        "scan_panel": rows([PANEL], scanned, *PANEL_COLUMNS),
+        "range_scan": rows([PANEL], scanned, *PANEL_COLUMNS)
         + f" WHERE block_height BETWEEN {TEST.start_block} AND {TEST.end_block}",
         "height_bounds": query(
             [PANEL], "SELECT min(block_height) AS min_height, max(block_height) AS max_height FROM panel"
@@ -218,10 +235,10 @@ def statements(top: int = 20) -> dict[str, str]:
         "top_validators": rows(topped, "a_top", "operator_address", "mean_score"),
         "validator_filter": rows(topped, "a_scored", *key, "score")
         + " WHERE operator_address IN (SELECT operator_address FROM a_top)",
-        "combine_data": rows(labelled, "a_buckets", "new_block", *BUCKET),
-        "forward_label": rows(labelled, "a_labels", "new_block", *BUCKET, "label"),
-        "data_scoring": rows(labelled, "a_labels", *BUCKET, "label"),
-        "sink_projection": rows(labelled, "a_labels", *BUCKET, "label"),
+        "combine_data": rows(labelled, "a_buckets", "new_block", *BUCKET, types=BUCKETS),
+        "forward_label": rows(labelled, "a_labels", "new_block", *BUCKET, "label", types=BUCKETS),
+        "data_scoring": rows(labelled, "a_labels", *BUCKET, "label", types=BUCKETS),
+        "sink_projection": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
         "distinct_blocks": query([HEIGHTS], "SELECT DISTINCT block_height FROM heights"),
         "label_counts": query(
             labelled, 'SELECT count(*) AS "rows", count(DISTINCT block_height) AS heights FROM a_labels'
@@ -257,7 +274,8 @@ def statements(top: int = 20) -> dict[str, str]:
             " LEFT JOIN (SELECT DISTINCT block_height FROM panel) ON height = block_height"
             " GROUP BY batch_id, batch_start, batch_end",
         ),
-        "batched_scoring": rows(batched, "b_labels", "batch_id", *BUCKET, "label"),
+        "batched_scoring": rows(batched, "b_labels", "batch_id", *BUCKET, "label", types=BUCKETS),
+        "incremental_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
         "covers": query(
             [PANEL],
             f"SELECT max(block_height) AS max_height, max(block_height) >= {TEST.end_block} AS covered FROM panel",

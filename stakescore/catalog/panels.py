@@ -11,12 +11,13 @@ from stakescore.schemas import HEIGHT, OPERATOR, PANEL_COLUMNS
 TEST = ScoringParams(
     accept_rate=0.08, concentration_level=0.9, vote_score=2, propose_score=6, A=9, B=4, C=2, D=4,
     vote_proposed_win_size=8, combine_win_size=4, label_win_size=12,
-    start_block=180, end_block=300,
+    start_block=180, end_block=300, top_validators=8,
 )
 TEST_BATCH_SIZE = 87
 #: Small enough for the weekly panel to span several chunks.
 TEST_CHUNK = 64
-SURVEY_SIZE = {"sf0.001": 5, "sf0.01": 20, "sf0.1": 50}
+#: Last heights of the increments; the last one reaches the panel's end.
+TEST_INCREMENTS = (260, 350, 430, 513)
 
 
 def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

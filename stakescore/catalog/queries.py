@@ -1,43 +1,41 @@
 """Registered queries: every operator over the whole weekly panel (or the whole ``events`` table).
 
-Doubles and decimals are brought to 32-bit precision (and shown as doubles), as sums of doubles depend
-on their order in the last bits.
+Doubles are rounded to six digits, as sums of doubles depend on their order in the last bits; integers and
+decimals are shown as they are, in their declared types.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType
 
 from stakescore import schemas
 from stakescore.catalog.panels import (
-    SURVEY_SIZE, TEST, TEST_BATCH_SIZE, TEST_CHUNK, minute_heights, weekly_panel,
+    TEST, TEST_BATCH_SIZE, TEST_CHUNK, TEST_INCREMENTS, minute_heights, weekly_panel,
 )
 from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
-from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as scoring_plan
 from stakescore.staging import staging_path, written
 from stakescore.schemas import KEY
 from stakescore.sources import files
-from stakescore.streaming import backfill
+from stakescore.incremental import backfill
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def params_for(sf_dir: str) -> ScoringParams:
-    return replace(TEST, top_validators=SURVEY_SIZE.get(os.path.basename(sf_dir.rstrip("/")), 20))
+#: Takes sums and products of few decimal digits off the middle between two roundings.
+NUDGE = 3e-10
 
 
 def comparable(df: DataFrame) -> DataFrame:
     def column(field):
-        if isinstance(field.dataType, (DoubleType, FloatType, DecimalType)):
-            return F.col(field.name).cast("float").cast("double").alias(field.name)
-        return F.col(field.name)
+        if not isinstance(field.dataType, (DoubleType, FloatType)):
+            return F.col(field.name)
+        value = F.col(field.name).cast("double")  # a rate scaled by 10^18 is a whole number
+        return F.when(F.abs(value) < 1e9, F.round(value + NUDGE, 6)).otherwise(value).alias(field.name)
 
     return df.select([column(f) for f in df.schema])
 
@@ -47,8 +45,15 @@ def _panel(spark, sf_dir):
     return written(weekly_panel(spark, sf_dir), "panel")
 
 
+def _stored_panel(spark, sf_dir):
+    """The weekly panel as a Parquet source under the declared schema."""
+    path = staging_path(spark, "source")
+    schemas.project(weekly_panel(spark, sf_dir), schemas.PANEL_SCHEMA).write.parquet(path)
+    return files.read_panel(spark, path)
+
+
 def _preprocessed(spark, sf_dir):
-    return scoring.preprocess(_panel(spark, sf_dir))
+    return scoring.preprocess(_panel(spark, sf_dir), stage=written)
 
 
 def _powered(spark, sf_dir):
@@ -60,13 +65,13 @@ def _commissioned(spark, sf_dir):
 
 
 def _bonded(spark, sf_dir):
-    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level)
+    return scoring.self_bonded_score(_commissioned(spark, sf_dir), TEST.concentration_level, stage=written)
 
 
 def _active(spark, sf_dir):
     return scoring.vote_proposed_score(
         written(_bonded(spark, sf_dir), "bonded"),
-        TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK,
+        TEST.vote_score, TEST.propose_score, TEST.vote_proposed_win_size, chunk=TEST_CHUNK, stage=written,
     )
 
 
@@ -75,13 +80,12 @@ def _scored(spark, sf_dir):
 
 
 def _scores(spark, sf_dir):
-    return scoring_plan.score_panel(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
+    return scoring_plan.score_panel(_panel(spark, sf_dir), TEST, chunk=TEST_CHUNK)
 
 
 def _kept(spark, sf_dir):
-    params = params_for(sf_dir)
     scored = written(_scores(spark, sf_dir), "scores")
-    return labeling.validator_filter(scored, params.start_block, params.end_block, params.top_validators)
+    return labeling.validator_filter(scored, TEST.start_block, TEST.end_block, TEST.top_validators, written)
 
 
 def _buckets(spark, sf_dir):
@@ -89,7 +93,7 @@ def _buckets(spark, sf_dir):
 
 
 def _labelled(spark, sf_dir):
-    return scoring_plan.data_scoring(_panel(spark, sf_dir), params_for(sf_dir), chunk=TEST_CHUNK)
+    return scoring_plan.data_scoring(_panel(spark, sf_dir), TEST, chunk=TEST_CHUNK)
 
 
 def _sink(spark, sf_dir):
@@ -105,11 +109,11 @@ def _batches(panel) -> backfill.BatchPlan:
 
 
 def scan_panel(spark, sf_dir):
-    return weekly_panel(spark, sf_dir)
+    return _stored_panel(spark, sf_dir)
 
 
 def range_scan(spark, sf_dir):
-    return files.range_scan(weekly_panel(spark, sf_dir), TEST.start_block, TEST.end_block)
+    return files.range_scan(_stored_panel(spark, sf_dir), TEST.start_block, TEST.end_block)
 
 
 def height_bounds(spark, sf_dir):
@@ -151,10 +155,7 @@ def validator_score_table(spark, sf_dir):
 
 
 def top_validators(spark, sf_dir):
-    params = params_for(sf_dir)
-    return labeling.survey_top(
-        _scores(spark, sf_dir), params.start_block, params.end_block, params.top_validators
-    )
+    return scoring_plan.survey(_panel(spark, sf_dir), TEST, chunk=TEST_CHUNK)
 
 
 def validator_filter(spark, sf_dir):
@@ -208,7 +209,20 @@ def batch_coverage(spark, sf_dir):
 
 def batched_scoring(spark, sf_dir):
     panel = _panel(spark, sf_dir)
-    return backfill.batched_scoring(panel, _batches(panel), params_for(sf_dir))
+    return backfill.batched_scoring(panel, _batches(panel), TEST, chunk=TEST_CHUNK)
+
+
+def incremental_labels(spark, sf_dir):
+    """The sink after all increments, which is that of one run over the whole history."""
+    panel = _panel(spark, sf_dir)
+    top = written(scoring_plan.survey(panel, TEST, chunk=TEST_CHUNK), "top")
+    sink = spark.createDataFrame([], schemas.BLOCK_LABEL_SCHEMA)
+    for end in TEST_INCREMENTS:
+        new = backfill.incremental_labels(
+            panel, sink, end, TEST, top, chunk=TEST_CHUNK, whole_buckets=end < TEST_INCREMENTS[-1]
+        )
+        sink = written(sink.unionByName(new), "sink")
+    return sink
 
 
 def covers(spark, sf_dir):
@@ -223,10 +237,10 @@ def resume_point(spark, sf_dir):
 
 def append_dedup(spark, sf_dir):
     """The labels of the whole history, after a run over the history up to the survey's end."""
-    panel, params = _panel(spark, sf_dir), params_for(sf_dir)
+    panel = _panel(spark, sf_dir)
     history = files.range_scan(panel, 0, TEST.end_block)
-    sink = scoring_plan.data_scoring(history, params, chunk=TEST_CHUNK)
-    labelled = scoring_plan.data_scoring(panel, params, chunk=TEST_CHUNK)
+    sink = scoring_plan.data_scoring(history, TEST, chunk=TEST_CHUNK)
+    labelled = scoring_plan.data_scoring(panel, TEST, chunk=TEST_CHUNK)
     return backfill.append_dedup(labelled, sink).select(*KEY, "score", "label")
 
 
@@ -266,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "batch_intervals": batch_intervals,
     "batch_coverage": batch_coverage,
     "batched_scoring": batched_scoring,
+    "incremental_labels": incremental_labels,
     "covers": covers,
     "resume_point": resume_point,
     "append_dedup": append_dedup,

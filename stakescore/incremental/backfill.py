@@ -1,20 +1,27 @@
 """Incremental runs: overlapping height batches, resume point and idempotent append.
 
 Labels look ahead by a validator's rows, which has no event-time form, so increments are bounded
-batches, all computed by one job, and not a stream.
+runs over the panel and not a stream.
+
+Batches are independent: each numbers a validator's buckets from its own first warm row. On a panel without
+gaps their bucket starts meet; where validators miss heights, the buckets of neighbouring batches overlap or
+leave out rows. ``incremental_labels`` has no such seams: it goes on, validator by validator, from the last
+bucket that the sink holds, and so adds up to the labels of the whole history.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from stakescore.operators import labeling
+from stakescore.operators.chunked import CHUNK
 from stakescore.operators.quality import distinct_blocks, height_bounds
 from stakescore.params import ScoringParams
-from stakescore.plans.data_scoring import data_scoring, survey
+from stakescore.plans import data_scoring as plans
+from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, OPERATOR, project
 from stakescore.staging import Stage, written
-from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, project
 
 
 @dataclass(frozen=True)
@@ -122,19 +129,57 @@ def batch_coverage(plan: BatchPlan, panel: DataFrame) -> DataFrame:
     return batches.join(present, "batch_id")
 
 
+def rows_before_batches(plan: BatchPlan, panel: DataFrame) -> DataFrame:
+    """(batch_id, operator_address, rows_before): a validator's rows below each batch that follows one of them.
+
+    Rows are counted between neighbouring batch starts first, map-side, so that at most a row for each
+    validator and batch is summed up.
+    """
+    span = F.floor((F.col(HEIGHT).cast("bigint") - plan.start) / F.lit(plan.stride)) + 1  # 0 below the first batch
+    spans = (
+        panel.select(OPERATOR, F.greatest(span, F.lit(0)).cast("bigint").alias("batch_id"))
+        .groupBy(OPERATOR, "batch_id").agg(F.count("*").alias("n"))
+    )
+    upto = Window.partitionBy(OPERATOR).orderBy("batch_id")
+    counted = spans.select(
+        OPERATOR, "batch_id", F.sum("n").over(upto).alias("rows_before"), F.lead("batch_id").over(upto).alias("next"),
+    )
+    # The count holds for every batch up to the next span that has rows.
+    last = F.least(F.coalesce(F.col("next") - 1, F.lit(plan.count - 1)), F.lit(plan.count - 1))
+    return counted.filter(F.col("batch_id") <= last).select(
+        F.explode(F.sequence("batch_id", last)).alias("batch_id"), OPERATOR, "rows_before"
+    )
+
+
 def batched_scoring(
     panel: DataFrame,
     plan: BatchPlan,
     params: ScoringParams,
     stage: Stage = written,
     top: DataFrame | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Labelled buckets of every batch, each scored on its own rows, in one job. The top set is that of the
     survey window on the whole panel, computed once.
+
+    Activity sums and block totals are those of the whole panel, as a row that is warm in a batch has its
+    activity window there. So rows are given to batches only after the wide shuffle, and only those of the
+    validators kept; of the others the key and the activity, for the largest of each block.
     """
-    if top is None and params.top_validators is not None:
-        top = survey(panel, params, stage)
-    return data_scoring(plan.assign(panel), params, stage, scope=("batch_id",), top=top)
+    if not plan.count:
+        panel = panel.limit(0)
+    kept, everyone = plans.activity_of(panel, params, stage, top, chunk)
+    before = stage(rows_before_batches(plan, panel), "batch-rows")
+
+    def warm(rows: DataFrame) -> DataFrame:
+        own = F.col("_position") - F.coalesce("rows_before", F.lit(0))
+        in_batches = plan.assign(rows.filter("_complete")).join(before, ["batch_id", OPERATOR], "left")
+        return in_batches.filter(own >= params.vote_proposed_win_size).drop("rows_before")
+
+    largest = plans.largest_activity(warm(everyone.select(*KEY, "_activity", "_position", "_complete")), ["batch_id"])
+    blocks = stage(plans.block_values(plans.total_values(panel), largest, params), "blocks")
+    scored = stage(plans.scored_rows(warm(kept), blocks, params, ["batch_id"]), "scored")
+    return plans.labels_of(scored, params, ["batch_id"], chunk)
 
 
 def covers(panel: DataFrame, end_block: int) -> DataFrame:
@@ -159,28 +204,87 @@ def append_dedup(new: DataFrame, sink: DataFrame) -> DataFrame:
     return new.join(sink.select(*KEY), list(KEY), "left_anti")
 
 
+def label_starts(panel: DataFrame, sink: DataFrame, params: ScoringParams) -> DataFrame:
+    """(operator_address, start, labelled) of the validators that may get a label.
+
+    Those in the sink go on at their last labelled bucket, the others begin at their first row. Validators
+    with too few rows for a label from there on are left out. Of the panel only the key is read.
+    """
+    held = sink.groupBy(OPERATOR).agg(F.max(HEIGHT).alias("last"))
+    from_last = F.col("last").isNull() | (F.col(HEIGHT) >= F.col("last"))
+    rows = panel.select(*KEY).join(held, OPERATOR, "left").filter(from_last).groupBy(OPERATOR).agg(
+        F.min(HEIGHT).alias("start"), F.max("last").isNotNull().alias("labelled"), F.count("*").alias("n")
+    )
+    # A label needs rows in the bucket `label_win_size` rows ahead; of the labelled bucket there is one already.
+    warm_up = F.when(F.col("labelled"), params.combine_win_size).otherwise(params.vote_proposed_win_size - 1)
+    return rows.filter(F.col("n") > warm_up + params.label_win_size).select(OPERATOR, "start", "labelled")
+
+
 def incremental_labels(
     panel: DataFrame,
     sink: DataFrame,
-    start_block: int,
     end_block: int,
-    batch_size: int,
     params: ScoringParams,
     top: DataFrame | None = None,
     stage: Stage = written,
+    chunk: int = CHUNK,
+    whole_buckets: bool = True,
 ) -> DataFrame:
-    """The ``block_label`` rows that the sink lacks for the asked range: resumes after what it holds, scores
-    the remaining batches and leaves out keys it has. Only the panel's bounds and the sink's last height
-    are fetched. Append the result with ``sources.jdbc.upload`` or a file write.
+    """The ``block_label`` rows that the sink lacks up to ``end_block``; with all increments the sink holds what
+    one run over the whole history gives, whatever heights the validators miss.
+
+    The panel is read from the earliest start of a validator that may get a label, and one activity window
+    before it; of older rows only their number by validator counts. A label that depends on a bucket that is
+    not yet full is left to a later increment, unless ``whole_buckets`` is false (for the last one).
+    ``top`` (``operator_address``) must be the same for all increments; without it the survey's top set is
+    taken, so the panel must reach the survey's end. Append the result with ``sources.jdbc.upload`` or
+    ``append_labels``; repeating an increment then adds nothing.
     """
     bounds = height_bounds(panel).first()
     if bounds.max_height is None or bounds.max_height < end_block:
         raise ValueError(f"end block {end_block} is beyond the source's last block {bounds.max_height}")
-    done = height_bounds(sink).first().max_height
-    start = start_block if done is None else max(start_block, done + params.combine_win_size)
-    plan = BatchPlan.of(
-        start, end_block, batch_size, params.vote_proposed_win_size, params.combine_win_size,
-        params.label_win_size, bounds.min_height,
+    panel = panel.filter(F.col(HEIGHT) <= end_block)
+    if top is None and params.top_validators is not None:
+        top = plans.survey(panel, params, stage, chunk)
+    starts = label_starts(panel, sink, params)
+    if top is not None:
+        starts = starts.join(stage(top, "top").select(OPERATOR), OPERATOR, "left_semi")
+    starts = stage(starts, "starts")
+    first = starts.agg(F.min("start")).first()[0]
+    if first is None:
+        return _no_labels(panel)
+    low = first - params.vote_proposed_win_size + 1
+    recent, older = panel.filter(F.col(HEIGHT) >= low), plans.rows_until(panel, low)
+    warm = plans.eligible(params) & (F.col(HEIGHT) >= first)
+    everyone = plans.activity_rows(recent, params, (), chunk, older).filter(warm)
+    blocks = stage(plans.block_values(
+        plans.total_values(recent.filter(F.col(HEIGHT) >= first)), plans.largest_activity(everyone), params
+    ), "blocks")
+    own = recent.join(starts.select(OPERATOR), OPERATOR, "left_semi")
+    kept = plans.activity_rows(own, params, chunk=chunk, rows_before=older).filter(warm).join(starts, OPERATOR)
+    rows = kept.filter(F.col(HEIGHT) >= F.col("start")).drop("start", "labelled")
+    scored = stage(plans.scored_rows(rows, blocks, params), "scored")
+    buckets = labeling.combine_data(scored, params.combine_win_size, chunk=chunk, rows="_rows")
+    if whole_buckets:
+        buckets = buckets.filter(F.col("_rows") == params.combine_win_size)
+    labelled = labeling.shifting_data(buckets.drop("_rows"), params.label_win_size, params.combine_win_size)
+    fresh = labelled.join(starts.select(OPERATOR, "labelled"), OPERATOR).filter(
+        ~F.col("labelled") | (F.col("new_block") > 0)
     )
-    labelled = batched_scoring(panel, plan, params, stage, top)
-    return append_dedup(project(labelled, BLOCK_LABEL_SCHEMA), sink)
+    return append_dedup(project(fresh, BLOCK_LABEL_SCHEMA), sink.filter(F.col(HEIGHT) >= first))
+
+
+def _no_labels(panel: DataFrame) -> DataFrame:
+    return panel.sparkSession.createDataFrame([], BLOCK_LABEL_SCHEMA)
+
+
+def append_labels(panel: DataFrame, path: str, end_block: int, params: ScoringParams, **settings) -> None:
+    """One increment: read the Parquet sink at ``path`` (which may not exist yet), label, append."""
+    spark = panel.sparkSession
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        sink = spark.read.schema(BLOCK_LABEL_SCHEMA).parquet(path)
+    else:
+        sink = _no_labels(panel)
+    labels = written(incremental_labels(panel, sink, end_block, params, **settings), "labels")
+    labels.write.mode("append").parquet(path)

@@ -25,22 +25,39 @@ def chunk_of(clock: Column, chunk: int) -> Column:
     return F.floor((clock - F.pmod(clock, F.lit(chunk))) / F.lit(chunk)).cast("bigint")
 
 
+def _no_key() -> Column:
+    return F.raise_error(F.lit("block and validator are not a key: a validator has several rows at a height"))
+
+
 def _rows_in_chunk(rows: Column, chunk: int) -> Column:
-    """``rows``, or an error where copies of a key make a chunk larger than its number of heights. The error
-    comes from the map-side combined totals, so no task sorts a group of copies to the end.
+    """``rows``, or the error for copied keys where they exceed the chunk's heights. The totals are combined
+    before the shuffle, so that no task sorts a large group of copies to the end.
     """
-    copies = F.raise_error(F.lit("a validator has more rows than heights: block and validator are not a key"))
-    return F.when(rows > chunk, copies.cast("bigint")).otherwise(rows)
+    return F.when(rows > chunk, _no_key().cast("bigint")).otherwise(rows)
+
+
+def _single(copies: Column, position: Column) -> Column:
+    """``position``, or the error for copied keys where a height has more than one row."""
+    return F.when(copies > 1, _no_key().cast("bigint")).otherwise(position)
 
 
-def _offsets(parts: DataFrame, group: Sequence[str], totals: dict[str, Column]) -> DataFrame:
-    """Per (group, _chunk): the totals of all earlier chunks of the group."""
+def _offsets(
+    parts: DataFrame, group: Sequence[str], totals: dict[str, Column], rows_before: DataFrame | None = None
+) -> DataFrame:
+    """Per (group, _chunk): the totals of all earlier chunks of the group; ``_rows_before`` counts from the
+    group's ``rows_before`` on.
+    """
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     summed = parts.groupBy(*group, "_chunk").agg(*[expr.alias(name) for name, expr in totals.items()])
-    return summed.select(
+    offsets = summed.select(
         *group, "_chunk",
         *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in totals],
     )
+    if rows_before is None:
+        return offsets
+    known = rows_before.select(*group, F.col("rows_before").alias("_known"))
+    counted = F.col("_rows_before") + F.coalesce("_known", F.lit(0))
+    return offsets.join(known, group, "left").withColumn("_rows_before", counted).drop("_known")
 
 
 def trailing_sum(
@@ -52,13 +69,15 @@ def trailing_sum(
     position: str,
     clock: str = HEIGHT,
     chunk: int = CHUNK,
+    rows_before: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``total``, the sum of ``points`` over clock values ``[h - win + 1, h]`` of the group, and
     ``position``, the row's 1-based number in its group.
 
     Every row adds its points at ``h`` and takes them off at ``h + win``, so the sum is a running sum and
     its cost does not depend on ``win``. ``points`` must be integer and not null. ``df`` is read three times,
-    twice for the group, clock and points only: pass a table.
+    twice for the group, clock and points only: pass a table. If earlier rows are left out of ``df``,
+    ``rows_before`` (the group and ``rows_before``) counts them. Copies of a (clock, group) key are an error.
     """
     group = list(group)
     if win < 1 or chunk < 1:
@@ -84,35 +103,41 @@ def trailing_sum(
     offsets = _offsets(narrow, group, {
         "_sum_before": F.sum("_delta"),
         "_rows_before": _rows_in_chunk(F.count_if("_start"), chunk),
-    })
+    }, rows_before)
 
     running = (
         Window.partitionBy(*group, "_chunk").orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    same = Window.partitionBy(*group, "_chunk").orderBy("_at").rangeBetween(Window.currentRow, Window.currentRow)
     local = events.select(
         "*",
         F.sum("_delta").over(running).alias("_sum"),
         F.count("_row").over(running).alias("_rows"),
+        F.count("_row").over(same).alias("_copies"),
     ).filter(F.col("_row").isNotNull())
     return local.join(offsets, [*group, "_chunk"]).select(
         *[F.col(c) if c in group else F.col(f"_row.{c}").alias(c) for c in df.columns],
         (F.col("_sum") + F.col("_sum_before")).alias(total),
-        (F.col("_rows") + F.col("_rows_before")).alias(position),
+        _single(F.col("_copies"), F.col("_rows") + F.col("_rows_before")).alias(position),
     )
 
 
 def row_numbers(
     df: DataFrame, group: Sequence[str], position: str, clock: str = HEIGHT, chunk: int = CHUNK
 ) -> DataFrame:
-    """Add ``position``, the row's 1-based number in its group by clock."""
+    """Add ``position``, the row's 1-based number in its group by clock. Copies of a key are an error."""
     group = list(group)
     parts = df.withColumn("_chunk", chunk_of(F.col(clock), chunk))
     offsets = _offsets(parts, group, {"_rows_before": _rows_in_chunk(F.count("*"), chunk)})
-    local = parts.withColumn("_row", F.row_number().over(Window.partitionBy(*group, "_chunk").orderBy(clock)))
+    ordered = Window.partitionBy(*group, "_chunk").orderBy(clock)
+    local = parts.withColumns({
+        "_row": F.row_number().over(ordered),
+        "_copies": F.when(F.lag(clock).over(ordered) == F.col(clock), 2).otherwise(1),
+    })
     return local.join(offsets, [*group, "_chunk"]).select(
         *[F.col(c) for c in df.columns],
-        (F.col("_row") + F.col("_rows_before")).alias(position),
+        _single(F.col("_copies"), F.col("_row") + F.col("_rows_before")).alias(position),
     )
 
 
@@ -152,21 +177,23 @@ def adjacent_gaps(df: DataFrame, clock: str = HEIGHT, chunk: int = 65_536) -> Da
     """(previous_block, block, gap) for every pair of neighbouring distinct clock values.
 
     Neighbours within a chunk come from a window over at most ``chunk`` rows; the step from one
-    occupied chunk to the next comes from a table of chunk ends (at most 2^31 / chunk rows).
+    occupied chunk to the next comes from the chunks' ends (at most 2^31 / chunk rows), seen in the same window.
     """
     heights = (
         df.select(F.col(clock).cast("int").alias("block")).filter(F.col("block").isNotNull()).distinct()
         .withColumn("_chunk", chunk_of(F.col("block"), chunk))
     )
-    inner = heights.select(
-        F.lag("block").over(Window.partitionBy("_chunk").orderBy("block")).alias("previous_block"), "block"
+    within = Window.partitionBy("_chunk")
+    placed = heights.select(
+        F.lag("block").over(within.orderBy("block")).alias("previous_block"), "block", "_chunk",
+        F.max("block").over(within).alias("_last"),
     )
-    ends = heights.groupBy("_chunk").agg(F.min("block").alias("_first"), F.max("block").alias("_last"))
-    edges = ends.select(
-        F.lag("_last").over(Window.orderBy("_chunk")).alias("previous_block"), F.col("_first").alias("block")
+    # The first height of a chunk follows the last one of the chunk before.
+    edges = placed.filter(F.col("previous_block").isNull()).select(
+        F.lag("_last").over(Window.orderBy("_chunk")).alias("previous_block"), "block"
     )
     return (
-        inner.unionByName(edges)
+        placed.select("previous_block", "block").unionByName(edges)
         .filter(F.col("previous_block").isNotNull())
         .withColumn("gap", F.col("block") - F.col("previous_block"))
     )

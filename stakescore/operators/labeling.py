@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from stakescore.operators.chunked import CHUNK, LABEL_CHUNK, forward_mean, row_numbers
 from stakescore.operators.skew import attach_by_key
-from stakescore.schemas import HEIGHT, OPERATOR
-from stakescore.staging import Stage, written
+from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, OPERATOR
+from stakescore.staging import Stage, lazy
 
-#: The averaged columns of a bucket.
-BUCKET_MEANS = (
-    "tokens", "commission_rate", "delegator_shares", "self_bonded", "tokens_proportion",
-    "voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score", "score",
-)
-#: Largest top set that is broadcast.
+#: The averaged columns of a bucket: those of the label table but for its key and the label.
+BUCKET_MEANS = tuple(c for c in BLOCK_LABEL_SCHEMA.fieldNames() if c not in (*KEY, "label"))
+#: Largest top set that is broadcast; a larger one is joined by shuffle, with the same result.
 BROADCAST_TOP = 100_000
 
 
@@ -43,27 +40,27 @@ def keep_validators(df: DataFrame, top: DataFrame, size: int) -> DataFrame:
 
 
 def validator_filter(
-    df: DataFrame, start_block: int, end_block: int, top_validators: int, stage: Stage = written
+    df: DataFrame, start_block: int, end_block: int, top_validators: int, stage: Stage = lazy
 ) -> DataFrame:
-    """Keep the whole history of the survey window's top validators. The top set is staged: computed twice, it
-    could differ in the last bits of its means.
-    """
+    """Keep the whole history of the survey window's top validators."""
     top = stage(survey_top(df, start_block, end_block, top_validators), "top")
     return keep_validators(df, top, top_validators)
 
 
 def combine_data(
-    df: DataFrame, combine_win_size: int, scope: Sequence[str] = (), chunk: int = CHUNK
+    df: DataFrame, combine_win_size: int, scope: Sequence[str] = (), chunk: int = CHUNK, rows: str | None = None
 ) -> DataFrame:
     """Means over every ``combine_win_size`` consecutive rows of a validator, at their first height.
-    ``new_block`` numbers the buckets from 0; a short last bucket is kept.
+    ``new_block`` numbers the buckets from 0; a short last bucket is kept. ``rows`` names a column for their
+    number of rows.
     """
+    counted = [F.count("*").alias(rows)] if rows else []
     numbered = row_numbers(df, [*scope, OPERATOR], "_position", chunk=chunk)
     return (
         numbered
         .withColumn("new_block", F.floor((F.col("_position") - 1) / F.lit(combine_win_size)).cast("bigint"))
         .groupBy(*scope, OPERATOR, "new_block")
-        .agg(F.min(HEIGHT).alias(HEIGHT), *[F.avg(c).alias(c) for c in BUCKET_MEANS])
+        .agg(F.min(HEIGHT).alias(HEIGHT), *[F.avg(c).alias(c) for c in BUCKET_MEANS], *counted)
     )
 
 

@@ -4,10 +4,10 @@
 Keys (scope, block_height, operator_address) must be unique and not null; ``quality.key_violations``
 finds those that are not.
 
-Operators that attach block values use their input twice. Their block tables are staged, so a chain of
-them stays linear: a small job when it is built, and the rows in the final action. ``stage=staging.lazy``
-leaves it all to the final action, whose plan then doubles with every step. ``plans.data_scoring``
-computes the whole chain with fewer shuffles.
+Building an operator starts no job. Those that attach block values use their input twice, so the plan of
+a chain of them doubles with every step; with ``stage=staging.written`` their block tables are written when
+the operator is built, and the chain stays linear. ``plans.data_scoring`` computes the whole chain with
+fewer shuffles.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from stakescore.functions import scores
 from stakescore.operators.chunked import CHUNK, trailing_sum
 from stakescore.operators.skew import attach_by_key
 from stakescore.schemas import HEIGHT, OPERATOR
-from stakescore.staging import Stage, written
+from stakescore.staging import Stage, lazy
 
 
 def block_totals() -> dict[str, Column]:
@@ -58,7 +58,7 @@ def clean(df: DataFrame) -> DataFrame:
     })
 
 
-def preprocess(df: DataFrame, scope: Sequence[str] = (), stage: Stage = written) -> DataFrame:
+def preprocess(df: DataFrame, scope: Sequence[str] = (), stage: Stage = lazy) -> DataFrame:
     """``clean`` plus the block's validator count, total tokens and total self-bond on every row."""
     return attach_to_blocks(clean(df), stage(block_table(df, block_totals(), scope), "totals"), scope)
 
@@ -79,7 +79,7 @@ def commission_score(df: DataFrame, accept_rate: float) -> DataFrame:
 
 
 def self_bonded_score(
-    df: DataFrame, concentration_level: float, scope: Sequence[str] = (), stage: Stage = written
+    df: DataFrame, concentration_level: float, scope: Sequence[str] = (), stage: Stage = lazy
 ) -> DataFrame:
     """Self-bond excess as a fraction of the block's largest; null where that is 0."""
     largest = stage(block_table(df, {"_largest_bond": F.max("self_bonded")}, scope), "bonds")
@@ -120,7 +120,7 @@ def vote_proposed_score(
     vote_proposed_win_size: int,
     scope: Sequence[str] = (),
     chunk: int = CHUNK,
-    stage: Stage = written,
+    stage: Stage = lazy,
 ) -> DataFrame:
     """Drop rows with any null (warm-up rows among them) and add the activity sum as a fraction of the
     block's largest among the remaining rows; null where that is 0.

@@ -14,24 +14,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Rows of one key that a single task takes.
+#: Rows of one key that a single task takes. Of N rows fewer than N / ROWS_PER_PART keys can be heavier, which
+#: bounds the list of them that is broadcast: a million narrow rows for a panel of 10^12 rows.
 ROWS_PER_PART = 1_000_000
-#: Most keys that are split; it bounds the broadcast list of heavy keys. With N rows in all, a key
-#: beyond the list holds at most N / HEAVY_KEYS rows.
-HEAVY_KEYS = 100_000
 
 
 def parts_of(weight: Column, rows_per_part: int) -> Column:
     return F.ceil(weight / F.lit(rows_per_part)).cast("int")
 
 
-def heavy_keys(values: DataFrame, keys: Sequence[str], weight: str, rows_per_part: int, limit: int) -> DataFrame:
-    """The at most ``limit`` heaviest keys above ``rows_per_part`` rows, with their number of parts."""
-    return (
-        values.filter(F.col(weight) > rows_per_part)
-        .orderBy(F.desc(weight), *keys)
-        .limit(limit)
-        .select(*keys, parts_of(F.col(weight), rows_per_part).alias("_parts"))
+def heavy_keys(values: DataFrame, keys: Sequence[str], weight: str, rows_per_part: int) -> DataFrame:
+    """All keys above ``rows_per_part`` rows, with their number of parts."""
+    return values.filter(F.col(weight) > rows_per_part).select(
+        *keys, parts_of(F.col(weight), rows_per_part).alias("_parts")
     )
 
 
@@ -43,7 +38,6 @@ def attach_by_key(
     spread_by: Sequence[str],
     how: str = "inner",
     rows_per_part: int = ROWS_PER_PART,
-    limit: int = HEAVY_KEYS,
 ) -> DataFrame:
     """Equi-join ``rows`` with ``values`` (one row per key), splitting heavy keys.
 
@@ -51,9 +45,7 @@ def attach_by_key(
     ``spread_by`` are columns of ``rows`` that vary within a key. ``how`` is inner, left or left_semi.
     """
     keys = list(keys)
-    # At most `limit` narrow rows, so the broadcast does not grow with the data. Rows of any other key
-    # take part 0, which every key has.
-    heavy = F.broadcast(heavy_keys(values, keys, weight, rows_per_part, limit))
+    heavy = F.broadcast(heavy_keys(values, keys, weight, rows_per_part))
     parts = F.col("_parts")
     part = F.when(parts.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
     every_part = F.sequence(F.lit(0), F.greatest(parts_of(F.col(weight), rows_per_part) - 1, F.lit(0)))

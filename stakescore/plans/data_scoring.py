@@ -1,21 +1,24 @@
 """The whole scoring run: panel -> labelled buckets.
 
 Same results as chaining the operators of ``operators.scoring`` and ``operators.labeling``, in an order
-that moves the wide rows less. The activity sums do not need block values, and every block value follows
-from one aggregation: the largest self-bond excess is the excess of the largest self-bond, and within a
-block either no row or every complete warmed-up row survives the null drop. So:
-
-1. one shuffle by (validator, chunk) gives the activity sums; the rows are staged,
-2. one aggregation by block gives all block values; staged too, so their size is known to later joins,
-3. the survey reads the survey heights only and gives the top set,
-4. the top validators' rows take the block values in one join and are scored, bucketed and labelled.
+that moves wide rows only for the validators that are kept. Every block value follows from two aggregations
+without joins: totals and the largest self-bond come straight off the panel (the largest self-bond excess is
+the excess of the largest self-bond), and the largest activity from a pass over keys, points and one flag,
+as within a block either no row or every complete warmed-up row survives the null drop. So:
+
+1. all validators' narrow rows are shuffled once, for the largest activity of each block,
+2. the survey reads the heights of its window (and one activity window before it) and gives the top set,
+3. the panel is read again for the top validators alone, whose activity needs only their own rows, and
+   their rows are scored once, staged, bucketed and labelled.
+
+Without a top set there is one pass, over all columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stakescore.functions import scores
 from stakescore.operators import labeling, scoring
@@ -24,52 +27,71 @@ from stakescore.params import ScoringParams
 from stakescore.staging import Stage, written
 from stakescore.schemas import HEIGHT, OPERATOR, PANEL_COLUMNS
 
+#: What a survey needs of a row, besides its key and activity.
+SURVEY_COLUMNS = ("tokens", "self_bonded", "commission_rate")
+#: What a label needs.
+LABEL_COLUMNS = ("tokens", "delegator_shares", "self_bonded", "commission_rate")
+
+
+def activity_rows(
+    panel: DataFrame,
+    params: ScoringParams,
+    columns: Sequence[str] = LABEL_COLUMNS,
+    chunk: int = CHUNK,
+    rows_before: DataFrame | None = None,
+) -> DataFrame:
+    """The key, ``columns``, ``_activity``, ``_position``, ``_complete`` (no null in the panel's columns) and, if
+    there are ``columns``, ``_inactive``. Flags and status end here, so they are not shuffled.
 
-def activity_rows(panel: DataFrame, params: ScoringParams, scope: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
-    """Panel amounts and rates with ``_activity``, ``_eligible`` (complete and warmed up) and ``_inactive``;
-    flags and status end here, so they are not shuffled.
+    ``rows_before`` (operator_address, rows_before) counts the validators' rows that ``panel`` leaves out.
     """
-    rows = scoring.clean(panel.select(*scope, *PANEL_COLUMNS))
-    rows = rows.withColumns({
-        "_complete": scores.complete(rows, list(PANEL_COLUMNS)),
-        "_inactive": scores.inactive(F.col("jailed"), F.col("status")),
-    })
-    rows = scoring.vote_points(rows, params.vote_score, params.propose_score)
-    rows = rows.drop("jailed", "status", "vote", "propose")
-    win = params.vote_proposed_win_size
-    summed = trailing_sum(rows, "vote_propose_point", win, [*scope, OPERATOR], "_activity", "_position", chunk=chunk)
-    return (
-        summed
-        .withColumn("_eligible", F.col("_complete") & (F.col("_position") >= win))
-        .drop("_complete", "_position", "vote_propose_point")
+    rows = scoring.clean(panel.select(*PANEL_COLUMNS))
+    rows = scoring.vote_points(rows, params.vote_score, params.propose_score).select(
+        HEIGHT, OPERATOR, *columns,
+        scores.complete(rows, list(PANEL_COLUMNS)).alias("_complete"), "vote_propose_point",
+        *[scores.inactive(F.col("jailed"), F.col("status")).alias("_inactive")] * bool(columns),
     )
+    return trailing_sum(
+        rows, "vote_propose_point", params.vote_proposed_win_size, [OPERATOR], "_activity", "_position",
+        chunk=chunk, rows_before=rows_before,
+    ).drop("vote_propose_point")
+
+
+def eligible(params: ScoringParams) -> Column:
+    """Complete and warmed up."""
+    return F.col("_complete") & (F.col("_position") >= params.vote_proposed_win_size)
+
+
+def total_values(panel: DataFrame) -> DataFrame:
+    """Per block: its totals and largest self-bond, from the panel alone."""
+    return scoring.block_table(panel, scoring.block_totals() | {"_largest_bond": F.max("self_bonded")})
+
+
+def largest_activity(rows: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Per block the largest activity among the eligible ``rows``; other blocks are left out."""
+    return rows.groupBy(*scope, HEIGHT).agg(F.max("_activity").alias("_largest_sum"))
 
 
-def block_values(rows: DataFrame, params: ScoringParams, scope: Sequence[str] = ()) -> DataFrame:
-    """Per block: its totals, largest self-bond excess and largest activity; blocks without any
-    survivor of the null drop are left out.
+def block_values(totals: DataFrame, largest: DataFrame, params: ScoringParams) -> DataFrame:
+    """Per block: totals, largest self-bond excess and largest activity; blocks without any survivor of the
+    null drop are left out.
     """
-    largest = {
-        "_largest_bond": F.max("self_bonded"),
-        "_largest_sum": F.max(F.when(F.col("_eligible"), F.col("_activity"))),
-    }
-    table = scoring.block_table(rows, scoring.block_totals() | largest, scope)
-    largest_excess = scores.bond_excess(
+    excess = scores.bond_excess(
         F.col("_largest_bond"),
         F.col("total_self_bonded_amt_per_block"),
         F.col("validators_count_per_block"),
         params.concentration_level,
     )
-    return (
-        table.withColumn("_largest_excess", largest_excess).drop("_largest_bond")
-        .filter((F.col("total_token_amt_per_block") != 0) & (F.col("_largest_excess") > 0))
+    alive = totals.withColumn("_largest_excess", excess).drop("_largest_bond").filter(
+        (F.col("total_token_amt_per_block") != 0) & (F.col("_largest_excess") > 0)
     )
+    return largest.join(alive, HEIGHT)
 
 
 def scored_rows(rows: DataFrame, blocks: DataFrame, params: ScoringParams, scope: Sequence[str] = ()) -> DataFrame:
-    """The per-block score frame: eligible rows with all sub-scores and the score."""
+    """The per-block score frame of eligible ``rows``: all sub-scores and the score."""
     attached = scoring.attach_by_key(
-        rows.filter("_eligible").drop("_eligible"), blocks, [*scope, HEIGHT], "_weight", [OPERATOR]
+        rows.drop("_complete", "_position"), blocks, [*scope, HEIGHT], "_weight", [OPERATOR]
     )
     scored = scoring.commission_score(scoring.voting_power_score(attached), params.accept_rate).withColumns({
         "self_bonded_score": F.try_divide(
@@ -87,48 +109,70 @@ def scored_rows(rows: DataFrame, blocks: DataFrame, params: ScoringParams, scope
     return scored.withColumn("score", scores.overridden_score(total, F.col("_inactive"))).drop("_inactive")
 
 
-def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
-    """The top validators of the survey window, from the panel up to its end (no score looks ahead)."""
-    history = panel.filter(F.col(HEIGHT) <= params.end_block)
-    recent = activity_rows(history, params, chunk=chunk).filter(F.col(HEIGHT) >= params.start_block)
-    rows = stage(recent, "survey")
-    return _surveyed(rows, stage(block_values(rows, params), "survey-blocks"), params)
+def rows_until(panel: DataFrame, height: int) -> DataFrame:
+    """(operator_address, rows_before): the validators' rows below ``height``, counted map-side."""
+    return panel.filter(F.col(HEIGHT) < height).groupBy(OPERATOR).agg(F.count("*").alias("rows_before"))
 
 
-def _surveyed(rows: DataFrame, blocks: DataFrame, params: ScoringParams) -> DataFrame:
-    window = rows.filter(F.col(HEIGHT).between(params.start_block, params.end_block))
-    scored = scored_rows(window, blocks, params)
-    return labeling.survey_top(scored, params.start_block, params.end_block, params.top_validators)
+def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
+    """The top validators of the survey window. Sums are taken over the window and the activity window before
+    it; of older rows only the number by validator counts.
+    """
+    first = params.start_block - params.vote_proposed_win_size + 1
+    recent = panel.filter(F.col(HEIGHT).between(first, params.end_block))
+    rows = activity_rows(recent, params, SURVEY_COLUMNS, chunk, rows_until(panel, first))
+    rows = stage(rows.filter(eligible(params) & (F.col(HEIGHT) >= params.start_block)), "survey")
+    totals = total_values(panel.filter(F.col(HEIGHT).between(params.start_block, params.end_block)))
+    blocks = stage(block_values(totals, largest_activity(rows), params), "survey-blocks")
+    return labeling.survey_top(
+        scored_rows(rows, blocks, params), params.start_block, params.end_block, params.top_validators
+    )
 
 
 def score_panel(panel: DataFrame, params: ScoringParams, stage: Stage = written, chunk: int = CHUNK) -> DataFrame:
     """Per-block scores of every validator (the ``validator_score`` table, before survey and buckets)."""
-    rows = stage(activity_rows(panel, params, chunk=chunk), "activity")
-    return scored_rows(rows, stage(block_values(rows, params), "blocks"), params)
+    rows = stage(activity_rows(panel, params, chunk=chunk).filter(eligible(params)), "activity")
+    return scored_rows(rows, stage(block_values(total_values(panel), largest_activity(rows), params), "blocks"), params)
+
+
+def activity_of(
+    panel: DataFrame, params: ScoringParams, stage: Stage, top: DataFrame | None, chunk: int
+) -> tuple[DataFrame, DataFrame]:
+    """Activity rows of the validators to label, and of all validators; of the latter only the key,
+    ``_activity``, ``_position`` and ``_complete`` are to be used.
+
+    ``top`` (``operator_address``, one row each) is labelled instead of the survey's top set; with neither, all.
+    """
+    size = params.top_validators
+    if top is not None:
+        top = stage(top, "top")
+        size = top.count()
+    elif size is not None:
+        top = stage(survey(panel, params, stage, chunk), "top")
+    if top is None:
+        rows = stage(activity_rows(panel, params, chunk=chunk), "activity")
+        return rows, rows
+    kept = labeling.keep_validators(panel, top, size)
+    return activity_rows(kept, params, chunk=chunk), activity_rows(panel, params, (), chunk)
 
 
 def data_scoring(
     panel: DataFrame,
     params: ScoringParams,
     stage: Stage = written,
-    scope: Sequence[str] = (),
     top: DataFrame | None = None,
     chunk: int = CHUNK,
 ) -> DataFrame:
     """Labelled buckets of the top validators. ``top`` (``operator_address``, one row each) is kept instead of
-    the survey's top set; with ``scope`` (independent batches) it must be given, or no top set asked for.
+    the survey's top set.
     """
-    rows = stage(activity_rows(panel, params, scope, chunk), "activity")
-    blocks = stage(block_values(rows, params, scope), "blocks")
-    kept = rows
-    if top is not None:
-        top = stage(top, "top")
-        kept = labeling.keep_validators(rows, top, top.count())
-    elif params.top_validators is not None:
-        if scope:
-            raise ValueError("a survey over batches is not defined: pass top")
-        top = stage(_surveyed(rows, blocks, params), "top")
-        kept = labeling.keep_validators(rows, top, params.top_validators)
-    scored = scored_rows(kept, blocks, params, scope)
+    kept, everyone = activity_of(panel, params, stage, top, chunk)
+    largest = largest_activity(everyone.filter(eligible(params)))
+    blocks = stage(block_values(total_values(panel), largest, params), "blocks")
+    scored = stage(scored_rows(kept.filter(eligible(params)), blocks, params), "scored")
+    return labels_of(scored, params, chunk=chunk)
+
+
+def labels_of(scored: DataFrame, params: ScoringParams, scope: Sequence[str] = (), chunk: int = CHUNK) -> DataFrame:
     buckets = labeling.combine_data(scored, params.combine_win_size, scope, chunk)
     return labeling.shifting_data(buckets, params.label_win_size, params.combine_win_size, scope).drop("new_block")

@@ -13,7 +13,7 @@ KEY = (HEIGHT, OPERATOR)
 
 _AMOUNT = DecimalType(38, 0)
 
-#: One row per (block_height, operator_address); commission_rate is scaled by 10^18.
+#: One row per (block_height, operator_address); commission_rate is scaled by 10^18.
 PANEL_SCHEMA = StructType([
     StructField(HEIGHT, IntegerType(), False),
     StructField(OPERATOR, StringType(), False),
@@ -28,7 +28,7 @@ PANEL_SCHEMA = StructType([
 ])
 PANEL_COLUMNS = tuple(PANEL_SCHEMA.fieldNames())
 
-#: Labelled buckets, key (block_height, operator_address).
+#: Labelled buckets, key (block_height, operator_address).
 BLOCK_LABEL_SCHEMA = StructType([
     StructField(OPERATOR, StringType()),
     StructField("commission_score", DoubleType()),
@@ -45,7 +45,7 @@ BLOCK_LABEL_SCHEMA = StructType([
     StructField("score", DoubleType()),
 ])
 
-#: Per-block scores, key (block_height, operator_address).
+#: Per-block scores, key (block_height, operator_address).
 VALIDATOR_SCORE_SCHEMA = StructType([
     StructField(HEIGHT, IntegerType()),
     StructField(OPERATOR, StringType()),

@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stakescore.schemas import HEIGHT
 
 POSTGRES_DRIVER = "org.postgresql.Driver"
-#: Amounts exceed 64 bits and are read whole.
+#: Fixed value: the types of the panel's amounts, which exceed 64 bits and are read whole.
 AMOUNT_TYPES = "tokens decimal(38,0), delegator_shares decimal(38,0), self_bonded decimal(38,0)"
 
 
+#: Connections of a parallel scan.
+PARTITIONS = 16
+
+
 def postgres_url(host: str, port: int, database: str) -> str:
     return f"jdbc:postgresql://{host}:{port}/{database}"
 
@@ -23,12 +27,13 @@ def scan_options(
     driver: str = POSTGRES_DRIVER,
     lower: int | None = None,
     upper: int | None = None,
-    partitions: int = 1,
-    custom_schema: str | None = AMOUNT_TYPES,
+    partitions: int = PARTITIONS,
+    custom_schema: str | None = None,
     **extra: str,
 ) -> dict[str, str]:
     """Options of a scan. ``table`` may be a parenthesised query with an alias. With height bounds the scan
-    runs as ``partitions`` parallel range queries (rows outside the bounds are read too).
+    runs as ``partitions`` parallel range queries (rows outside the bounds are read too); without them it is
+    one query, for small tables and aggregates. ``custom_schema`` overrides the types that Spark derives.
     """
     options = {"url": url, "dbtable": table, "driver": driver}
     if user is not None:
@@ -44,8 +49,8 @@ def scan_options(
             "upperBound": str(upper),
             "numPartitions": str(partitions),
         }
-    elif partitions != 1:
-        raise ValueError("a parallel scan needs height bounds")
+    elif lower is not None or upper is not None:
+        raise ValueError("a parallel scan needs both height bounds")
     return options | {k: str(v) for k, v in extra.items()}
 
 
@@ -54,18 +59,20 @@ def query(spark: SparkSession, url: str, table: str, **settings) -> DataFrame:
 
 
 def sampling(
-    spark: SparkSession, url: str, table: str, from_block: int, to_block: int, partitions: int = 1, **settings
+    spark: SparkSession, url: str, table: str, from_block: int, to_block: int, partitions: int = PARTITIONS,
+    custom_schema: str | None = AMOUNT_TYPES, **settings
 ) -> DataFrame:
-    """The inclusive height range of a table, as parallel range queries; the database filters."""
+    """The inclusive height range of a panel table, as parallel range queries; the database filters."""
     return query(
-        spark, url, table, lower=from_block, upper=to_block + 1, partitions=partitions, **settings
+        spark, url, table, lower=from_block, upper=to_block + 1, partitions=partitions,
+        custom_schema=custom_schema, **settings
     ).filter(F.col(HEIGHT).between(from_block, to_block))
 
 
 def height_bounds(spark: SparkSession, url: str, table: str, **settings) -> DataFrame:
     """(min_height, max_height) of a table; the database aggregates."""
     bounds = f"(SELECT min({HEIGHT}) AS min_height, max({HEIGHT}) AS max_height FROM {table}) AS bounds"
-    return query(spark, url, bounds, custom_schema=None, **settings)
+    return query(spark, url, bounds, **settings)
 
 
 def sink_options(
@@ -78,10 +85,10 @@ def sink_options(
     **extra: str,
 ) -> dict[str, str]:
     return scan_options(
-        url, table, user, password, driver, custom_schema=None, batchsize=str(batchsize), **extra
+        url, table, user, password, driver, batchsize=str(batchsize), **extra
     )
 
 
 def upload(df: DataFrame, url: str, table: str, mode: str = "append", **settings) -> None:
-    """Append to a table. Pass ``streaming.backfill.append_dedup`` output to make a re-run harmless."""
+    """Append to a table. Pass ``incremental.backfill.append_dedup`` output to make a re-run harmless."""
     df.write.format("jdbc").options(**sink_options(url, table, **settings)).mode(mode).save()

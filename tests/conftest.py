@@ -37,11 +37,23 @@ def sf_dir():
 
 
 @pytest.fixture(scope="session")
-def duck(sf_dir):
-    con = duckdb.connect()
-    for path in glob.glob(f"{sf_dir}/*.parquet"):
-        con.sql(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
-    return con
+def duck_at():
+    """A DuckDB connection with the tables of a scale as views."""
+    known = {}
+
+    def connect(sf):
+        if sf not in known:
+            known[sf] = duckdb.connect()
+            for path in glob.glob(f"{TESTDATA}/{sf}/*.parquet"):
+                known[sf].sql(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{path}'")
+        return known[sf]
+
+    return connect
+
+
+@pytest.fixture(scope="session")
+def duck(duck_at):
+    return duck_at("sf0.001")
 
 
 @pytest.fixture(scope="session")

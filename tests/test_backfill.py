@@ -5,12 +5,13 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from stakescore.catalog.panels import TEST, weekly_panel
 from stakescore.params import LOCAL, LOCAL_BATCH_SIZE, PRODUCTION, PRODUCTION_BATCH_SIZE, ScoringParams
-from stakescore.plans.data_scoring import data_scoring
+from stakescore.plans.data_scoring import data_scoring, survey
 from stakescore.schemas import BLOCK_LABEL_SCHEMA, project
 from stakescore.staging import written
-from stakescore.streaming import backfill
-from stakescore.streaming.backfill import BatchPlan
+from stakescore.incremental import backfill
+from stakescore.incremental.backfill import BatchPlan
 from tests.conftest import rows_of
 
 SMALL = ScoringParams(
@@ -136,13 +137,6 @@ def test_batches_equal_the_whole_history_on_a_dense_panel(spark, dense, top):
     assert whole.count() == (top or 5) * 95
 
 
-def test_batches_need_a_given_top_set(dense):
-    params = replace(SMALL, start_block=30, end_block=60, top_validators=3)
-    scoped = plan(7, 398, 87, SMALL, 0).assign(dense)
-    with pytest.raises(ValueError):
-        data_scoring(scoped, params, scope=("batch_id",))
-
-
 def test_resume_continues_where_one_run_would(spark, dense):
     whole = project(data_scoring(dense, SMALL), BLOCK_LABEL_SCHEMA)
     first = plan(7, 200, 87, SMALL, 0)
@@ -158,11 +152,43 @@ def test_resume_continues_where_one_run_would(spark, dense):
 def test_increments_add_up_to_the_whole_history(spark, dense):
     sink = spark.createDataFrame([], BLOCK_LABEL_SCHEMA)
     for end in (150, 290, 398, 398):
-        new = backfill.incremental_labels(dense.filter(F.col("block_height") <= end), sink, 7, end, 87, SMALL)
+        new = backfill.incremental_labels(dense, sink, end, SMALL, chunk=50, whole_buckets=end < 398)
         sink = written(sink.unionByName(new), "sink")
     assert comparable(sink) == comparable(data_scoring(dense, SMALL))
     with pytest.raises(ValueError):
-        backfill.incremental_labels(dense, sink, 7, 399, 87, SMALL)
+        backfill.incremental_labels(dense, sink, 399, SMALL)
+
+
+@pytest.mark.parametrize("top", [None, 8])
+def test_increments_on_a_panel_with_gaps(spark, sf_dir, top):
+    panel = written(weekly_panel(spark, sf_dir), "panel")
+    params = replace(TEST, top_validators=top)
+    names = None if top is None else written(survey(panel, params), "top")
+    sink = spark.createDataFrame([], BLOCK_LABEL_SCHEMA)
+    for end in (200, 260, 350, 351, 430, 513):
+        new = backfill.incremental_labels(panel, sink, end, params, names, chunk=32, whole_buckets=end < 513)
+        sink = written(sink.unionByName(new), "sink")
+    whole = project(data_scoring(panel, params), BLOCK_LABEL_SCHEMA)
+    assert whole.count() == (678 if top is None else 545)
+    assert comparable(sink) == comparable(whole)
+
+
+def test_an_increment_can_be_repeated(spark, sf_dir, tmp_path):
+    panel = written(weekly_panel(spark, sf_dir), "panel")
+    params = replace(TEST, top_validators=None)
+    path = str(tmp_path / "sink")
+    for end in (300, 300, 513, 513):
+        backfill.append_labels(panel, path, end, params, whole_buckets=end < 513)
+    sink = spark.read.parquet(path)
+    assert comparable(sink) == comparable(project(data_scoring(panel, params), BLOCK_LABEL_SCHEMA))
+
+
+def test_the_sink_is_read_from_the_first_start_on(spark, sf_dir):
+    panel = written(weekly_panel(spark, sf_dir), "panel")
+    params = replace(TEST, top_validators=None)
+    sink = written(project(data_scoring(panel.filter("block_height <= 400"), params), BLOCK_LABEL_SCHEMA), "sink")
+    plan_text = backfill.incremental_labels(panel, sink, 513, params)._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(block_height,3" in plan_text
 
 
 def test_assigned_heights_are_pushed_to_the_scan(spark, dense):

@@ -108,8 +108,31 @@ def test_one_history_runs_in_many_tasks(spark, fixed_partitions, operator):
     assert max(r["rows"] for r in tasks) < 8000 / 2
 
 
-def test_copies_of_a_key_are_an_error(spark):
-    df = spark.range(200).selectExpr("'a' AS v", "5 AS block_height", "1 AS p")
-    for broken in (trailing_sum(df, "p", 3, ["v"], "t", "n", chunk=100), row_numbers(df, ["v"], "n", chunk=100)):
-        with pytest.raises(Exception, match="more rows than heights"):
-            broken.collect()
+@pytest.mark.parametrize("copies", [2, 20_000])
+@pytest.mark.parametrize("operator", [
+    lambda df: trailing_sum(df, "p", 3, ["v"], "t", "n", chunk=100), lambda df: row_numbers(df, ["v"], "n", chunk=100),
+])
+def test_copies_of_a_key_are_one_error(spark, copies, operator):
+    df = spark.range(50).selectExpr("'a' AS v", "cast(id AS int) AS block_height", "1 AS p").unionByName(
+        spark.range(copies - 1).selectExpr("'a' AS v", "5 AS block_height", "1 AS p"))
+    with pytest.raises(Exception, match="block and validator are not a key"):
+        operator(df).collect()
+
+
+def test_rows_left_out_are_counted(spark):
+    rows = irregular(3)
+    df = spark.createDataFrame(rows, "v string, block_height int, p int")
+    before = df.filter("block_height < 60").groupBy("v").agg(F.count("*").alias("rows_before"))
+    late = df.filter("block_height >= 60")
+    got = trailing_sum(late, "p", 1, ["v"], "t", "n", chunk=10, rows_before=before)
+    want = trailing_sum(df, "p", 1, ["v"], "t", "n", chunk=10).filter("block_height >= 60")
+    assert rows_of(got, *got.columns) == rows_of(want, *got.columns)
+
+
+def test_gaps_scan_their_table_once(spark, sf_dir):
+    from stakescore.catalog.panels import minute_heights
+
+    gaps = adjacent_gaps(minute_heights(spark, sf_dir))
+    gaps.collect()
+    plan = gaps._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1 or plan.count("FileScan") == 1

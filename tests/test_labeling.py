@@ -7,37 +7,40 @@ from tests.conftest import rows_of
 
 
 @pytest.fixture(scope="module")
-def toy(spark):
-    """Validators a-g over blocks 1-10; b has no block 5."""
-    scores = {
-        "a": {1: 200, 2: 5} | {h: 2 for h in range(3, 11)},
-        "b": dict(zip([1, 2, 3, 4, 6, 7, 8, 9, 10], [4, 4, 20, 12, 4, 4, 10, 4, 4])),
-    } | {v: {h: 7 if h == 5 else 4 for h in range(1, 11)} for v in "cdefg"}
-    rows = [(v, h, s, 1) for v, by_height in scores.items() for h, s in by_height.items()]
-    assert len(rows) == 69
-    return spark.createDataFrame(rows, "operator_address string, block_height bigint, score bigint, blah bigint")
+def survey_rows(spark):
+    """Four validators at heights 11 to 14. Over them red has mean 6, blue 5 (without height 13), gold and
+    teal 3 each, so that a cut after the third place falls between equal means.
+    """
+    rows = [
+        ("red", 11, 9.0), ("red", 12, 3.0), ("red", 13, 6.0), ("red", 14, 6.0),
+        ("blue", 11, 4.0), ("blue", 12, 5.0), ("blue", 14, 6.0),
+        ("teal", 11, 3.0), ("teal", 12, 3.0), ("teal", 13, 3.0), ("teal", 14, 3.0),
+        ("gold", 11, 0.0), ("gold", 12, 6.0), ("gold", 13, 2.0), ("gold", 14, 4.0),
+    ]
+    return spark.createDataFrame(rows, "operator_address string, block_height int, score double")
 
 
 def names(df):
     return {r[0] for r in df.select("operator_address").distinct().collect()}
 
 
-def test_toy_top_three_over_eight_blocks(toy):
-    kept = labeling.validator_filter(toy, 1, 8, 3)
-    assert kept.count() == 29
-    assert names(kept) == {"a", "b", "c"}
-    means = dict(rows_of(labeling.survey_top(toy, 1, 8, 3), "operator_address", "mean_score"))
-    assert means == pytest.approx({"a": 27.125, "b": 58 / 7, "c": 4.375})
+def test_ties_at_the_cut_go_to_the_smaller_address(survey_rows):
+    top = labeling.survey_top(survey_rows, 11, 14, 3)
+    assert rows_of(top, "operator_address", "mean_score") == [("blue", 5.0), ("gold", 3.0), ("red", 6.0)]
+    kept = labeling.validator_filter(survey_rows, 11, 14, 3)
+    assert names(kept) == {"red", "blue", "gold"}
+    assert kept.count() == 11
 
 
-def test_toy_top_two_over_five_blocks(toy):
-    kept = labeling.validator_filter(toy, 1, 5, 2)
-    assert kept.count() == 19
-    assert names(kept) == {"a", "b"}
+def test_the_survey_window_is_inclusive_and_history_is_kept_whole(survey_rows):
+    # Over 12 and 13: gold (6 + 2) / 2, red (3 + 6) / 2, blue 5 / 1, teal 3.
+    kept = labeling.validator_filter(survey_rows, 12, 13, 2)
+    assert names(kept) == {"blue", "red"}
+    assert kept.count() == 7
 
 
-def test_empty_survey_keeps_nothing(toy):
-    assert labeling.validator_filter(toy, 50, 60, 3).count() == 0
+def test_empty_survey_keeps_nothing(survey_rows):
+    assert labeling.validator_filter(survey_rows, 50, 60, 3).count() == 0
 
 
 def test_null_means_rank_last(spark):
@@ -75,3 +78,10 @@ def test_null_scores_are_left_out_of_labels(spark):
 def test_label_window_must_be_whole_buckets(spark):
     with pytest.raises(ValueError):
         labeling.shifting_data(scored(spark, [("a", 1, 1.0)]), 5, 2)
+
+
+def test_bucket_means_are_those_of_the_label_table():
+    assert set(labeling.BUCKET_MEANS) == {
+        "tokens", "commission_rate", "delegator_shares", "self_bonded", "tokens_proportion",
+        "voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score", "score",
+    }

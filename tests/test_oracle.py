@@ -3,9 +3,8 @@
 import pytest
 
 import __spark_entry__ as contract
-from stakescore.catalog import oracle
-from stakescore.catalog.panels import SURVEY_SIZE, weekly_panel
-from stakescore.catalog.queries import QUERIES, registered
+from stakescore.catalog.panels import weekly_panel
+from stakescore.catalog.queries import QUERIES
 from stakescore.operators import quality
 from tests.conftest import TESTDATA, rows_of
 
@@ -15,9 +14,11 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_sql(spark, duck, sf_dir, name):
-    got = registered()[name](spark, sf_dir)
-    sql = oracle.statements(SURVEY_SIZE["sf0.001"])[name]
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_matches_sql(spark, duck_at, sf, name):
+    duck = duck_at(sf)
+    got = contract.queries()[name](spark, f"{TESTDATA}/{sf}")
+    sql = contract.oracle_sql()[name]
     columns = sorted(got.columns)
     assert sorted(duck.sql(sql).columns) == columns
     quoted = ", ".join(f'"{c}"' for c in columns)
@@ -45,4 +46,4 @@ def test_weekly_panel_counts(spark, sf, rows, validators, nulls):
 
 
 def test_entry_has_rows(spark):
-    assert contract.entry(spark).count() == 342
+    assert contract.entry(spark).count() == 545

@@ -23,19 +23,21 @@ def values_of(df):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-@pytest.mark.parametrize("limit", [1, 1000])
-def test_equals_plain_join(hot, how, limit):
+@pytest.mark.parametrize("size", [1, 50, 5000])
+def test_equals_plain_join(hot, how, size):
     values = values_of(hot)
-    got = attach_by_key(hot, values, ["k"], "n", ["v"], how, rows_per_part=50, limit=limit)
+    got = attach_by_key(hot, values, ["k"], "n", ["v"], how, rows_per_part=size)
     want = hot.join(values.drop("n"), "k", how)
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
 
 
-def test_heavy_list_is_bounded(hot):
-    listed = heavy_keys(values_of(hot), ["k"], "n", 50, 3)
-    assert listed.count() == 3
-    assert listed.filter("k = 0").first()["_parts"] == 20
+@pytest.mark.parametrize("size", [1, 50, 900, 5000])
+def test_all_heavy_keys_are_listed(hot, size):
+    values = rows_of(values_of(hot), "k", "n")
+    listed = rows_of(heavy_keys(values_of(hot), ["k"], "n", size), "k", "_parts")
+    assert listed == sorted(((k, -(-n // size)) for k, n in values if n > size), key=repr)
+    assert len(listed) <= sum(n for _, n in values) / size
 
 
 def test_hot_key_runs_in_many_tasks(spark, hot):
