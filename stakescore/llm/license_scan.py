@@ -101,11 +101,12 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ).select("path", F.xxhash64("line").alias("unit"), _words(F.col("line")).alias("words")).filter(F.arrays_overlap("words", signs))
     counts = units.dropDuplicates(["path", "unit"]).select("path", "unit", F.explode("words").alias("word")).groupBy(
         "path", "unit", "word").agg(F.count("*").alias("n"))
-    weights = spark.createDataFrame(
-        [(w, float(i), [(k, float(v[w]) / math.sqrt(sum(x * x for x in v.values()))) for k, v in enumerate(vectors) if w in v])
-         for w, i in idf.items()],
-        "word string, idf double, parts array<struct<template int, share double>>",
-    )
+    lengths = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
+    weights = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(w).alias("word"), F.lit(idf[w]).alias("idf"), F.array(*[
+            F.struct(F.lit(k).alias("template"), F.lit(v[w] / lengths[k]).alias("share")) for k, v in enumerate(vectors) if w in v
+        ]).alias("parts")) for w in vocabulary
+    ])).alias("entry")).select("entry.*")
     weighed = counts.join(F.broadcast(weights), "word", "left").withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(other)))
     norms = weighed.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dots = weighed.select("path", "unit", "weight", F.explode("parts").alias("part")).groupBy("path", "unit", "part.template").agg(
