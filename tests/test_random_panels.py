@@ -12,6 +12,7 @@ from stakescore.catalog.panels import TEST
 from stakescore.operators import labeling, scoring
 from stakescore.plans.data_scoring import data_scoring, score_panel
 from stakescore.schemas import PANEL_COLUMNS
+from stakescore.staging import written
 
 TOP = 4
 SCORES = ("tokens_proportion", "voting_power_score", "commission_score", "self_bonded_score", "vote_propose_score", "score")
@@ -71,9 +72,9 @@ def test_plan_and_steps_match_sql(spark, panel_of, seed):
     assert len(want) > 100
     assert by_key(scored.select(*key, *SCORES).collect()) == close(want)
 
-    steps = scoring.commission_score(scoring.voting_power_score(scoring.preprocess(panel)), params.accept_rate)
-    steps = scoring.self_bonded_score(steps, params.concentration_level)
-    steps = scoring.vote_proposed_score(steps, params.vote_score, params.propose_score, 8, chunk=10)
+    steps = scoring.commission_score(scoring.voting_power_score(scoring.preprocess(panel, stage=written)), params.accept_rate)
+    steps = scoring.self_bonded_score(steps, params.concentration_level, stage=written)
+    steps = scoring.vote_proposed_score(steps, params.vote_score, params.propose_score, 8, chunk=10, stage=written)
     steps = scoring.final_score(steps, params.A, params.B, params.C, params.D)
     assert by_key(steps.select(*key, *SCORES).collect()) == close(want)
 

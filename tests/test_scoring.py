@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stakescore.operators import labeling, scoring
 from stakescore.params import LOCAL, PRODUCTION, ScoringParams
 from stakescore.plans.data_scoring import data_scoring, score_panel
-from stakescore.staging import lazy
+from stakescore.staging import lazy, written
 from tests.conftest import rows_of
 
 PARAMS = ScoringParams(
@@ -25,7 +25,7 @@ def history(operator, heights, **columns):
 
 
 def powered(panel):
-    return scoring.voting_power_score(scoring.preprocess(panel))
+    return scoring.voting_power_score(scoring.preprocess(panel, stage=written))
 
 
 def values(df, column):
@@ -34,9 +34,11 @@ def values(df, column):
 
 def stepwise(panel, params):
     df = scoring.self_bonded_score(
-        scoring.commission_score(powered(panel), params.accept_rate), params.concentration_level
+        scoring.commission_score(powered(panel), params.accept_rate), params.concentration_level, stage=written
+    )
+    df = scoring.vote_proposed_score(
+        df, params.vote_score, params.propose_score, params.vote_proposed_win_size, stage=written
     )
-    df = scoring.vote_proposed_score(df, params.vote_score, params.propose_score, params.vote_proposed_win_size)
     return scoring.final_score(df, params.A, params.B, params.C, params.D)
 
 
@@ -46,7 +48,7 @@ def test_preprocess_cleans_flags_and_rate(panel_of):
          "commission_rate": 2.5e17},
         {"block_height": 1, "operator_address": "b", "vote": True, "propose": False, "jailed": True},
     ])
-    got = {r["operator_address"]: r for r in scoring.preprocess(panel).collect()}
+    got = {r["operator_address"]: r for r in scoring.preprocess(panel, stage=written).collect()}
     assert (got["a"]["vote"], got["a"]["propose"], got["a"]["jailed"]) == (0, 0, None)
     assert (got["b"]["vote"], got["b"]["propose"], got["b"]["jailed"]) == (1, 0, 1)
     assert got["a"]["commission_rate"] == pytest.approx(0.25)
@@ -85,7 +87,7 @@ def test_self_bond_is_relative_to_the_largest_excess(panel_of):
     panel = panel_of([
         {"block_height": 1, "operator_address": o, "self_bonded": b} for o, b in {"a": 0, "b": 90, "c": 180}.items()
     ])
-    scored = scoring.self_bonded_score(scoring.preprocess(panel), 0.9)
+    scored = scoring.self_bonded_score(scoring.preprocess(panel, stage=written), 0.9, stage=written)
     assert values(scored, "self_bonded_score") == pytest.approx({"a": 0.0, "b": 0.0, "c": 1.0})
 
 
@@ -94,7 +96,7 @@ def test_equal_self_bonds_give_null_and_drop_the_block(panel_of):
         history("a", range(1, 9), self_bonded=lambda h: 50 if h != 5 else 10)
         + history("b", range(1, 9), self_bonded=10)
     )
-    bonded = scoring.self_bonded_score(scoring.preprocess(panel), 0.9)
+    bonded = scoring.self_bonded_score(scoring.preprocess(panel, stage=written), 0.9, stage=written)
     assert {r["block_height"] for r in bonded.filter("self_bonded_score IS NULL").collect()} == {5}
     for scored in (stepwise(panel, PARAMS), score_panel(panel, PARAMS)):
         assert {r["block_height"] for r in scored.collect()} == {3, 4, 6, 7, 8}
@@ -183,7 +185,6 @@ def test_identities_of_a_63_validator_block(panel_of):
 
 def test_steps_equal_the_whole_plan(spark, sf_dir):
     from stakescore.catalog.panels import TEST, weekly_panel
-    from stakescore.staging import written
 
     params = replace(TEST, top_validators=5)
     panel = written(weekly_panel(spark, sf_dir), "panel")
