@@ -242,9 +242,10 @@ def nearest(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector
         rows.filter(is_query).select("vec_id", "vector").mapInArrow(asked, f"list int, query_id long, vector {element}"), "probes"
     )
     asks = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
-    cuts = spark.createDataFrame(
-        [(i, -(-int(sizes[i, 0]) // CHUNK), -(-n // QUERY_CHUNK)) for i, n in asks.items()], "list int, chunks int, parts int"
-    )
+    cuts = spark.createDataFrame(pa.table({
+        "list": pa.array(asks, pa.int32()), "chunks": pa.array([-(-int(sizes[i, 0]) // CHUNK) for i in asks], pa.int32()),
+        "parts": pa.array([-(-n // QUERY_CHUNK) for n in asks.values()], pa.int32()),
+    }))
     cuts = F.broadcast(cuts)  # a row for each list at most
 
     def spread(df: DataFrame, own_id: str, own_count: str, own_name: str, other_count: str, other_name: str) -> DataFrame:

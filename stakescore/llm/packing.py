@@ -210,9 +210,8 @@ def best_fit(items: DataFrame, capacity: int, length: str = "length") -> DataFra
         )
         left = {(r["part"], r["kind"]): r["count"]
                 for r in swept.filter(F.col("kind") != "pair").groupBy("part", "kind").count().collect()}
-        matches = spark.createDataFrame(
-            _between_ranges(left), "part int, first long, slot_part int, last long, met long, base long"
-        )
+        runs = np.array(_between_ranges(left), np.int64).reshape(-1, 6)
+        matches = spark.createDataFrame(pa.table(dict(zip(("part", "first", "slot_part", "last", "met", "base"), runs.T))))
         loose = _numbered(swept.filter(F.col("kind") == "item"), matches.select(
             "part", F.col("first").alias("low"), (F.col("first") + F.col("met")).alias("high"),
             F.lit(1).alias("sign"), (F.col("base") - F.col("first")).alias("shift")))

@@ -21,6 +21,11 @@ LONGEST_REMEMBERED = 48
 
 #: Letters that lower case and normal form C map one by one, with at most one mark behind them.
 PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
+LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: A mark that may belong to the one before it.
+CROWDED_MARK = re.compile("[^a-z0-9ß-öø-ÿ\\s][.,]").search
+#: Where a mark ends a word, and the same with the mark apart.
+MARKS = [(f"{mark}{space}", f" {mark}{space}") for mark in ".," for space in " \n"]
 #: White space for Python only, or for the tokenizer only.
 DISPUTED_SPACE = re.compile("[\x1c-\x1f]").search
 
@@ -68,8 +73,8 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.size = size
         self._bytes = byte_characters()
-        self._words = Memory(self._plain_word)
-        self._chunks = Memory(self._chunk)
+        self._words = Memory(self._word)
+        self._chunks = Memory(self._whole)
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.dtype).tobytes()
@@ -77,25 +82,39 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _plain_word(self, word: str) -> bytes:
+    def _word(self, word: str) -> bytes:
+        """A chunk of a text in lower case."""
+        if not LETTERS(word):
+            return self._whole(word)
         spelled = word.encode().decode("latin-1").translate(self._bytes)
         return self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
 
-    def _chunk(self, chunk: str) -> bytes:
-        plain = PLAIN_WORD(chunk)
-        if not plain:
-            return self._whole(chunk)
-        return self._words[plain[1].lower()] + (self._words[plain[2]] if plain[2] else b"")
-
     def encode(self, text: str | None) -> bytes:
-        """The ids of a whole text; those of null are none."""
+        """The ids of a whole text; those of null are none.
+
+        In a text of Latin letters words are looked up in lower case and without the mark behind them.
+        """
         if not text:
             return b""
         if DISPUTED_SPACE(text):
             return self._whole(text)
+        if "<|" not in text and _latin(text):
+            lower = text.lower() + " "
+            if not CROWDED_MARK(lower):
+                for joined, apart in MARKS:
+                    lower = lower.replace(joined, apart)
+                return b"".join(map(self._words.__getitem__, lower.split()))
         return b"".join(map(self._chunks.__getitem__, text.split()))
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each worker and vocabulary."""
