@@ -47,7 +47,8 @@ def test_sink_projection_types(spark):
 
 def test_parallel_scan_options():
     options = jdbc.scan_options(
-        jdbc.postgres_url("db", 5432, "chain"), "validator_block", "u", "p", lower=10, upper=90, partitions=8, fetchsize=5000
+        jdbc.postgres_url("db", 5432, "chain"), "validator_block", "u", "p", lower=10, upper=90, partitions=8,
+        custom_schema=jdbc.AMOUNT_TYPES, fetchsize=5000,
     )
     assert options == {
         "url": "jdbc:postgresql://db:5432/chain", "dbtable": "validator_block", "driver": jdbc.POSTGRES_DRIVER,
@@ -55,7 +56,21 @@ def test_parallel_scan_options():
         "lowerBound": "10", "upperBound": "90", "numPartitions": "8", "fetchsize": "5000",
     }
     with pytest.raises(ValueError):
-        jdbc.scan_options("u", "t", partitions=4)
+        jdbc.scan_options("u", "t", lower=4)
+
+
+def test_scans_are_parallel_and_keep_derived_types_by_default():
+    options = jdbc.scan_options("u", "block_label", lower=1, upper=9)
+    assert options["numPartitions"] == str(jdbc.PARTITIONS) and "customSchema" not in options
+
+
+def test_range_scan_query_reads_a_declared_source(spark, sf_dir):
+    from stakescore.catalog.queries import QUERIES
+
+    rows = QUERIES["range_scan"](spark, sf_dir)
+    plan = plan_of(rows)
+    assert "GreaterThanOrEqual(block_height,180)" in plan and "LessThanOrEqual(block_height,300)" in plan
+    assert [f.dataType for f in rows.schema] == [f.dataType for f in schemas.PANEL_SCHEMA]
 
 
 def test_sink_options_have_a_batch_size():
