@@ -42,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     prepare(spark)
     groups = simhash.near_duplicates(docs, width=4, radius=4)
     dropped = staging.written(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")), "dropped")
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    return docs.join(dropped.hint("shuffle_hash"), F.col("doc_id") == F.col("dropped_id"), "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

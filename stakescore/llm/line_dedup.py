@@ -74,8 +74,9 @@ def drop_boilerplate(
         places.join(frequent, ["host", "h1", "h2"], "left_semi").groupBy("page", "version").agg(F.collect_set("place").alias("cut")),
         "cut",
     ).withColumnsRenamed({"page": "cut_page", "version": "cut_version"})
+    # Hashed by page at any size: the pages are shuffled once, and not sorted.
     joined = pages.join(
-        cut, F.col("page").eqNullSafe(F.col("cut_page")) & (F.col("version") == F.col("cut_version")), "left"
+        cut.hint("shuffle_hash"), F.col("page").eqNullSafe(F.col("cut_page")) & (F.col("version") == F.col("cut_version")), "left"
     ).withColumn("lines", F.split("text", "\n"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("cut"))
     without = F.array_join(F.transform(kept, lambda i: F.get(F.col("lines"), i)), "\n")
