@@ -16,10 +16,13 @@ _ready: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Once a session: send the package's source to the workers, which may not have it on their path."""
+    """Once a session on one machine: put the package's source on the path of the Python workers.
+
+    On a cluster the package is installed on the workers, or sent with ``--py-files``.
+    """
     give_folder(spark)
     context = spark.sparkContext
-    if context.applicationId in _ready:
+    if context.applicationId in _ready or not context.master.startswith("local["):
         return
     root = Path(stakescore.__file__).parent
     archive = os.path.join(tempfile.mkdtemp(prefix="stakescore-"), "stakescore.zip")
