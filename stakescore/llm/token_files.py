@@ -32,48 +32,68 @@ BLOCK_TOKENS = 1 << 16
 
 #: Of each control byte: the lengths of its four numbers.
 LENGTHS = 1 + (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3).astype(np.uint8)
-#: The four bytes of a 32-bit number.
-PLACES = np.arange(4, dtype=np.uint8)
-MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], "<u4")
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths, dtype=np.int64) - lengths
 
 
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     numbers = np.ascontiguousarray(numbers, "<u4")
-    lengths = np.ones(len(numbers), np.uint8)
-    for bits in (8, 16, 24):
-        lengths += numbers >> bits > 0
-    data = numbers.view(np.uint8).reshape(-1, 4)[PLACES < lengths[:, None]]
-    codes = np.zeros(-(-len(numbers) // 4) * 4, np.uint8)
-    codes[: len(numbers)] = lengths - 1
-    codes = codes.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)
+    longer = [np.flatnonzero(numbers >> bits) for bits in (8, 16, 24)]  # numbers of over 1, 2 and 3 bytes
+    lengths = np.ones(-(-len(numbers) // 4) * 4, np.uint8)
+    for some in longer:
+        lengths[some] += 1
+    starts = _starts(lengths[: len(numbers)])
+    data = np.empty(int(lengths[: len(numbers)].sum(dtype=np.int64)), np.uint8)
+    data[starts] = numbers.astype(np.uint8)
+    for place, some in enumerate(longer, 1):
+        data[starts[some] + place] = (numbers[some] >> 8 * place).astype(np.uint8)
+    codes = (lengths - 1).reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)
     return np.bitwise_or.reduce(codes, axis=1).tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The ``count`` numbers of :func:`pack`."""
     lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    starts = np.cumsum(lengths, dtype=np.int64) - lengths
-    padded = np.frombuffer(data + b"\0\0\0", np.uint8)
-    words = np.lib.stride_tricks.as_strided(padded, (max(len(padded) - 3, 0), 4), (1, 1))
-    return words[starts].view("<u4").reshape(-1) & MASKS[lengths]
+    starts = _starts(lengths)
+    stored = np.frombuffer(data, np.uint8)
+    numbers = stored[starts].astype("<u4")
+    for place in (1, 2, 3):
+        some = np.flatnonzero(lengths > place)
+        if not len(some):
+            break
+        numbers[some] |= stored[starts[some] + place].astype("<u4") << np.uint32(8 * place)
+    return numbers
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_tokens, checksum, and the ids, zstandard-compressed."""
+    """One row per document: doc_id, n_tokens, checksum, and the ids, zstandard-compressed.
+
+    Each task ends with a row that has only ``counts``: how often each id of the vocabulary came.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1).compress
+        total = np.zeros(word_encoder(tokenizer).size, "<i8")
         for batch, ids in encoded(batches, tokenizer, end_id):
+            found = np.bincount(np.concatenate(ids)) if ids else total[:0]
+            total[: len(found)] += found
             yield pa.record_batch({
                 "doc_id": batch.column(0),
                 "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                 "checksum": pa.array([zlib.crc32(x) for x in ids], pa.int64()),
                 "ids": pa.array([squeeze(x.tobytes()) for x in ids], pa.binary()),
+                "counts": pa.nulls(len(ids), pa.binary()),
             })
+        row = {"doc_id": None, "n_tokens": None, "checksum": None, "ids": None, "counts": squeeze(total.tobytes())}
+        yield pa.RecordBatch.from_pylist([row], schema=pa.schema(
+            [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("checksum", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())]
+        ))
 
     return docs.select(F.col(doc_id).cast("bigint"), text).mapInArrow(
-        rows, "doc_id long, n_tokens long, checksum long, ids binary"
+        rows, "doc_id long, n_tokens long, checksum long, ids binary, counts binary"
     )
 
 
@@ -83,35 +103,34 @@ def _ids(batch: pa.RecordBatch, dtype: np.dtype) -> Iterator[np.ndarray]:
         yield np.frombuffer(expand(blob.as_buffer()), dtype)
 
 
-def frequencies(ids: DataFrame, tokenizer: str) -> DataFrame:
-    """(id, n) of all ids of :func:`encode`'s frame: each task counts its own before the shuffle."""
+def frequencies(ids: DataFrame) -> DataFrame:
+    """(id, n) of all ids of :func:`encode`'s frame, from the tasks' counts."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_encoder(tokenizer)
-        total = np.zeros(encoder.size, np.int64)
+        expand = zstandard.ZstdDecompressor().decompress
+        total = np.zeros(0, "<i8")
         for batch in batches:
-            for one in _ids(batch, encoder.dtype):
-                found = np.bincount(one)
-                total[: len(found)] += found
+            for blob in batch.column("counts").to_pylist():
+                total = np.frombuffer(expand(blob), "<i8") + (total if len(total) else 0)
         met = np.flatnonzero(total)
         yield pa.record_batch({"id": pa.array(met, pa.int64()), "n": pa.array(total[met], pa.int64())})
 
-    return ids.select("ids").mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.filter("counts is not null").select("counts").mapInArrow(counted, "id long, n long").groupBy("id").agg(
+        F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the token files of all documents to the folder ``path``, in ascending order of ``doc_id``.
 
-    The texts are encoded once; the ids wait compressed in the shared folder while their frequencies are
-    counted, and are dropped when the files are there. The ranks (as many as the vocabulary) are the only
+    The texts are encoded once; the ids wait compressed in the shared folder until their frequencies are
+    known, and are dropped when the files are there. The ranks (as many as the vocabulary) are the only
     thing that passes the driver.
     """
     spark = docs.sparkSession
     ids = staging.written(encode(docs, tokenizer, end_id, doc_id, text), "ids", compression="uncompressed")
-    ranked = frequencies(ids, tokenizer).orderBy(F.desc("n"), "id").select("id").toPandas()["id"].to_numpy()
-    spark.createDataFrame(
-        [(rank, int(i)) for rank, i in enumerate(ranked)], "rank int, id long"
-    ).coalesce(1).write.parquet(f"{path}/ranks")
+    ranked = frequencies(ids).orderBy(F.desc("n"), "id").select("id").toPandas()["id"].to_numpy()
+    ranks = pa.table({"rank": pa.array(range(len(ranked)), pa.int32()), "id": pa.array(ranked, pa.int64())})
+    spark.createDataFrame(ranks).coalesce(1).write.parquet(f"{path}/ranks")
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, "<u4")
     rank_of[ranked] = np.arange(len(ranked))
 
@@ -144,7 +163,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id: str =
 
     order = [F.asc_nulls_first("doc_id"), "n_tokens", "checksum"]
     (
-        ids.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+        ids.filter("counts is null").repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
         .mapInArrow(blocks, "shard int, block int, n_ids long, doc_ids array<long>, lengths array<long>, control binary, data binary")
         .write.parquet(f"{path}/blocks", compression="zstd")
     )

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -72,12 +74,16 @@ class WordEncoder:
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.size = size
+        self._typecode = next(c for c in "HIL" if array(c).itemsize == self.dtype.itemsize)
         self._bytes = byte_characters()
         self._words = Memory(self._word)
         self._chunks = Memory(self._whole)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
+        packed = array(self._typecode, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -86,7 +92,7 @@ class WordEncoder:
         """A chunk of a text in lower case."""
         if not LETTERS(word):
             return self._whole(word)
-        spelled = word.encode().decode("latin-1").translate(self._bytes)
+        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self._bytes)
         return self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
 
     def encode(self, text: str | None) -> bytes:
