@@ -4,7 +4,9 @@ Centroids come from a sample of at most ``SAMPLE`` vectors, which is halved at t
 all lists are to hold about as many vectors. Every vector then goes to the list of its nearest centroid and,
 if it lies near a boundary, to further ones (within a distance ratio, and not behind a centroid chosen
 before). Centroids are searched by a neighbour graph in memory, whose size ``CENTROIDS`` bounds. A query
-takes the lists whose centroids are within a distance ratio of its nearest.
+takes all lists whose centroids are within a distance ratio of its nearest; how large the ratio must be is
+measured: at most ``TRIALS`` queries are compared with all vectors, in blocks, and the ratio is the smallest
+at which the lists taken hold ``RECALL`` of their true neighbours.
 
 Largest inner product becomes smallest distance by one more component, the root of M² - |x|², where M is the
 largest norm. Scores are then taken on the original vectors in double precision.
@@ -28,9 +30,9 @@ SAMPLE = 50_000
 LIST_SIZE, CENTROIDS = 256, 8_192
 #: Lists of a vector at most, and how much farther than the nearest a further one may be.
 REPLICAS, NEAR = 4, 1.10
-#: Lists of a query at most, and how much farther than the nearest a further one may be.
-PROBES, RATIO = 48, 1.35
-DEGREE, ENTRIES, BEAM = 24, 64, 64
+#: Queries that the distance ratio is measured on, and the part of their neighbours to be found.
+TRIALS, RECALL = 128, 0.96
+DEGREE, ENTRIES, BEAM, OPENED = 24, 64, 64, 8
 CHUNK, QUERY_CHUNK = 4_096, 1_024
 
 
@@ -98,7 +100,10 @@ class Graph:
         self.entries = np.unique(np.linspace(0, count - 1, min(ENTRIES, count)).astype(np.int32))
 
     def search(self, points: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """Per point the ``beam`` nearest centroids found and their distances, nearest first."""
+        """Per point the ``beam`` nearest centroids found and their distances, nearest first.
+
+        The links of the nearest few centroids not yet opened are followed at a time, until all in the beam are.
+        """
         count = len(points)
         beam = min(beam, len(self.centroids))
         rows = np.arange(count)[:, None]
@@ -115,18 +120,36 @@ class Graph:
             ask = np.flatnonzero(closed.any(axis=1))
             if not len(ask) or not self.links.shape[1]:
                 return found, distance
-            at = found[ask, closed[ask].argmax(axis=1)]
-            opened[ask, at] = True
+            first = np.argsort(~closed[ask], axis=1, kind="stable")[:, :OPENED]
+            at = found[ask[:, None], first]
+            wanted = closed[ask[:, None], first]
+            opened[ask[:, None], at] |= wanted
             near = self.links[at]
+            near = np.where(wanted[:, :, None], near, at[:, :, None]).reshape(len(ask), -1)  # its own: seen already
+            near.sort(axis=1)
             fresh = ~seen[ask[:, None], near]
+            fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
             seen[ask[:, None], near] = True
-            far = np.sqrt(np.maximum(lengths[ask, None] + norms[near] - 2 * np.einsum("qd,qnd->qn", points[ask], self.centroids[near]), 0))
+            row, col = np.nonzero(fresh)
+            far = np.full(near.shape, np.inf)
+            to = near[row, col]
+            inner = np.einsum("nd,nd->n", points[ask[row]], self.centroids[to])
+            far[row, col] = np.sqrt(np.maximum(lengths[ask[row]] + norms[to] - 2 * inner, 0))
             more = np.full((count, near.shape[1]), np.inf)
-            more[ask] = np.where(fresh, far, np.inf)
+            more[ask] = far
             ids = np.zeros((count, near.shape[1]), np.int32)
             ids[ask] = near
             found, distance = np.concatenate([found, ids], 1), np.concatenate([distance, more], 1)
 
+    def within(self, points: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`search`, with a beam that reaches beyond ``ratio`` times the nearest for every point."""
+        beam = BEAM
+        while True:
+            found, distance = self.search(points, beam)
+            if beam >= len(self.centroids) or (distance[:, -1] > ratio * distance[:, 0]).all():
+                return found, distance
+            beam *= 2
+
 
 def _raised(vectors: np.ndarray, largest: float) -> np.ndarray:
     """Candidates with the component that gives all of them the norm ``largest``."""
@@ -182,6 +205,45 @@ def _best(queries: pa.Table, postings: pa.Table, k: int) -> pa.Table:
     return pa.table({"query_id": asks[row[kept]], "vec_id": ids[col[kept]], "score": exact[kept]})
 
 
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return scored.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def _top(scored: pa.Table, k: int) -> pa.Table:
+    """The k best rows of each query."""
+    query, score, ids = (scored[c].to_numpy() for c in ("query_id", "score", "vec_id"))
+    order = np.lexsort((ids, -score, query))
+    query = query[order]
+    return scored.take(pa.array(order[np.arange(len(query)) - np.searchsorted(query, query) < k]))
+
+
+def _ratio(graph: Graph, rows: DataFrame, trials: pa.Table, postings: DataFrame, largest: float, k: int) -> float:
+    """The distance ratio at which the lists taken hold ``RECALL`` of the trials' true neighbours.
+
+    All vectors are compared with the trials, batch by batch; at most k rows a trial and task are shuffled.
+    """
+    asks = trials.rename_columns(["query_id", "vector"])
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, CHUNK):
+                found = _best(asks, pa.Table.from_batches([batch.slice(at, CHUNK)]), k)
+                held = found if held is None else _top(pa.concat_tables([held, found]), k)
+        if held is not None:
+            yield from held.to_batches()
+
+    truth = _ranked(rows.select("vec_id", "vector").mapInArrow(best, "query_id long, vec_id long, score double"), k)
+    places = postings.select("vec_id", "list").join(F.broadcast(truth.select("query_id", "vec_id")), "vec_id").groupBy(
+        "query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect()  # at most k * TRIALS rows
+    distance = _distances(_asking(_matrix(asks["vector"]), largest), graph.centroids)
+    ratios = distance / np.maximum(distance.min(axis=1, keepdims=True), 1e-12)
+    number = {q: i for i, q in enumerate(asks["query_id"].to_pylist())}
+    needed = sorted(ratios[number[r["query_id"]], r["lists"]].min() for r in places)
+    return needed[min(len(needed) - 1, int(RECALL * len(needed)))] * (1 + 1e-9) if needed else 1.0
+
+
 def nearest(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector: str = "vector") -> DataFrame:
     """(query_id, rank from 1, vec_id, score): the k nearest found of each row for which ``is_query`` holds.
 
@@ -219,15 +281,17 @@ def nearest(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector
     for r in postings.groupBy("list").agg(F.count("*").alias("n"), F.count_if("first").alias("own")).collect():
         sizes[r["list"]] = r["n"], r["own"]
     own = sizes[:, 1]
+    trials = rows.filter(is_query).orderBy(F.xxhash64("vec_id"), "vec_id").limit(TRIALS).select("vec_id", "vector").toArrow()
+    ratio = _ratio(graph.value, rows, trials, postings, largest, k) if trials.num_rows else 1.0
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found, distance = graph.value.search(_asking(_matrix(part.column("vector")), largest))
+                found, distance = graph.value.within(_asking(_matrix(part.column("vector")), largest), ratio)
                 held = np.cumsum(own[found], axis=1)
                 few = held - own[found] <= k  # lists before hold too few vectors
-                take = (distance <= RATIO * distance[:, :1]) & (np.arange(found.shape[1]) < PROBES) | few
+                take = (distance <= ratio * distance[:, :1]) | few
                 row, col = np.nonzero(take)
                 to = found[row, col]
                 lacking = np.flatnonzero(held[:, -1] <= k)  # then all lists
@@ -258,7 +322,4 @@ def nearest(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector
     left = spread(probes, "query_id", "parts", "part", "chunks", "chunk").groupBy(*unit)
     right = spread(postings.drop("first"), "vec_id", "chunks", "chunk", "parts", "part").groupBy(*unit)
     scored = left.cogroup(right).applyInArrow(lambda a, b: _best(a, b, k), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    return _ranked(scored, k).select("query_id", "rank", "vec_id", "score")

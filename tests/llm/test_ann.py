@@ -95,6 +95,18 @@ def test_the_graph_finds_the_nearest_centroids():
     assert np.allclose(distance, np.take_along_axis(exact, found, 1))
 
 
+def test_a_ratio_is_reached_beyond_for_every_point():
+    chance = np.random.default_rng(4)
+    graph = ann.Graph(ann.halved(chance.normal(size=(4000, 8)), 512))
+    points = chance.normal(size=(50, 8))
+    found, distance = graph.within(points, 1.6)
+    exact = np.linalg.norm(points[:, None] - graph.centroids, axis=2)
+    for i in range(len(points)):
+        wanted = set(np.flatnonzero(exact[i] <= 1.6 * exact[i].min()).tolist())
+        got = set(found[i][distance[i] <= 1.6 * distance[i, 0]].tolist())
+        assert len(got & wanted) >= 0.95 * len(wanted)
+
+
 def test_parts_are_balanced():
     points = np.random.default_rng(3).normal(size=(1000, 4))
     assert len(ann.halved(points, 8)) == 8
