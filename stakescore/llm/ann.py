@@ -11,8 +11,9 @@ at which the lists taken hold ``RECALL`` of their true neighbours.
 Largest inner product becomes smallest distance by one more component, the root of M² - |x|², where M is the
 largest norm. Scores are then taken on the original vectors in double precision.
 
-A list of any size (one vector may be that of a third of all rows) is cut into chunks, and so are the
-queries that ask for it; each pair of chunks is a unit of its own and returns at most k rows a query.
+Neighbouring lists form a group, which is searched at once: a query sees those of its lists. A group of any
+size (one vector may be that of a third of all rows) is cut into chunks, and so are the queries that ask for
+it; each pair of chunks is a unit of its own and returns at most k rows a query.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ REPLICAS, NEAR = 4, 1.10
 #: Queries that the distance ratio is measured on, and the part of their neighbours to be found.
 TRIALS, RECALL = 128, 0.96
 DEGREE, ENTRIES, BEAM, OPENED = 24, 64, 64, 8
-CHUNK, QUERY_CHUNK = 4_096, 1_024
+#: Neighbouring lists that are searched together, and vectors and queries of a unit at most.
+GROUP, CHUNK, QUERY_CHUNK = 32, 32_768, 256
 
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -77,7 +79,8 @@ def halved(points: np.ndarray, leaves: int) -> np.ndarray:
             half = len(part) // 2
             cut += [part[order[:half]], part[order[half:]]]
         parts = cut
-    return np.unique(np.stack([p.mean(axis=0) for p in parts]), axis=0)
+    means = np.stack([p.mean(axis=0) for p in parts])  # in this order, so that neighbours are near
+    return means[np.sort(np.unique(means, axis=0, return_index=True)[1])]
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -185,24 +188,39 @@ def _postings(graph: Graph, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _best(queries: pa.Table, postings: pa.Table, k: int) -> pa.Table:
-    """The k best postings of each query, by exact scores; ties to the smaller id."""
+    """The k best postings of each query, by exact scores; ties to the smaller id.
+
+    If the queries have ``lists``, each is compared with the postings of its own lists only. A vector may be
+    in several of them, and counts once.
+    """
     asks, ids = queries["query_id"].to_numpy(), postings["vec_id"].to_numpy()
     q, x = _matrix(queries["vector"]), _matrix(postings["vector"])
     if not len(asks) or not len(ids):
         return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
     score = q @ x.T
+    copies = 1
+    if "lists" in queries.column_names:
+        copies = REPLICAS
+        lists = queries["lists"].combine_chunks()
+        asked = np.zeros((len(asks), GROUP), bool)
+        asked[np.repeat(np.arange(len(asks)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy() % GROUP] = True
+        score[~asked[:, postings["list"].to_numpy() % GROUP]] = -np.inf
     score[asks[:, None] == ids] = -np.inf
-    least = np.partition(score, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(asks), -np.inf)
+    most = copies * k
+    least = np.partition(score, -most, axis=1)[:, -most] if len(ids) > most else np.full(len(asks), -np.inf)
     slack = 1e-9 * np.maximum(np.abs(score.max(axis=1, initial=0, where=np.isfinite(score))), 1e-300)
     row, col = np.nonzero(np.isfinite(score) & (score >= (least - slack)[:, None]))
     exact = np.empty(len(row))
     for at in range(0, len(row), 1 << 16):
         exact[at : at + (1 << 16)] = (q[row[at : at + (1 << 16)]] * x[col[at : at + (1 << 16)]]).sum(axis=1)
-    order = np.lexsort((ids[col], -exact, row))
-    row, col, exact = row[order], col[order], exact[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    kept = place < k
-    return pa.table({"query_id": asks[row[kept]], "vec_id": ids[col[kept]], "score": exact[kept]})
+    found = ids[col]
+    order = np.lexsort((found, -exact, row))
+    row, found, exact = row[order], found[order], exact[order]
+    again = np.zeros(len(row), bool)
+    again[1:] = (row[1:] == row[:-1]) & (found[1:] == found[:-1]) & (exact[1:] == exact[:-1])
+    row, found, exact = row[~again], found[~again], exact[~again]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return pa.table({"query_id": asks[row[kept]], "vec_id": found[kept], "score": exact[kept]})
 
 
 def _ranked(scored: DataFrame, k: int) -> DataFrame:
@@ -295,31 +313,41 @@ def nearest(vectors: DataFrame, is_query, k: int, vec_id: str = "vec_id", vector
                 row, col = np.nonzero(take)
                 to = found[row, col]
                 lacking = np.flatnonzero(held[:, -1] <= k)  # then all lists
-                row = np.concatenate([row[~np.isin(row, lacking)], np.repeat(lacking, lists)])
-                to = np.concatenate([to[~np.isin(np.nonzero(take)[0], lacking)], np.tile(np.arange(lists), len(lacking))])
+                kept = ~np.isin(row, lacking)
+                row = np.concatenate([row[kept], np.repeat(lacking, lists)])
+                to = np.concatenate([to[kept], np.tile(np.arange(lists, dtype=to.dtype), len(lacking))])
+                order = np.lexsort((to, row))
+                row, to = row[order], to[order]
+                group = to // GROUP
+                first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (group[1:] != group[:-1])])) if len(row) else row
+                ends = np.append(first, len(row)).astype(np.int32)
                 yield pa.record_batch({
-                    "list": pa.array(to, pa.int32()), "query_id": part.column("vec_id").take(pa.array(row)),
-                    "vector": part.column("vector").take(pa.array(row)),
+                    "group": pa.array(group[first], pa.int32()), "query_id": part.column("vec_id").take(pa.array(row[first])),
+                    "vector": part.column("vector").take(pa.array(row[first])),
+                    "lists": pa.ListArray.from_arrays(pa.array(ends), pa.array(to, pa.int32())),
                 })
 
     probes = staging.written(
-        rows.filter(is_query).select("vec_id", "vector").mapInArrow(asked, f"list int, query_id long, vector {element}"), "probes"
+        rows.filter(is_query).select("vec_id", "vector").mapInArrow(
+            asked, f"group int, query_id long, vector {element}, lists array<int>"), "probes"
     )
-    asks = {r["list"]: r["count"] for r in probes.groupBy("list").count().collect()}
+    asks = {r["group"]: r["count"] for r in probes.groupBy("group").count().collect()}
+    held_by = np.bincount(np.arange(lists) // GROUP, weights=sizes[:, 0]).astype(int)
     cuts = spark.createDataFrame(pa.table({
-        "list": pa.array(asks, pa.int32()), "chunks": pa.array([-(-int(sizes[i, 0]) // CHUNK) for i in asks], pa.int32()),
+        "group": pa.array(asks, pa.int32()), "chunks": pa.array([max(1, -(-int(held_by[i]) // CHUNK)) for i in asks], pa.int32()),
         "parts": pa.array([-(-n // QUERY_CHUNK) for n in asks.values()], pa.int32()),
     }))
-    cuts = F.broadcast(cuts)  # a row for each list at most
+    cuts = F.broadcast(cuts)  # a row for each group at most
 
     def spread(df: DataFrame, own_id: str, own_count: str, own_name: str, other_count: str, other_name: str) -> DataFrame:
         own_part = F.pmod(F.xxhash64(own_id), F.col(own_count).cast("bigint")).cast("int")
-        return df.join(cuts, "list").withColumn(own_name, own_part).withColumn(
+        return df.join(cuts, "group").withColumn(own_name, own_part).withColumn(
             other_name, F.explode(F.sequence(F.lit(0), F.col(other_count) - 1))
-        ).select("list", "chunk", "part", own_id, "vector")
+        ).drop("chunks", "parts")
 
-    unit = ["list", "chunk", "part"]
+    unit = ["group", "chunk", "part"]
+    grouped = postings.select(F.floor(F.col("list") / GROUP).cast("int").alias("group"), "list", "vec_id", "vector")
     left = spread(probes, "query_id", "parts", "part", "chunks", "chunk").groupBy(*unit)
-    right = spread(postings.drop("first"), "vec_id", "chunks", "chunk", "parts", "part").groupBy(*unit)
+    right = spread(grouped, "vec_id", "chunks", "chunk", "parts", "part").groupBy(*unit)
     scored = left.cogroup(right).applyInArrow(lambda a, b: _best(a, b, k), "query_id long, vec_id long, score double")
     return _ranked(scored, k).select("query_id", "rank", "vec_id", "score")

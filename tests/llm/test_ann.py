@@ -49,7 +49,7 @@ def test_recall_and_scores_at_scale(spark, duck_at):
             assert score == pytest.approx(vectors[ids.index(q)] @ vectors[ids.index(i)], abs=1e-12)
 
 
-@pytest.mark.parametrize("settings", [{}, {"LIST_SIZE": 16}, {"LIST_SIZE": 16, "CHUNK": 8, "QUERY_CHUNK": 2}])
+@pytest.mark.parametrize("settings", [{}, {"LIST_SIZE": 16}, {"LIST_SIZE": 4, "CHUNK": 8, "QUERY_CHUNK": 2}])
 def test_vectors_of_any_length_and_many_equal_ones(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(ann, name, value)
