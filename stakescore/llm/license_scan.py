@@ -4,10 +4,11 @@ Every line of a file, and the whole text of a file with a licence file's name, i
 templates; the best cosine from ``THRESHOLD`` on gives the file its licence. A file without one takes that
 of the nearest ancestor directory (its own first) that has a licence file.
 
-DataFrame functions only. Document frequencies of the templates' words come from all files; other words
-weigh as much as a word of one file. A text without any of the templates' telling words can't reach the
-threshold (by the Cauchy-Schwarz bound on the rest), so only texts with one are split into words. What is
-broadcast are the templates' words, fixed by the templates. Directories are joined once each, not by file.
+DataFrame functions only. Document frequencies come from all files, those of the templates' words first: a
+text without any of their telling words can't reach the threshold (by the Cauchy-Schwarz bound on the rest),
+so only texts with one are compared, and only the frequencies of their other words are kept, in a table joined
+by word. What is broadcast by hint are the templates' words, fixed by the templates. Directories are joined
+once each, not by file.
 """
 
 from __future__ import annotations
@@ -90,7 +91,6 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     counted = {r["word"]: r["n"] for r in files.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     total = files.count()
     idf = {w: inverse_frequency(total, counted.get(w, 0)) for w in vocabulary}
-    other = inverse_frequency(total, 1)
     vectors = [{w: n * idf[w] for w, n in t.items()} for t in terms]
     signs = F.array(*[F.lit(w) for w in sorted(telling(vectors, threshold))])
 
@@ -99,15 +99,27 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     units = files.filter("path is not null and text is not null").select(
         "path", F.explode(F.when(is_licence_file, F.concat(lines, F.array("text"))).otherwise(lines)).alias("line")
     ).select("path", F.xxhash64("line").alias("unit"), _words(F.col("line")).alias("words")).filter(F.arrays_overlap("words", signs))
-    counts = units.dropDuplicates(["path", "unit"]).select("path", "unit", F.explode("words").alias("word")).groupBy(
-        "path", "unit", "word").agg(F.count("*").alias("n"))
+    counts = staging.written(
+        units.dropDuplicates(["path", "unit"]).select("path", "unit", F.explode("words").alias("word")).groupBy(
+            "path", "unit", "word").agg(F.count("*").alias("n")),
+        "words",
+    )
+    others = counts.select("word").distinct().filter(~F.array_contains(known, F.col("word")))
+    frequencies = staging.written(
+        files.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("word")).groupBy("word").agg(
+            F.count("*").alias("containing")
+        ).join(others, "word", "left_semi").select(
+            "word", (F.log(F.lit(1.0 + total) / (F.lit(1) + F.col("containing"))) + 1).alias("other")),
+        "frequencies",
+    )
     lengths = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
     weights = spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(w).alias("word"), F.lit(idf[w]).alias("idf"), F.array(*[
             F.struct(F.lit(k).alias("template"), F.lit(v[w] / lengths[k]).alias("share")) for k, v in enumerate(vectors) if w in v
         ]).alias("parts")) for w in vocabulary
     ])).alias("entry")).select("entry.*")
-    weighed = counts.join(F.broadcast(weights), "word", "left").withColumn("weight", F.col("n") * F.coalesce("idf", F.lit(other)))
+    weighed = counts.join(F.broadcast(weights), "word", "left").join(frequencies, "word", "left").withColumn(
+        "weight", F.col("n") * F.coalesce("idf", "other"))
     norms = weighed.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dots = weighed.select("path", "unit", "weight", F.explode("parts").alias("part")).groupBy("path", "unit", "part.template").agg(
         F.sum(F.col("weight") * F.col("part.share")).alias("dot"))

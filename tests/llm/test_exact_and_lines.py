@@ -132,6 +132,15 @@ def test_licences_are_found_and_inherited(spark):
     ], key=repr)
 
 
+def test_common_words_beside_a_notice_weigh_little(spark):
+    """Words of every file have the least weight, so a notice that shares its line with them is found."""
+    rows = [(f"d/{i}.txt", f"lorem ipsum dolor sit amet own{i}") for i in range(200)]
+    rows += [("d/mit.c", "lorem ipsum dolor sit Released under the MIT License."), ("d/gpl.c", "lorem ipsum dolor sit amet lorem ipsum "
+             "This work is licensed under the GNU General Public License, version 3.")]
+    got = {r["path"]: r["licence"] for r in license_scan.licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {p: x for p, x in got.items() if x} == {"d/mit.c": "MIT", "d/gpl.c": "GPL-3.0"}
+
+
 def test_no_files(spark):
     assert license_scan.licences(spark.createDataFrame([], "path string, text string")).collect() == []
 
