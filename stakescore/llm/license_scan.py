@@ -1,7 +1,8 @@
 """Licences of files: TF-IDF cosine of their notices to templates, then inheritance by directory.
 
-Every line of a file, and the whole text of a file with a licence file's name, is compared with the
-templates; the best cosine from ``THRESHOLD`` on gives the file its licence. A file without one takes that
+Every line of a file, every run of up to ``RUN`` adjacent paragraphs or comment blocks, and the whole text of a
+file with a licence file's name, is compared with the templates (notices, standard headers, title lines and
+whole short licences); the best cosine from ``THRESHOLD`` on gives the file its licence. A file without one takes that
 of the nearest ancestor directory (its own first) that has a licence file.
 
 DataFrame functions only. Document frequencies come from all files, those of the templates' words first: a
@@ -13,6 +14,7 @@ once each, not by file.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
@@ -20,8 +22,11 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stakescore import staging
+from stakescore.llm.license_texts import TEXTS
 
 THRESHOLD = 0.75
+#: Paragraphs of the longest run; the longest template has five, and a blank line may cut one more.
+RUN = 6
 
 #: Usual notices of well-known licences.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -47,6 +52,10 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 NO_WORD = r"[^\p{L}\p{N}]+"
+#: Lines without a word end a paragraph, also those of comment marks alone.
+PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+#: A line with a comment mark before one without ends a block.
+BLOCK_END = r"(?m)^([ \t]*[#/*;%!-]+[^\n]*)\n(?=[ \t]*[\p{L}\p{N}])"
 
 
 def words(text: str) -> list[str]:
@@ -62,42 +71,61 @@ def inverse_frequency(files: int, containing: int) -> float:
     return math.log((1 + files) / (1 + containing)) + 1
 
 
-def telling(vectors: list[dict[str, float]], threshold: float) -> set[str]:
+def telling(vectors: list[dict[str, float]], threshold: float, rank: dict[str, float] | None = None) -> set[str]:
     """Words of which a text must have one to reach the threshold with any template.
 
-    From the least weight on, words are left out as long as those left out make up less than ``threshold``
-    of every template's norm.
+    From the least ``rank`` (or weight) on, words are left out that leave what is left out less than
+    ``threshold`` of every template's norm.
     """
     norms = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
     weight = {w: max(v.get(w, 0) for v in vectors) for v in vectors for w in v}
     common = [0.0] * len(vectors)
     kept = set(weight)
-    for word in sorted(weight, key=lambda w: (weight[w], w)):
+    rank = rank or weight
+    for word in sorted(weight, key=lambda w: (rank[w], w)):
         more = [c + v.get(word, 0) ** 2 for c, v in zip(common, vectors)]
         if any(math.sqrt(m) >= threshold * n * (1 - 1e-9) for m, n in zip(more, norms)):
-            break
+            continue
         common = more
         kept.discard(word)
     return kept
 
 
+def _runs(text: Column, signs: Column) -> Column:
+    """Runs of up to ``RUN`` adjacent paragraphs, from each on that has a telling word within its longest run."""
+    paragraphs = F.split(F.regexp_replace(text, BLOCK_END, "$1\n\n"), PARAGRAPH)
+    told = F.transform(paragraphs, lambda p: F.struct(p.alias("text"), F.arrays_overlap(_words(p), signs).alias("told")))
+
+    def from_each(parts: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(1), F.size(parts)), lambda i: F.exists(F.slice(parts, i, F.lit(RUN)), lambda p: p["told"]))
+        return F.flatten(F.transform(starts, lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size(parts) - i + 1)), lambda k: F.array_join(F.slice(parts["text"], i, k), "\n"))))
+
+    # Bound by a lambda, so that the paragraphs are split once.
+    return F.flatten(F.transform(F.array(told), from_each))
+
+
 def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(path, licence, score) of the ``files`` (path, text) with a notice; of repeated paths, the best."""
     spark = files.sparkSession
-    terms = [Counter(words(text)) for _, text in TEMPLATES]
+    templates = (*TEMPLATES, *TEXTS)
+    terms = [Counter(words(text)) for _, text in templates]
     vocabulary = sorted(set().union(*terms))
-    known = F.array(*[F.lit(w) for w in vocabulary])
+    known = F.split(F.lit(" ".join(vocabulary)), " ")
     found = F.array_intersect(_words(F.col("text")), known)
     counted = {r["word"]: r["n"] for r in files.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
     total = files.count()
     idf = {w: inverse_frequency(total, counted.get(w, 0)) for w in vocabulary}
     vectors = [{w: n * idf[w] for w, n in t.items()} for t in terms]
-    signs = F.array(*[F.lit(w) for w in sorted(telling(vectors, threshold))])
+    signs = F.split(F.lit(" ".join(sorted(telling(vectors, threshold, idf)))), " ")
 
     is_licence_file = F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE)
     lines = F.split("text", "\n")
-    units = files.filter("path is not null and text is not null").select(
-        "path", F.explode(F.when(is_licence_file, F.concat(lines, F.array("text"))).otherwise(lines)).alias("line")
+    named = files.filter("path is not null and text is not null")
+    whole = F.when(is_licence_file, F.concat(lines, F.array("text"))).otherwise(lines)
+    runs = F.when(F.arrays_overlap(_words(F.col("text")), signs), _runs(F.col("text"), signs))
+    units = named.select("path", F.explode(whole).alias("line")).unionByName(
+        named.select("path", F.explode(runs).alias("line"))
     ).select("path", F.xxhash64("line").alias("unit"), _words(F.col("line")).alias("words")).filter(F.arrays_overlap("words", signs))
     counts = staging.written(
         units.dropDuplicates(["path", "unit"]).select("path", "unit", F.explode("words").alias("word")).groupBy(
@@ -113,17 +141,19 @@ def own_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "frequencies",
     )
     lengths = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
-    weights = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(w).alias("word"), F.lit(idf[w]).alias("idf"), F.array(*[
-            F.struct(F.lit(k).alias("template"), F.lit(v[w] / lengths[k]).alias("share")) for k, v in enumerate(vectors) if w in v
-        ]).alias("parts")) for w in vocabulary
-    ])).alias("entry")).select("entry.*")
+    # One literal, as thousands of them take the planner seconds.
+    entries = json.dumps([
+        {"word": w, "idf": idf[w], "parts": [{"template": k, "share": v[w] / lengths[k]} for k, v in enumerate(vectors) if w in v]}
+        for w in vocabulary
+    ])
+    entry = "array<struct<word: string, idf: double, parts: array<struct<template: int, share: double>>>>"
+    weights = spark.range(1).select(F.explode(F.from_json(F.lit(entries), entry)).alias("entry")).select("entry.*")
     weighed = counts.join(F.broadcast(weights), "word", "left").join(frequencies, "word", "left").withColumn(
         "weight", F.col("n") * F.coalesce("idf", "other"))
     norms = weighed.groupBy("path", "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dots = weighed.select("path", "unit", "weight", F.explode("parts").alias("part")).groupBy("path", "unit", "part.template").agg(
         F.sum(F.col("weight") * F.col("part.share")).alias("dot"))
-    names = F.array(*[F.lit(name) for name, _ in TEMPLATES])
+    names = F.array(*[F.lit(name) for name, _ in templates])
     scores = dots.join(norms, ["path", "unit"]).select(
         "path", F.get(names, F.col("template")).alias("licence"), F.round(F.col("dot") / F.col("norm"), 6).alias("score")
     ).filter(F.col("score") >= threshold)

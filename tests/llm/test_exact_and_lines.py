@@ -1,13 +1,14 @@
 """The digest index, line dedup and the license scan against SQL and brute force."""
 
 import hashlib
+import textwrap
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from stakescore import staging
-from stakescore.llm import digest_index, license_scan, line_dedup
+from stakescore.llm import digest_index, license_scan, license_texts, line_dedup
 from stakescore.llm.catalog import registered
 from stakescore.llm.oracle import statements
 from tests.conftest import TESTDATA, rows_of
@@ -141,6 +142,47 @@ def test_common_words_beside_a_notice_weigh_little(spark):
     assert {p: x for p, x in got.items() if x} == {"d/mit.c": "MIT", "d/gpl.c": "GPL-3.0"}
 
 
+GPL_HEADER = """/*
+ * Frobnicate the input.
+ *
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return frob(); }
+"""
+HASH_HEADER = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+import os
+"""
+GPL_TITLE = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  The license is a free, copyleft license for other kinds of works.
+"""
+
+
+def test_headers_and_whole_licences_are_found(spark):
+    """Texts over many lines, of which no line alone is a notice."""
+    wrapped = {name: textwrap.fill(text, 60) for name, text in reversed(license_texts.TEXTS) if name in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC")}
+    rows = [(f"d/{i}.txt", f"lorem ipsum dolor sit amet own{i}") for i in range(200)]
+    rows += [(f"{name}/LICENSE", f"The project\n\nCopyright (c) 2020 Some Body\n\n{text}\n") for name, text in wrapped.items()]
+    rows += [("g/main.c", GPL_HEADER), ("h/main.py", HASH_HEADER), ("t/COPYING", GPL_TITLE)]
+    got = {r["path"]: r["licence"] for r in license_scan.licences(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {p: x for p, x in got.items() if x} == {f"{name}/LICENSE": name for name in wrapped} | {
+        "g/main.c": "GPL-3.0", "h/main.py": "Apache-2.0", "t/COPYING": "GPL-3.0"}
+
+
 def test_no_files(spark):
     assert license_scan.licences(spark.createDataFrame([], "path string, text string")).collect() == []
 
