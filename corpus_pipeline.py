@@ -31,9 +31,9 @@ def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the lines that recur throughout their source."""
+    """The documents without the lines that recur throughout their source; copies of a text count once."""
     prepare(spark)
-    cut = line_dedup.drop_boilerplate(docs, "source")
+    cut = line_dedup.drop_boilerplate(docs, "source", copies=False)
     return cut.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 

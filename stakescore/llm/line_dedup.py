@@ -41,14 +41,18 @@ def _pages(docs: DataFrame, host: str, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, h1, h2, pages, host_pages) of the lines to drop from ``pages`` (host, text)."""
+def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
+    """(host, h1, h2, pages, host_pages) of the lines to drop from ``pages`` (host, text, version).
+
+    Without ``copies``, pages of a host with the same text count once, in a line's pages and in the host's.
+    """
+    count = F.count("*") if copies else F.count_distinct("version")
     sites = pages.filter("host is not null")
     lines = F.array_distinct(F.transform(F.split("text", "\n"), _trimmed))
-    counted = sites.select("host", F.explode(lines).alias("line")).filter("line <> ''").groupBy(
+    counted = sites.select("host", "version", F.explode(lines).alias("line")).filter("line <> ''").groupBy(
         "host", *_key(F.col("line"))
-    ).agg(F.count("*").alias("pages"))
-    totals = sites.groupBy("host").agg(F.count("*").alias("host_pages"))
+    ).agg(count.alias("pages"))
+    totals = sites.groupBy("host").agg(count.alias("host_pages"))
     return counted.filter(F.col("pages") >= min_pages).join(totals, "host").filter(
         F.col("pages") > ratio * F.col("host_pages")
     )
@@ -56,16 +60,18 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 def drop_boilerplate(
     docs: DataFrame, host: str, doc_id: str = "doc_id", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
     """``docs`` with the boilerplate lines cut out of ``text``, and the columns n_lines and n_dropped.
 
     A null text stays null, with no lines; blank lines stay; a null host is no site, and its pages stay as
-    they are. Rows that repeat count as pages of their own. A page of nothing but boilerplate becomes empty.
+    they are. Rows that repeat count as pages of their own; without ``copies``, the same text on a host counts
+    once, so a text isn't boilerplate for having copies. A page of nothing but boilerplate becomes empty.
     Columns named n_lines and n_dropped are replaced, others are passed on whatever their names.
     """
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     pages = _pages(docs.select(*[F.col(f"`{c}`") for c in columns]), host, doc_id, text)
-    frequent = staging.written(boilerplate(pages, ratio, min_pages).select("host", "h1", "h2"), "boilerplate")
+    frequent = staging.written(boilerplate(pages, ratio, min_pages, copies).select("host", "h1", "h2"), "boilerplate")
     places = pages.filter("host is not null").select(
         "page", "version", "host", F.posexplode(F.split("text", "\n")).alias("place", "line")
     ).filter(_trimmed(F.col("line")) != "").select("page", "version", "place", "host", *_key(F.col("line")))

@@ -90,6 +90,13 @@ def test_odd_rows_pass_through(spark, docs_of, tmp_path):
     assert empty.collect() == []
 
 
+def test_copies_of_a_text_are_no_boilerplate(spark, docs_of):
+    """Three copies among 20 pages of a source keep their text; a line of many texts goes."""
+    rows = [(i, f"menu\nbody {i}", "en", "a") for i in range(17)] + [(100 + i, "a whole text\nthat was copied", "en", "a") for i in range(3)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs_of(rows), "").collect()}
+    assert got == {i: f"body {i}" for i in range(17)} | {100 + i: "a whole text\nthat was copied" for i in range(3)}
+
+
 def test_run_is_all_stages(spark, stages):
     got = corpus_pipeline.run(spark, f"{TESTDATA}/sf0.01").collect()
     assert sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in got) == sorted(
