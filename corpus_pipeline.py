@@ -38,11 +38,23 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest doc_id; those without one stay."""
+    """Of each group of near duplicates one document of the smallest doc_id; those without one stay."""
     prepare(spark)
-    groups = simhash.near_duplicates(docs, width=4, radius=4)
-    dropped = staging.written(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")), "dropped")
-    return docs.join(dropped.hint("shuffle_hash"), F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    groups = staging.written(simhash.near_duplicates(docs, width=4, radius=4, versions=True), "groups")
+    first = groups.filter("doc_id = component_id")
+    # Ids that repeat within their component: the text of the least version stays, once.
+    repeated = staging.written(
+        first.groupBy("component", "doc_id").agg(F.min("version").alias("kept"), F.count("*").alias("n")).filter("n > 1"), "repeated")
+    key = [F.col("doc_id").alias("key_id"), F.col("version").alias("key_version")]
+    dropped = staging.written(
+        groups.filter("doc_id <> component_id").unionByName(
+            first.join(repeated.select("component", "doc_id"), ["component", "doc_id"], "left_semi").select(*groups.columns)
+        ).select(*key).distinct(), "dropped")
+    once = repeated.select(F.col("doc_id").alias("key_id"), F.col("kept").alias("key_version"))
+    same = (F.col("doc_id") == F.col("key_id")) & (F.xxhash64("text") == F.col("key_version"))
+    rest = docs.join(dropped.hint("shuffle_hash"), same, "left_anti")
+    one = docs.join(once, same, "left_semi").withColumn("version", F.xxhash64("text")).dropDuplicates(["doc_id", "version"])
+    return rest.unionByName(one.drop("version"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,14 +59,14 @@ def fingerprint(text: str | None, width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint as a signed long), one row per document."""
+    """(doc_id, version of the text, fingerprint as a signed long), one row per document."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], "<u8")
-            yield pa.record_batch({"doc_id": batch.column(0), "fingerprint": pa.array(prints.view("<i8"))})
+            prints = np.array([fingerprint(t, width) for t in batch.column(2).to_pylist()], "<u8")
+            yield pa.record_batch({"doc_id": batch.column(0), "version": batch.column(1), "fingerprint": pa.array(prints.view("<i8"))})
 
-    return docs.select(F.col(doc_id).cast("bigint"), text).mapInArrow(rows, "doc_id long, fingerprint long")
+    return docs.select(F.col(doc_id).cast("bigint"), F.xxhash64(text), text).mapInArrow(rows, "doc_id long, version long, fingerprint long")
 
 
 class Trees:
@@ -225,24 +225,32 @@ def links(classes: DataFrame, radius: int) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text", versions: bool = False,
+) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id reachable).
 
     A null text is an empty one, whose fingerprint is zero like that of any text without words; texts of
-    fewer than ``width`` words have one shingle. Rows that share a doc_id are linked like others. A row of
-    null doc_id links nothing and has a null component_id. Other columns are not read.
+    fewer than ``width`` words have one shingle. Rows that share a doc_id are linked by their texts alone. A row
+    of null doc_id links nothing and has a null component_id. Other columns are not read. With ``versions``
+    also version (the text's XXH64 by Spark) and component (a number of the component itself, as those that
+    share their smallest doc_id differ in it).
     """
     prints = staging.written(fingerprints(docs, width, doc_id, text), "fingerprints")
     classes = staging.written(
         prints.filter("doc_id is not null").groupBy("fingerprint").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")),
         "classes",
     )
-    reached = components(links(classes.select("fingerprint", "first"), radius), "one", "two")
-    grouped = classes.join(reached, classes["first"] == reached["vertex"], "left").filter(
+    # Fingerprints are the vertices: classes may share their first doc_id.
+    reached = components(links(classes.select("fingerprint", F.col("fingerprint").alias("first")), radius), "one", "two")
+    members = classes.join(reached, classes["fingerprint"] == reached["vertex"], "left").filter(
         "n > 1 or component is not null"
-    ).select("fingerprint", F.coalesce("component", "first").alias("component"))
-    grouped = staging.written(grouped, "grouped")  # of documents that are alone, nothing
+    ).select("fingerprint", "first", F.coalesce("component", "fingerprint").alias("component"))
+    members = staging.written(members, "members")  # of documents that are alone, nothing
+    least = members.groupBy("component").agg(F.min("first").alias("least"))
+    grouped = staging.written(members.join(least, "component").select("fingerprint", "component", "least"), "grouped")
     return prints.join(grouped, "fingerprint", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
+        *(["version", F.coalesce("component", "fingerprint").alias("component")] if versions else []),
     )

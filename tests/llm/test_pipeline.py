@@ -97,6 +97,14 @@ def test_copies_of_a_text_are_no_boilerplate(spark, docs_of):
     assert got == {i: f"body {i}" for i in range(17)} | {100 + i: "a whole text\nthat was copied" for i in range(3)}
 
 
+def test_repeated_ids_go_by_their_text(spark, docs_of):
+    """A unique text stays though its id has a near duplicate elsewhere; a kept id stays once in its component."""
+    base, other, third = (" ".join(f"{w}{i * 7 % 101}" for i in range(200)) for w in ("one", "two", "three"))
+    rows = [(1, base), (3, base), (3, other), (5, third), (5, third), (None, base)]
+    got = corpus_pipeline.drop_near_duplicates(spark, docs_of(rows), "").select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([(1, base), (3, other), (5, third), (None, base)], key=repr)
+
+
 def test_run_is_all_stages(spark, stages):
     got = corpus_pipeline.run(spark, f"{TESTDATA}/sf0.01").collect()
     assert sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in got) == sorted(
