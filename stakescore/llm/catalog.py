@@ -46,7 +46,8 @@ def op5_toxicity(spark, sf_dir):
 def op6_license_scan(spark, sf_dir):
     """Documents have no paths, so each gets one from its source, language and number."""
     files = _documents(spark, sf_dir).select(F.expr(oracle.DOCUMENT_PATH).alias("path"), "text")
-    doc_id = F.element_at(F.split("path", "[.]"), -1).cast("bigint")
+    # The path of a null doc_id ends in its folder.
+    doc_id = F.regexp_extract("path", "(?:^|/)(?:LICENSE|file)[.](-?[0-9]+)$", 1).try_cast("bigint")
     return license_scan.licences(files).withColumn("doc_id", doc_id)
 
 

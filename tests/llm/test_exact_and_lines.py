@@ -183,6 +183,12 @@ def test_headers_and_whole_licences_are_found(spark):
         "g/main.c": "GPL-3.0", "h/main.py": "Apache-2.0", "t/COPYING": "GPL-3.0"}
 
 
+def test_a_null_doc_id_has_no_number(spark, docs_of, tmp_path):
+    docs_of([(None, "some text", "en", "src6"), (7, "some text", "en", "src6")]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = registered()["op6_license_scan"](spark, str(tmp_path))
+    assert rows_of(got, "doc_id", "path") == [(7, "src6/en/file.7"), (None, "src6")]
+
+
 def test_no_files(spark):
     assert license_scan.licences(spark.createDataFrame([], "path string, text string")).collect() == []
 
