@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stakescore import staging
-from stakescore.llm import ann, byte_bpe, digest_index, language, license_scan, line_dedup, oracle, packing, simhash, token_files, toxicity
+from stakescore.llm import ann, byte_bpe, digest_index, language, license_scan, line_dedup, oracle, packing, simhash, token_files, toxicity, vector_codes, warc, whitening
 from stakescore.llm.workers import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,22 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.best_fit(packing.pieces(_documents(spark, sf_dir), WORD_TOKENIZER, end_id=1, capacity=4096), 4096)
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_warc(spark, sf_dir):
+    path = staging.staging_path(spark, "warc")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    found = warc.digests(warc.captures(warc.records(spark, path), payload=False))
+    return found.select(
+        F.col("key").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline  # beside the package, and imports it
 
@@ -88,6 +104,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_whitening": op12_whitening,
+    "op13_warc": op13_warc,
     "pipeline": pipeline,
 }
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stakescore.llm import license_scan, line_dedup
+from stakescore.llm import license_scan, line_dedup, vector_codes, warc
 
 OP8 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -99,5 +99,55 @@ FROM folders f LEFT JOIN own o USING (path) LEFT JOIN nearest n USING (folder)
 """
 
 
+OP13 = f"""
+WITH sized AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+placed AS (
+  SELECT *, payload_bytes >= {warc.SMALLEST} AND row_number() OVER same > 1 AS again, first_value(page_id) OVER same AS first_id
+  FROM sized WINDOW same AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST)
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first_id END AS refers_to FROM placed
+"""
+
+
+def op11() -> str:
+    """Plain k-means in whole numbers, each round's assignments from all distances."""
+    steps = []
+    for k in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""assigned{k} AS MATERIALIZED (
+  SELECT r, p, min(s * {vector_codes.ENTRIES} + e) % {vector_codes.ENTRIES} AS e, min(s) AS s FROM (
+    SELECT r, p, e, sum((v - c) * (v - c)) AS s FROM places JOIN book{k} USING (p, i) GROUP BY r, p, e
+  ) GROUP BY r, p)""")
+        if k < vector_codes.ROUNDS:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT p, e, i, coalesce(m, c) AS c FROM book{k} LEFT JOIN (
+    SELECT p, e, i, (sum(v) - (sum(v) % count(*) + count(*)) % count(*)) // count(*) AS m
+    FROM places JOIN assigned{k} USING (r, p) GROUP BY p, e, i
+  ) USING (p, e, i))""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({vector_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+vectors AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) AS r, * FROM usable
+  WHERE len(x) = (SELECT len(x) FROM usable GROUP BY len(x) ORDER BY count(*) DESC, len(x) LIMIT 1)
+),
+places AS MATERIALIZED (
+  SELECT r, i // (n // {vector_codes.PARTS}) AS p, i % (n // {vector_codes.PARTS}) AS i, CAST(v AS BIGINT) AS v
+  FROM (SELECT r, len(x) AS n, unnest(x) AS v, unnest(range(len(x))) AS i FROM vectors)
+),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, i, v AS c FROM places WHERE r <= {vector_codes.ENTRIES}),
+{", ".join(steps)},
+errors AS (
+  SELECT r, string_agg(lpad(to_hex(e), 2, '0'), '' ORDER BY p) AS code, CAST(sum(s) AS BIGINT) AS error FROM assigned{last} GROUP BY r
+),
+digest AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, lower(code) AS code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM vectors JOIN errors USING (r), digest
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op6_license_scan": op6(), "op7_line_dedup": OP7, "op8_exact_dedup": OP8}
+    return {"op6_license_scan": op6(), "op7_line_dedup": OP7, "op8_exact_dedup": OP8, "op11_vector_codes": op11(), "op13_warc": OP13}

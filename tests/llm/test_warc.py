@@ -1,0 +1,128 @@
+"""Archives: round trips, assembly of foreign and shuffled records, and the query against its SQL."""
+
+import gzip
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from stakescore import staging
+from stakescore.llm import catalog, oracle, warc
+from tests.conftest import rows_of
+
+HEAD = "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc"
+LONG = "ä" * 60
+SCHEMA = "page_id long, url string, html string, id string, digest int, size string, key string, value string"
+
+
+def pages_of(spark, rows, partitions=3):
+    return spark.createDataFrame([(*r, "x", 1, "y", "z", "v") for r in rows], SCHEMA).repartition(partitions)
+
+
+def round_trip(spark, rows, **settings):
+    path = staging.staging_path(spark, "warc")
+    warc.write(pages_of(spark, rows), path, **settings)
+    return path, warc.records(spark, path)
+
+
+def expected(rows):
+    """(key, bytes, digest, type, refers to) by plain loops; which of repeated keys is the response does not show."""
+    groups = defaultdict(list)
+    for key, _, html in rows:
+        groups[(html or "").encode()].append(key)
+    out = []
+    for payload, keys in groups.items():
+        keys.sort(key=lambda k: (k is None, k or 0))
+        for i, key in enumerate(keys):
+            again = i > 0 and len(payload) >= 100
+            out.append((key, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if again else "response", keys[0] if again else None))
+    return Counter(out)
+
+
+ROWS = [
+    (3, "http://a.example/x?q=1", LONG), (1, "http://a.example/", LONG), (2, None, LONG), (1, "http://a.example/", LONG),
+    (None, "h", LONG), (None, "q", LONG), (4, "u\r\nWARC-Type: metadata", HEAD * 4), (5, "http://é.x/ü", ""), (6, "", None),
+    (7, "h", "short"), (8, "h", "short"), (9, "h", "x" * 99), (10, "h", "x" * 99), (11, "h", "x" * 100), (12, "h", "x" * 100),
+    (13, "h", "\r\n" * 100), (14, "h", LONG + "\r\n\r\n"), (15, "h", "\r\n\r\n" + LONG), (16, "h", "WARC/1.1\r\n" * 30),
+    (17, "h", "é" * 400_000), (18, "h", "tab\t\x00\x1c nul"),
+]
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_pages_come_back(spark, compression):
+    path, records = round_trip(spark, ROWS, compression=compression)
+    got = warc.digests(warc.captures(records, payload=False)).withColumns({c: F.col(c).cast("long") for c in ("key", "refers_to")}).collect()
+    assert Counter(map(tuple, got)) == expected(ROWS)
+    assert records.count() == 3 * len(ROWS)
+
+
+def test_files_are_read_in_splits(spark):
+    """Uncompressed archives are cut anywhere, also within heads and payloads."""
+    rows = [(i, f"http://h/{i}", random.Random(i).choice([HEAD, "\r\n\r\n", "WARC/1.1\r\n", "text "]) * (i % 40)) for i in range(300)]
+    path, _ = round_trip(spark, rows, compression="none")
+    for size in ("997", "8k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = warc.digests(warc.captures(warc.records(spark, path), payload=False)).withColumns(
+                {c: F.col(c).cast("long") for c in ("key", "refers_to")}).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert Counter(map(tuple, got)) == expected(rows)
+
+
+def test_captures_are_nested_with_payloads(spark):
+    _, records = round_trip(spark, ROWS)
+    found = {r["key"]: r for r in warc.captures(records).filter("key in ('4', '5', '12', '17')").collect()}
+    assert bytes(found["4"]["payload"]).decode() == HEAD * 4 and found["4"]["target_uri"] == "u%0D%0AWARC-Type: metadata"
+    assert bytes(found["5"]["payload"]) == b"" and found["5"]["response"]["intact"]
+    assert found["12"]["payload"] is None and found["12"]["refers"]["key"] == "11" and found["12"]["refers"]["payload_bytes"] == 100
+    assert bytes(found["17"]["payload"]).decode() == "é" * 400_000
+    assert bytes(found["4"]["request"]["block"]).startswith(b"GET / HTTP/1.1\r\nHost: ") and found["4"]["metadata"]["record_id"]
+
+
+def test_empty_tables(spark):
+    _, records = round_trip(spark, [])
+    assert records.count() == 0 and warc.captures(records).count() == 0
+
+
+def record(kind, identifier, block, *fields, size=None):
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{identifier}>", *fields, f"Content-Length: {len(block) if size is None else size}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Records in any order and file, linked in either direction, one without partners, members compressed one by one."""
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    kind = "Content-Type: application/http; msgtype=response"
+    parts = [
+        record("warcinfo", "w", b"software: x\r\n"),
+        record("request", "q1", b"GET /1", "warc-concurrent-to:  <urn:uuid:r1>"),
+        record("response", "r1", http + b"one", kind),
+        record("response", "r2", http + b"two", kind, "WARC-Concurrent-To: <urn:uuid:q2>", "WARC-Concurrent-To: <urn:uuid:m2>"),
+        record("response", "r3", http, kind, "WARC-Payload-Digest: sha1:ABC"),
+        record("revisit", "r4", http, kind, "WARC-Refers-To: <urn:uuid:gone>"),
+    ]
+    late = [record("metadata", "m2", b"key: 7\r\n"), record("request", "q2", b"GET /2"), record("request", "q0", b"GET /0", "WARC-Concurrent-To: <urn:uuid:r1>")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    (tmp_path / "b.warc").write_bytes(b"".join(late))
+    found = {r["record_id"]: r for r in warc.captures(warc.records(spark, str(tmp_path))).collect()}
+    assert set(found) == {"r1", "r2", "r3", "r4"}
+    assert (bytes(found["r1"]["payload"]), found["r1"]["request"]["record_id"], found["r1"]["metadata"]) == (b"one", "q0", None)
+    assert found["r2"]["key"] == "7" and bytes(found["r2"]["request"]["block"]) == b"GET /2"
+    assert bytes(found["r3"]["payload"]) == b"" and found["r3"]["response"]["intact"] is False
+    assert found["r4"]["response"] is None and found["r4"]["refers"] is None
+
+
+def test_a_wrong_length_fails(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record("metadata", "m", b"abc", size=2) + record("metadata", "n", b"abc"))
+    with pytest.raises(Exception, match="another length"):
+        warc.records(spark, str(tmp_path)).collect()
+
+
+def test_query_equals_sql(spark, duck, sf_dir):
+    got = catalog.registered()["op13_warc"](spark, sf_dir)
+    columns = sorted(got.columns)
+    want = sorted(duck.sql(f"SELECT {', '.join(columns)} FROM ({oracle.OP13})").fetchall(), key=repr)
+    assert rows_of(got, *columns) == want
