@@ -32,7 +32,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from stakescore import staging
-from stakescore.llm.vectors import batches_of, decimals, finite, longs, matrix, narrowed, usual_length, whole
+from stakescore.llm.batches import batches_of
+from stakescore.llm.vectors import decimals, finite, longs, matrix, narrowed, usual_length, whole
 from stakescore.operators.skew import attach_by_key
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096.0, 8, 16, 6

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import decimal
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -64,10 +62,3 @@ def longs(numbers: np.ndarray) -> pa.Array:
 def totals(numbers: np.ndarray) -> np.ndarray:
     """Sums of the rows, as Python integers."""
     return np.array([int(x) for x in numbers.sum(axis=0).ravel()], object)
-
-
-def batches_of(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
-    """The batches in slices of at most ``rows`` rows."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stakescore import staging
-from stakescore.llm.vectors import NARROW, batches_of, decimals, finite, longs, matrix, totals, usual_length, whole
+from stakescore.llm.batches import batches_of
+from stakescore.llm.vectors import NARROW, decimals, finite, longs, matrix, totals, usual_length, whole
 
 SCALE, SHIFT, COMPONENTS = 64.0, 1_000_000, 32
 #: Part of the largest eigenvalue below which a direction has no variance.

@@ -1,11 +1,13 @@
 """Token ids of whole texts by a word-level BPE of the ``tokenizers`` library.
 
-White space always ends a token of such a tokenizer, so a text's ids are those of its white-space chunks
-in order. Chunks repeat, so each Python worker keeps the ids of the chunks it has met, up to a fixed number.
+Where white space always ends a token, a text's ids are those of its white-space chunks in order. Chunks repeat, so each
+Python worker keeps the ids of the chunks it has met, up to a fixed number. That, and how chunks of Latin letters are
+taken apart here, holds for one normalizer and one splitter; a vocabulary file with others is left to the library, text by text.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -16,18 +18,35 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
+from stakescore.llm.batches import batches_of
+
+#: Texts encoded at once.
+AT_ONCE = 1024
 #: Chunks, and words, that a worker keeps at hand (and as many older ones); it forgets the rest, which costs time only.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Longer chunks are encoded each time.
 LONGEST_REMEMBERED = 48
 
 #: Letters that lower case and normal form C map one by one, with at most one mark behind them.
 PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
 LETTERS = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: The splitter of ``KNOWN`` for lower-case Latin-1 text without white space.
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼-¾]+").findall
 #: A mark that may belong to the one before it.
 CROWDED_MARK = re.compile("[^a-z0-9ß-öø-ÿ\\s][.,]").search
 #: Where a mark ends a word, and the same with the mark apart.
 MARKS = [(f"{mark}{space}", f" {mark}{space}") for mark in ".," for space in " \n"]
+#: The settings, as a vocabulary file names them, for which chunks may be encoded alone.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "post_processor": None, "truncation": None, "padding": None,
+}
 #: White space for Python only, or for the tokenizer only.
 DISPUTED_SPACE = re.compile("[\x1c-\x1f]").search
 
@@ -75,8 +94,15 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.size = size
         self._typecode = next(c for c in "HIL" if array(c).itemsize == self.dtype.itemsize)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        # Added tokens are found before anything is split; a text with the mark they begin with goes to the library.
+        added = all(t["content"].startswith("<|") and not t["normalized"] for t in settings.get("added_tokens", []))
+        self.known = added and all(settings.get(k) == v for k, v in KNOWN.items())
         self._bytes = byte_characters()
+        self._tokenize = self.tokenizer.model.tokenize
         self._words = Memory(self._word)
+        self._pieces = Memory(self._piece)
         self._chunks = Memory(self._whole)
 
     def _pack(self, ids: list[int]) -> bytes:
@@ -88,12 +114,17 @@ class WordEncoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _piece(self, piece: str) -> bytes:
+        """A match of the splitter in a text in lower case."""
+        plain = piece.isascii() and piece.isprintable()
+        spelled = piece if plain else piece.encode().decode("latin-1").translate(self._bytes)
+        return self._pack([t.id for t in self._tokenize(spelled)])
+
     def _word(self, word: str) -> bytes:
         """A chunk of a text in lower case."""
-        if not LETTERS(word):
-            return self._whole(word)
-        spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self._bytes)
-        return self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
+        if LETTERS(word):
+            return self._piece(word)
+        return b"".join(map(self._pieces.__getitem__, SPLIT(word)))
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; those of null are none.
@@ -102,7 +133,7 @@ class WordEncoder:
         """
         if not text:
             return b""
-        if DISPUTED_SPACE(text):
+        if not self.known or DISPUTED_SPACE(text):
             return self._whole(text)
         if "<|" not in text and _latin(text):
             lower = text.lower() + " "
@@ -131,5 +162,5 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
     """Each batch with the ids of its second column's texts, ``end_id`` behind each."""
     encoder = word_encoder(path)
     end = np.array([end_id], encoder.dtype).tobytes()
-    for batch in batches:
+    for batch in batches_of(batches, AT_ONCE):
         yield batch, [np.frombuffer(encoder.encode(t) + end, encoder.dtype) for t in batch.column(1).to_pylist()]

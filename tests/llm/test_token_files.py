@@ -35,6 +35,23 @@ def test_chunked_ids_are_those_of_the_whole_text(text):
     assert np.frombuffer(ENCODER.encode(text), ENCODER.dtype).tolist() == plain_ids(text)
 
 
+def test_other_settings_go_through_the_library(tmp_path):
+    import json
+
+    settings = json.load(open(PATH, encoding="utf-8"))
+    settings["normalizer"] = {"type": "NFC"}
+    (tmp_path / "other.json").write_text(json.dumps(settings), encoding="utf-8")
+    library, own = Tokenizer.from_file(str(tmp_path / "other.json")), WordEncoder(str(tmp_path / "other.json"))
+    for text in ["Hello World, fine", *filter(None, ODD_TEXTS)]:
+        assert np.frombuffer(own.encode(text), own.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abstrevml'0²½¼ªµ×÷$%.,! \x00\x7f\xad\xa0") | st.characters(max_codepoint=255), max_size=30))
+def test_latin_words_are_split_as_by_the_library(text):
+    assert np.frombuffer(ENCODER.encode(text), ENCODER.dtype).tolist() == plain_ids(text)
+
+
 def wanted(rows, end_id):
     found, start = [], 0
     for doc_id, ids in sorted(((i, plain_ids(t) + [end_id]) for i, t in rows), key=lambda r: r[0]):
