@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from stakescore.llm.word_ids import PLAIN_WORD, Memory
 
+#: Fixed value: the pattern for which a single space before a visible character always begins a match.
+SPACED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Ranks in one word of the lower bitmap.
 WORD_BITS = 8
 WORD = (1 << WORD_BITS) - 1
@@ -38,6 +40,7 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.matches = regex.compile(pattern).findall
+        self.spaced = pattern == SPACED
         self._pieces = Memory(self._piece)
         self._first = Memory(self._chunk)
         self._later = Memory(self._later_chunk)
@@ -115,12 +118,12 @@ class ByteBpe:
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers; none for null.
 
-        A single space between two visible characters always begins a match, so a text whose white space
-        is of that kind (or single line feeds) is encoded chunk by chunk.
+        By the pattern ``SPACED`` a single space between two visible characters always begins a match, so a text whose
+        white space is of that kind (or single line feeds) is encoded chunk by chunk; by others texts are matched whole.
         """
         if not text:
             return b""
-        if " ".join(text.split()) != text.replace("\n", " "):
+        if not self.spaced or " ".join(text.split()) != text.replace("\n", " "):
             return self._chunk(text)
         first, *later = text.split(" ")
         return self._first[first] + b"".join(map(self._later.__getitem__, later))

@@ -58,3 +58,10 @@ def test_query(spark, duck, sf_dir):
 
     got = registered()["op3_byte_bpe"](spark, sf_dir).collect()
     assert sorted(map(tuple, got)) == sorted((i, *digest(t)) for i, t in duck.sql("SELECT doc_id, text FROM documents").fetchall())
+
+
+def test_another_pattern_is_matched_as_it_says():
+    pattern = r"\p{L}+|[^\p{L}]"
+    own, library = byte_bpe.ByteBpe(PATH, pattern), tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=CODER.ranks, special_tokens={})
+    for text in ["Hello World, fine", *filter(None, ODD_TEXTS)]:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode_ordinary(text)
