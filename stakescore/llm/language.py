@@ -4,16 +4,16 @@ For each language there is a zstandard dictionary of raw text, in lower case. A
 chunks so that the dictionary counts throughout a long text, and gets the language of the smallest sum.
 Where the runner-up comes within ``MARGIN`` of it, the text is rejected.
 
-The dictionaries are cut from at most ``SAMPLE`` training texts a language (``SHARE`` bytes of each); that
-bound holds at any size of the corpus. Texts are scored whole, each where it lies: no shuffle.
+The dictionaries are cut from about ``SAMPLE`` training texts a language at most (``SHARE`` bytes of each), and from less of each where
+there are so many languages that all would exceed ``TOTAL`` bytes; these bounds hold at any size of the corpus. Texts are scored
+whole, each where it lies: no shuffle.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
@@ -22,6 +22,8 @@ from stakescore.llm.texts import added
 
 SAMPLE = 256
 SHARE = 1024
+#: Bytes of all dictionaries, which pass the driver.
+TOTAL = 1 << 24
 CHUNK = 1024
 #: Saving over the runner-up, as a part of its size, below which a text is rejected.
 MARGIN = 0.004
@@ -30,28 +32,32 @@ LEVEL = 6
 FILLER = b"\n" * 200
 UNKNOWN = "und"
 
-LETTER = re.compile(r"[^\W\d_]").search
+#: Of Unicode's letter categories; signs of numbers are none.
+LETTER = regex.compile(r"\p{L}").search
 
 
 def dictionaries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, bytes]:
     """Raw dictionary content by language, from the rows that are not held out.
 
     The rows are chosen by id alone; then only the chosen ones' texts are read. What reaches the driver is
-    ``SAMPLE * SHARE`` bytes a language at most.
+    ``TOTAL`` bytes at most, whatever the number of rows and languages.
     """
     known = docs.select(
         F.col(doc_id).alias("id"), F.col(lang).alias("language"), F.col(text).alias("words")
-    ).filter(~held_out("id") & F.col("language").isNotNull())
-    chosen = sampled(known.filter("words is not null").select("id", "language"), "language", "id", SAMPLE)
-    begin = F.lit(1) + F.pmod(F.xxhash64("id", "language"), F.greatest(F.length("words") - SHARE, F.lit(1)))
-    texts = known.join(F.broadcast(chosen.distinct()), ["id", "language"]).groupBy("id", "language").agg(
-        F.min(F.substring("words", begin.cast("int"), F.lit(SHARE))).alias("words")  # of rows of equal id, one
+    ).filter(~held_out("id") & F.col("language").isNotNull() & F.col("words").isNotNull())
+    languages = max(1, known.agg(F.approx_count_distinct("language")).first()[0])
+    share = max(1, min(SHARE, TOTAL // (2 * languages)))
+    most = max(1, min(SAMPLE, TOTAL // (2 * languages * share)))
+    chosen = sampled(known.select("id", "language"), "language", "id", most)
+    begin = F.lit(1) + F.pmod(F.xxhash64("id", "language"), F.greatest(F.length("words") - share, F.lit(1)))
+    texts = known.join(F.broadcast(chosen), ["id", "language"]).groupBy("id", "language").agg(
+        F.min(F.substring("words", begin.cast("int"), F.lit(share))).alias("words")  # of rows of equal id, one
     )
     content: dict[str, list[bytes]] = {}
     for row in sorted(texts.collect(), key=lambda r: r["id"]):
         if LETTER(row["words"]):
-            content.setdefault(row["language"], []).append(row["words"].lower().encode()[:SHARE])
-    return {language: b"\n".join(parts[:SAMPLE]) for language, parts in sorted(content.items())}
+            content.setdefault(row["language"], []).append(row["words"].lower().encode()[:share])
+    return {language: b"\n".join(parts[:most]) for language, parts in sorted(content.items())}
 
 
 class Classifier:
@@ -89,6 +95,8 @@ class Classifier:
 def identify(docs: DataFrame, content: dict[str, bytes], doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score, rejected and, with ``carry``, its row as ``doc``.
 
+    Other columns, whatever their names, are not read, or come inside ``doc``.
+
     The score rises with the margin and is 0.5 where rejection ends. A text that is null or has no letter,
     and any text where no language was learned, is ``und`` with score 0 and rejected; with one language
     learned, all others get it with a high score. Rows of equal id are scored each.

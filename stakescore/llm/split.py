@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
+from stakescore import staging
 
 #: Values of the hash that picks samples.
 SPAN = 1 << 31
@@ -16,16 +16,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def sampled(rows: DataFrame, group: str, doc_id: str, most: int) -> DataFrame:
-    """About the ``most`` rows of each group whose ids have the smallest hashes, and no more.
+    """About ``most`` rows of each group (all, if it has no more), once each: those whose ids have the smallest hashes.
 
-    The groups are counted first, and of a large one only the share of the hashes is looked at that holds
-    twice as many; so what is sorted does not grow with the table. ``rows`` should be narrow, groups few.
+    The number of a group's rows gives the share of the hashes to take from it; nothing is sorted. The counts are staged,
+    so that Spark knows whether they are few enough to be broadcast to the rows. ``rows`` should be narrow.
     """
-    counts = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    named = rows.withColumn("_null", F.col(group).isNull()).withColumn("_group", F.coalesce(F.col(group).cast("string"), F.lit("")))
+    counts = staging.written(named.groupBy("_null", "_group").agg(F.count("*").alias("_count")), "counts")
     hashed = F.pmod(F.xxhash64(doc_id), F.lit(SPAN))
-    share = F.lit(None).cast("bigint")
-    for value, count in counts.items():
-        share = F.when(F.col(group).eqNullSafe(F.lit(value)), F.lit(min(SPAN, 2 * most * SPAN // count))).otherwise(share)
-    order = Window.partitionBy(group).orderBy(hashed, doc_id)
-    few = rows.filter(hashed < share)
-    return few.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most).drop("_rank")
+    share = F.lit(float(most)) * SPAN / F.col("_count")
+    return named.join(counts, ["_null", "_group"]).filter(hashed < share).select(*rows.columns).distinct()

@@ -8,6 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from stakescore.llm.batches import batches_of
+
+#: Texts that are Python's at once.
+AT_ONCE = 1024
 #: Makes columns from texts.
 Columns = Callable[[list], dict[str, pa.Array]]
 
@@ -24,7 +28,7 @@ def added(docs: DataFrame, doc_id: str, text: str, make: Callable[[], Columns],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = make()
-        for batch in batches:
+        for batch in batches_of(batches, AT_ONCE):
             yield pa.record_batch({c: batch.column(c) for c in kept} | columns(batch.column("text").to_pylist()))
 
     made = StructType.fromDDL(schema)
