@@ -64,6 +64,15 @@ def test_the_sample_is_bounded(docs_of, monkeypatch):
     assert 0 < len(content) <= 5 * (language.SHARE + 1)
 
 
+def test_samples_hold_about_what_is_asked_of_each_group(spark):
+    from stakescore.llm.split import sampled
+
+    rows = spark.createDataFrame([(i, "ab"[i % 10 == 0], 1) for i in range(5000)] + [(i, None, 1) for i in range(30)] + [(7, "a", 1)] * 900, "id long, g string, count int")
+    got = sampled(rows, "g", "id", 100).collect()
+    assert len(got) == len(set(got)) and sum(r["g"] is None for r in got) == 30
+    assert all(50 < sum(r["g"] == g for r in got) < 150 for g in "ab")
+
+
 def plain_answers(model, rows):
     """Largest answer of each filter over all windows of one text."""
     seen = model.table[rows].reshape(len(rows), 3 * toxicity.DIM).astype(float)
@@ -147,3 +156,56 @@ def test_carried_rows_come_whole(docs_of):
     got = language.language_id(docs, carry=True).select("doc.*")
     assert got.columns == docs.columns
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+
+
+@pytest.mark.parametrize("text", ["½", "² 3", "Ⅷ", "①", "٣", "_", "12 €", "́"])
+def test_signs_of_numbers_are_no_letters(text):
+    assert language.Classifier({"en": b"some text", "fr": b"du texte"}).predict(text) == ("und", 0.0)
+
+
+def test_languages_by_plain_compression():
+    """Each chunk compressed anew with each raw dictionary; the least sum wins, and the margin is over the next."""
+    import zstandard
+
+    content = {name: " ".join([text] * 3).encode() for name, text in LATIN.items()} | {"x": b"zzz qqq"}
+    classifier = language.Classifier(content)
+    chance = np.random.default_rng(4)
+    texts = [" ".join(chance.choice(" ".join(LATIN.values()).split(), n)) for n in (1, 3, 20, 200, 2000)] + [t for t in ODD_TEXTS if t]
+    for text in texts:
+        raw = text.lower().encode()
+        parts = [raw[i : i + language.CHUNK] for i in range(0, len(raw), language.CHUNK)]
+        parts[-1] += language.FILLER
+        sizes = {}
+        for name, words in content.items():
+            dictionary = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            dictionary.precompute_compress(level=language.LEVEL)
+            sizes[name] = sum(
+                len(zstandard.ZstdCompressor(
+                    level=language.LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False,
+                ).compress(part)) for part in parts
+            )
+        if language.LETTER(text):
+            ordered = sorted(sizes, key=lambda name: (sizes[name], name))
+            assert classifier.predict(text) == (ordered[0], 1 - sizes[ordered[0]] / sizes[ordered[1]])
+
+
+def test_many_languages_stay_within_the_bound(docs_of):
+    rows = [(i, f"word{i} " * 300, f"l{i % 2000}", None) for i in range(4000)]
+    content = language.dictionaries(docs_of(rows))
+    assert len(content) > 1800 and sum(map(len, content.values())) <= language.TOTAL
+
+
+def test_a_very_long_text_teaches_a_bounded_part(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "LONGEST", 400)
+    rows, labels = toxic_corpus()
+    rows[4] = (4, "word " * 2_000_000, "en", None)
+    model, _ = toxicity.learn(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert model.thresholds
+
+
+def test_few_calibration_texts_borrow_from_other_languages(monkeypatch):
+    rows, labels = toxic_corpus()
+    texts, kinds = [r[1] for r in rows], np.array([t for _, _, t in labels])
+    names = ["few" if i < 8 else "many" for i in range(len(texts))]
+    model = toxicity.fit(texts, kinds, names, 0.3)
+    assert set(model.thresholds) == {"few", "many"} and np.isfinite(list(model.thresholds.values())).all()
