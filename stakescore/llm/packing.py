@@ -12,8 +12,9 @@ capacity), and more only when the items left outweigh the gaps left, or fit none
 geometrically: about a dozen, whatever the number of items.
 
 Any size may be that of a third of all items: ranges are cut by size and then by a hash, so equal sizes
-spread. Driver-side are counts by size (at most ``capacity`` of them) and by range. The state of a round is
-a table in the shared folder, so a lost executor costs only its tasks.
+spread, and a range holds ``RANGE`` rows, so small rounds take few tasks. Driver-side are counts by size (at most
+``capacity`` of them) and by range. The state of a round is a table in the shared folder, so a lost executor costs only its
+tasks; the rounds' pairs are read as one table in the end.
 
 Nulls and ties: an item of null size, of less than 1 or more than ``capacity`` gets a null sequence and
 offset; equal items are each placed; an empty table gives an empty result.
@@ -23,7 +24,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ from pyspark.sql.window import Window
 from stakescore import staging
 from stakescore.llm.word_ids import encoded
 
+#: Rows of a range.
+RANGE = 100_000
 
 def pieces(
     docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_id: str = "doc_id", text: str = "text",
@@ -151,7 +153,7 @@ def best_fit(items: DataFrame, capacity: int, length: str = "length") -> DataFra
     item = F.struct(*[F.col(c) for c in items.columns])
     fits = F.coalesce(F.col(length).between(1, capacity), F.lit(False))
     item_type = items.select(item.alias("item")).schema["item"].dataType
-    names = {"kind": StringType(), "size": IntegerType(), "bin": LongType(), "slot": IntegerType(), "item": item_type}
+    names = {"kind": StringType(), "turn": IntegerType(), "size": IntegerType(), "bin": LongType(), "slot": IntegerType(), "item": item_type}
     swept_type = StructType([
         StructField("part", IntegerType()), StructField("kind", StringType()), StructField("number", LongType()),
         StructField("size", IntegerType()), StructField("item", item_type), StructField("bin", LongType()),
@@ -172,7 +174,7 @@ def best_fit(items: DataFrame, capacity: int, length: str = "length") -> DataFra
     )
     state = everything.filter(F.col("kind") == "item")
     waiting, gaps = _sizes(state)
-    placed, opened, turn = [], 0, 0
+    tables, opened, turn = [], 0, 0
     while waiting:
         total = sum(s * n for s, n in waiting.items())
         kept = {g: n for g, n in gaps.items() if g >= min(waiting)}
@@ -205,8 +207,11 @@ def best_fit(items: DataFrame, capacity: int, length: str = "length") -> DataFra
             F.lit(None).cast("bigint").alias("bin"), F.lit(None).cast("int").alias("slot"), "item",
         ))
         order = [F.desc("size"), F.asc("is_item"), F.asc("tie")]
+        offered = sum(n * min(max(g // largest, 1), most_slots) for g, n in kept.items() if smallest <= g <= top)
+        ranges = -(-(sum(waiting.values()) + offered) // RANGE)
         swept = staging.written(
-            both.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_swept, swept_type), "swept"
+            both.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(_swept, swept_type)
+            .withColumn("turn", F.lit(turn)), "swept"
         )
         left = {(r["part"], r["kind"]): r["count"]
                 for r in swept.filter(F.col("kind") != "pair").groupBy("part", "kind").count().collect()}
@@ -230,21 +235,22 @@ def best_fit(items: DataFrame, capacity: int, length: str = "length") -> DataFra
         state = staging.written(
             shaped(loose.filter("match is null"), kind=F.lit("item"), size=F.col("size"), item=F.col("item"))
             .unionByName(shaped(gaps_left, kind=F.lit("bin"), size=F.col("size"), bin=F.col("bin")))
-            .unionByName(shaped(met, kind=F.lit("pair"), size=F.col("size"), bin=F.col("bin"), slot=F.col("slot"), item=F.col("item"))),
+            .unionByName(shaped(met, kind=F.lit("pair"), turn=F.lit(turn), size=F.col("size"), bin=F.col("bin"), slot=F.col("slot"), item=F.col("item"))),
             "packing",
         )
-        for pairs in (swept, state):
-            placed.append(pairs.filter(F.col("kind") == "pair").select(F.lit(turn).alias("turn"), "bin", "slot", "size", "item"))
+        tables += [swept, state]
         waiting, gaps = _sizes(state)
         turn += 1
 
     unfit = everything.filter("kind is null").select(
         "item.*", F.lit(None).cast("bigint").alias("sequence_id"), F.lit(None).cast("bigint").alias("offset")
     )
-    if not placed:
+    if not tables:
         return unfit
+    folders = sorted({f.rsplit("/", 1)[0] for table in tables for f in table.inputFiles()})
+    placed = spark.read.schema(StructType([StructField(n, t) for n, t in names.items()])).parquet(*folders).filter("kind = 'pair'")
     before = Window.partitionBy("bin").orderBy("turn", "slot").rowsBetween(Window.unboundedPreceding, -1)
-    return reduce(DataFrame.unionByName, placed).withColumn(
+    return placed.withColumn(
         "before", F.coalesce(F.sum("size").over(before), F.lit(0))
     ).select("item.*", F.col("bin").alias("sequence_id"), F.col("before").alias("offset")).unionByName(unfit)
 
