@@ -6,12 +6,12 @@ import json
 import os
 import time
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession, Window, functions as F
 
 from stakescore.catalog.panels import TEST, weekly_panel
 from stakescore.catalog.queries import registered
 from stakescore.operators import scoring
-from stakescore.operators.chunked import trailing_sum
+from stakescore.operators.chunked import forward_mean, trailing_sum
 
 HEADLINE = (
     "scan_panel", "preprocess", "voting_power_score", "self_bonded_score", "moving_vote_sum",
@@ -35,7 +35,22 @@ def one_key(spark, sf_dir):
     return trailing_sum(orders, "points", 8_000, ["history"], "total", "position")
 
 
-WINDOWS = {"moving_vote_sum_win64": wide_window, "one_key_win8000": one_key}
+def labels_ahead(size):
+    """The mean over the current and the next ``size`` orders of 50 histories of all orders."""
+    def query(spark, sf_dir):
+        orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+        histories = Window.partitionBy("history").orderBy("o_orderkey")
+        buckets = orders.withColumn("history", F.col("o_custkey") % 50).select(
+            "history", F.col("o_totalprice").alias("score"), (F.row_number().over(histories) - 1).alias("new_block"))
+        return forward_mean(buckets, "score", size, ["history"], "new_block", "label")
+
+    return query
+
+
+WINDOWS = {
+    "moving_vote_sum_win64": wide_window, "one_key_win8000": one_key,
+    "forward_label_win2": labels_ahead(2), "forward_label_win672": labels_ahead(672),
+}
 
 
 def main() -> None:

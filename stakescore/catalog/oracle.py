@@ -276,6 +276,8 @@ def statements(top: int = TEST.top_validators) -> dict[str, str]:
         ),
         "batched_scoring": rows(batched, "b_labels", "batch_id", *BUCKET, "label", types=BUCKETS),
         "incremental_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
+        "carried_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
+        "corrected_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
         "covers": query(
             [PANEL],
             f"SELECT max(block_height) AS max_height, max(block_height) >= {TEST.end_block} AS covered FROM panel",

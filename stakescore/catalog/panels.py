@@ -54,3 +54,17 @@ def minute_heights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.expr("cast(timestampdiff(MINUTE, timestamp_ntz'2024-01-01 00:00:00', ts) as int)").alias(HEIGHT)
     )
+
+
+def damaged_panel(panel: DataFrame) -> DataFrame:
+    """The panel as it was before corrections: of some weeks amounts and votes are wrong, rows are missing, or validators are
+    listed that were not there; a hundredth of the rows in all.
+    """
+    wrong = F.col(HEIGHT).between(340, 341)
+    number = F.substring(OPERATOR, 4, 10).cast("int")
+    missing = F.col(HEIGHT).isin(167, 300) & (number % 3 == 0)
+    extra = panel.filter((F.col(HEIGHT) == 250) & (number % 4 == 0)).withColumn(OPERATOR, F.concat(F.lit("no"), OPERATOR))
+    return panel.filter(~missing).withColumns({
+        "tokens": F.when(wrong, F.col("tokens") * 2).otherwise(F.col("tokens")).cast("decimal(38,0)"),
+        "vote": F.when(wrong, ~F.col("vote")).otherwise(F.col("vote")),
+    }).unionByName(extra)

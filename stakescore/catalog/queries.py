@@ -13,7 +13,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from stakescore import schemas
 from stakescore.catalog.panels import (
-    TEST, TEST_BATCH_SIZE, TEST_CHUNK, TEST_INCREMENTS, minute_heights, weekly_panel,
+    TEST, TEST_BATCH_SIZE, TEST_CHUNK, TEST_INCREMENTS, damaged_panel, minute_heights, weekly_panel,
 )
 from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
@@ -21,7 +21,7 @@ from stakescore.plans import data_scoring as scoring_plan
 from stakescore.staging import staging_path, written
 from stakescore.schemas import KEY
 from stakescore.sources import files
-from stakescore.incremental import backfill
+from stakescore.incremental import backfill, carried, corrections
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -225,6 +225,30 @@ def incremental_labels(spark, sf_dir):
     return sink
 
 
+def carried_labels(spark, sf_dir):
+    """The sink after all increments that carry their state and read the panel from one activity window before."""
+    panel = _panel(spark, sf_dir)
+    top = written(scoring_plan.survey(panel, TEST, chunk=TEST_CHUNK), "top")
+    store = carried.Store(spark, staging_path(spark, "store"))
+    for end in TEST_INCREMENTS:
+        carried.advance(panel, store, end, TEST, top, last=end == TEST_INCREMENTS[-1], chunk=TEST_CHUNK)
+    return store.labels()
+
+
+def corrected_labels(spark, sf_dir):
+    """The sink after increments over wrong rows, the correction of those rows, and a last increment."""
+    panel = _panel(spark, sf_dir)
+    damaged = written(damaged_panel(panel), "damaged")
+    top = written(scoring_plan.survey(panel, TEST, chunk=TEST_CHUNK), "top")
+    store = carried.Store(spark, staging_path(spark, "store"))
+    for end in TEST_INCREMENTS[:-1]:
+        carried.advance(damaged, store, end, TEST, top, chunk=TEST_CHUNK)
+    changes = written(corrections.changed_rows(damaged, panel), "changes")
+    corrections.correct(panel, store, changes, TEST, chunk=TEST_CHUNK)
+    carried.advance(panel, store, TEST_INCREMENTS[-1], TEST, last=True, chunk=TEST_CHUNK)
+    return store.labels()
+
+
 def covers(spark, sf_dir):
     return backfill.covers(weekly_panel(spark, sf_dir), TEST.end_block)
 
@@ -281,6 +305,8 @@ QUERIES: dict[str, Query] = {
     "batch_coverage": batch_coverage,
     "batched_scoring": batched_scoring,
     "incremental_labels": incremental_labels,
+    "carried_labels": carried_labels,
+    "corrected_labels": corrected_labels,
     "covers": covers,
     "resume_point": resume_point,
     "append_dedup": append_dedup,

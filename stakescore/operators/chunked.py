@@ -153,23 +153,31 @@ def forward_mean(
     """Add ``out``: the mean of ``value`` over the current and the next ``size`` rows of the group, null
     where the row ``size`` ahead is missing or has no value.
 
-    ``index`` must be dense from 0 in every group. A piece of the group is sorted together with the
-    first ``size`` rows of the next piece, so its frames are whole.
+    ``index`` must be dense in every group. A piece of the group is sorted together with the first ``size`` rows of the
+    next piece, so its frames are whole. Values (below 10^15) are summed up as decimals of 18 digits behind the point: a
+    running sum is exact, so a frame's sum is the difference of two of them, whatever its size and wherever pieces begin.
     """
     group = list(group)
     chunk = max(chunk, 8 * size)  # the repeated rows stay below an eighth
     home = chunk_of(F.col(index), chunk)
-    repeated = (F.col(index) % chunk < size) & (home > 0)
+    repeated = F.pmod(F.col(index), F.lit(chunk)) < size
     pieces = df.withColumn("_home", home).withColumn(
         "_piece", F.explode(F.when(repeated, F.array(home, home - 1)).otherwise(F.array(home)))
     )
     ordered = Window.partitionBy(*group, "_piece").orderBy(index)
-    ahead = F.lead(value, size).over(ordered) if size else F.col(value)
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exact = F.coalesce(F.col(value).cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
+    sums = pieces.withColumns({"_sum": F.sum(exact).over(running), "_count": F.count(value).over(running)})
+
+    def ahead(column: str) -> Column:
+        return F.lead(column, size).over(ordered) if size else F.col(column)
+
+    total = (ahead("_sum") - F.col("_sum") + exact).cast("double")
+    count = ahead("_count") - F.col("_count") + F.when(F.col(value).isNull(), 0).otherwise(1)
     return (
-        pieces
-        .withColumn(out, F.when(ahead.isNotNull(), F.avg(value).over(ordered.rowsBetween(0, size))))
+        sums.withColumn(out, F.when(ahead(value).isNotNull(), total / count))
         .filter(F.col("_piece") == F.col("_home"))
-        .drop("_piece", "_home")
+        .drop("_piece", "_home", "_sum", "_count")
     )
 
 
