@@ -28,6 +28,11 @@ PANEL = """panel AS (
       bool_or(l_returnflag = 'A') FILTER (l_linestatus = 'F') AS propose
     FROM lineitem GROUP BY ALL))"""
 
+#: The panel as a stored one holds it: its schema declares 32-bit rates.
+STORED_PANEL = PANEL.replace(
+    "self_bonded, commission_rate,", "self_bonded, CAST(CAST(commission_rate AS FLOAT) AS DOUBLE) AS commission_rate,"
+)
+
 HEIGHTS = """heights AS (
   SELECT CAST(date_diff('minute', TIMESTAMP '2024-01-01', date_trunc('minute', ts)) AS INTEGER) AS block_height
   FROM events)"""
@@ -223,6 +228,13 @@ def statements(top: int = TEST.top_validators) -> dict[str, str]:
             "SELECT block_height, operator_address, vote_propose_point,"
             " CAST(activity AS BIGINT) AS vote_propose_score FROM a_moving",
         ),
+        "stored_panel": rows([PANEL], scanned, *PANEL_COLUMNS),
+        "stored_moving_vote_sum": query(
+            scored,
+            "SELECT block_height, operator_address, vote_propose_point,"
+            " CAST(activity AS BIGINT) AS vote_propose_score FROM a_moving",
+        ),
+        "stored_data_scoring": rows([STORED_PANEL, *labelled[1:]], "a_labels", *BUCKET, "label", types=BUCKETS),
         "vote_proposed_score": rows(scored, "a_active", *key, "vote_propose_score"),
         "final_score": rows(
             scored, "a_scored", *PANEL_COLUMNS, *totals, "tokens_proportion", "voting_power_score",

@@ -13,14 +13,16 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from stakescore import schemas
 from stakescore.catalog.panels import (
-    TEST, TEST_BATCH_SIZE, TEST_CHUNK, TEST_INCREMENTS, damaged_panel, minute_heights, weekly_panel,
+    TEST, TEST_BATCH_SIZE, TEST_BUCKETS, TEST_CHUNK, TEST_INCREMENTS, damaged_panel, minute_heights, weekly_panel,
 )
 from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
 from stakescore.plans import data_scoring as scoring_plan
 from stakescore.staging import staging_path, written
-from stakescore.schemas import KEY
+from stakescore.schemas import HEIGHT, KEY
+from stakescore.operators.chunked import Layout
 from stakescore.sources import files
+from stakescore.sources.layout import StoredPanel
 from stakescore.incremental import backfill, carried, corrections
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +54,16 @@ def _stored_panel(spark, sf_dir):
     return files.read_panel(spark, path)
 
 
+def _laid_out(spark, sf_dir) -> StoredPanel:
+    """The weekly panel bucketed by validator and chunk, in two loads that share chunks."""
+    layout = Layout(TEST_CHUNK, TEST.vote_proposed_win_size - 1)
+    stored = StoredPanel.create(spark, staging_path(spark, "laid-out"), layout, TEST_BUCKETS)
+    panel = weekly_panel(spark, sf_dir)
+    stored.append(panel.filter(F.col(HEIGHT) > TEST_INCREMENTS[0]))
+    stored.append(panel.filter(F.col(HEIGHT) <= TEST_INCREMENTS[0]))
+    return stored
+
+
 def _preprocessed(spark, sf_dir):
     return scoring.preprocess(_panel(spark, sf_dir), stage=written)
 
@@ -146,6 +158,25 @@ def moving_vote_sum(spark, sf_dir):
     return scoring.moving_vote_sum(points, TEST.vote_proposed_win_size, chunk=TEST_CHUNK)
 
 
+def stored_panel(spark, sf_dir):
+    """The panel as its bucketed table gives it back."""
+    return _laid_out(spark, sf_dir).rows()
+
+
+def stored_moving_vote_sum(spark, sf_dir):
+    """The activity over the bucketed panel, whose rows are not shuffled."""
+    stored = _laid_out(spark, sf_dir)
+    points = scoring.vote_points(scoring.clean(stored.placed()), TEST.vote_score, TEST.propose_score)
+    narrow = points.select(*KEY, "vote_propose_point", Layout.CHUNK, Layout.HOME)
+    return scoring.moving_vote_sum(narrow, TEST.vote_proposed_win_size, layout=stored.layout)
+
+
+def stored_data_scoring(spark, sf_dir):
+    """The whole run over the bucketed panel."""
+    stored = _laid_out(spark, sf_dir)
+    return scoring_plan.data_scoring(stored.placed(), TEST, chunk=TEST_CHUNK, layout=stored.layout)
+
+
 def vote_proposed_score(spark, sf_dir):
     return _active(spark, sf_dir).select(*KEY, "vote_propose_score")
 
@@ -285,6 +316,9 @@ QUERIES: dict[str, Query] = {
     "self_bonded_score": self_bonded_score,
     "vote_points": vote_points,
     "moving_vote_sum": moving_vote_sum,
+    "stored_panel": stored_panel,
+    "stored_moving_vote_sum": stored_moving_vote_sum,
+    "stored_data_scoring": stored_data_scoring,
     "vote_proposed_score": vote_proposed_score,
     "final_score": _scored,
     "validator_score_table": validator_score_table,

@@ -9,6 +9,8 @@ chunk's starting offset; all sums are integers, so the result equals that of the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -25,6 +27,27 @@ def chunk_of(clock: Column, chunk: int) -> Column:
     return F.floor((clock - F.pmod(clock, F.lit(chunk))) / F.lit(chunk)).cast("bigint")
 
 
+@dataclass(frozen=True)
+class Layout:
+    """How the rows of a frame were placed beforehand: by ``CHUNK``, their chunk of heights, with copies of the last ``halo``
+    heights before a chunk that are not at ``HOME`` there.
+    """
+
+    chunk: int = CHUNK
+    halo: int = 0
+
+    CHUNK: ClassVar[str] = "height_chunk"
+    HOME: ClassVar[str] = "at_home"
+
+    def __post_init__(self):
+        if self.chunk < 1 or self.halo < 0:
+            raise ValueError("chunk must be positive and halo not negative")
+
+    def at_home(self, df: DataFrame) -> DataFrame:
+        """The rows without the copies and without the columns of the layout."""
+        return df.filter(self.HOME).drop(self.CHUNK, self.HOME)
+
+
 def _no_key() -> Column:
     return F.raise_error(F.lit("block and validator are not a key: a validator has several rows at a height"))
 
@@ -123,6 +146,50 @@ def trailing_sum(
     )
 
 
+def placed_trailing_sum(
+    df: DataFrame,
+    points: str,
+    win: int,
+    group: Sequence[str],
+    total: str,
+    position: str,
+    layout: Layout,
+    clock: str = HEIGHT,
+    rows_before: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`trailing_sum` of rows placed by ``layout``, whose ``halo`` must be ``win - 1`` at least: one window over each (group, chunk).
+
+    The sum up to ``h`` less the sum up to ``h - win`` is taken with two frames that only grow, so the cost does not depend on ``win``.
+    Where ``df`` is bucketed by group and chunk, its rows are not shuffled; the chunks' row counts are. Copies and the layout's
+    columns are left out of the result.
+    """
+    group = list(group)
+    if win < 1:
+        raise ValueError("win must be positive")
+    if layout.halo < win - 1:
+        raise ValueError(f"a window of {win} heights needs a halo of {win - 1}, the layout has {layout.halo}")
+    offsets = _offsets(
+        df.select(*group, F.col(layout.CHUNK).alias("_chunk"), F.col(layout.HOME).alias("_home")), group,
+        {"_rows_before": _rows_in_chunk(F.count_if("_home"), layout.chunk)}, rows_before,
+    ).withColumnRenamed("_chunk", layout.CHUNK)
+    by = Window.partitionBy(*group, layout.CHUNK).orderBy("_at")
+    until_now = by.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    expired = by.rangeBetween(Window.unboundedPreceding, -win)
+    same = by.rangeBetween(Window.currentRow, Window.currentRow)
+    gain = F.col(points).cast("bigint")
+    local = df.withColumn("_at", F.col(clock).cast("bigint")).select(
+        "*",
+        (F.sum(gain).over(until_now) - F.coalesce(F.sum(gain).over(expired), F.lit(0))).alias("_sum"),
+        F.count_if(layout.HOME).over(until_now).alias("_rows"),
+        F.count("*").over(same).alias("_copies"),
+    ).filter(layout.HOME)
+    return local.join(offsets, [*group, layout.CHUNK]).select(
+        *[F.col(c) for c in df.columns if c not in (layout.CHUNK, layout.HOME)],
+        F.col("_sum").alias(total),
+        _single(F.col("_copies"), F.col("_rows") + F.col("_rows_before")).alias(position),
+    )
+
+
 def row_numbers(
     df: DataFrame, group: Sequence[str], position: str, clock: str = HEIGHT, chunk: int = CHUNK
 ) -> DataFrame:

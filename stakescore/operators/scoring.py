@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stakescore.functions import scores
-from stakescore.operators.chunked import CHUNK, trailing_sum
+from stakescore.operators.chunked import CHUNK, Layout, placed_trailing_sum, trailing_sum
 from stakescore.operators.skew import attach_by_key
 from stakescore.schemas import HEIGHT, OPERATOR
 from stakescore.staging import Stage, lazy
@@ -101,14 +101,14 @@ def vote_points(df: DataFrame, vote_score: int, propose_score: int) -> DataFrame
 
 
 def moving_vote_sum(
-    df: DataFrame, vote_proposed_win_size: int, scope: Sequence[str] = (), chunk: int = CHUNK
+    df: DataFrame, vote_proposed_win_size: int, scope: Sequence[str] = (), chunk: int = CHUNK, layout: Layout | None = None
 ) -> DataFrame:
     """Add ``vote_propose_score``: the points over the last ``vote_proposed_win_size`` *heights*, null for
     the first ``vote_proposed_win_size - 1`` *rows* of a validator. Gaps lower the sum, not the row count.
+    ``layout`` tells how the rows of ``df`` were placed when they were stored.
     """
-    summed = trailing_sum(
-        df, "vote_propose_point", vote_proposed_win_size, [*scope, OPERATOR], "_sum", "_position", chunk=chunk
-    )
+    terms = (df, "vote_propose_point", vote_proposed_win_size, [*scope, OPERATOR], "_sum", "_position")
+    summed = trailing_sum(*terms, chunk=chunk) if layout is None else placed_trailing_sum(*terms, layout)
     warm = F.col("_position") >= vote_proposed_win_size
     return summed.withColumn("vote_propose_score", F.when(warm, F.col("_sum"))).drop("_sum", "_position")
 

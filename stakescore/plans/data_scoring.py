@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stakescore.functions import scores
 from stakescore.operators import labeling, scoring
-from stakescore.operators.chunked import CHUNK, trailing_sum
+from stakescore.operators.chunked import CHUNK, Layout, placed_trailing_sum, trailing_sum
 from stakescore.params import ScoringParams
 from stakescore.staging import Stage, written
 from stakescore.schemas import HEIGHT, OPERATOR, PANEL_COLUMNS
@@ -39,22 +39,27 @@ def activity_rows(
     columns: Sequence[str] = LABEL_COLUMNS,
     chunk: int = CHUNK,
     rows_before: DataFrame | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """The key, ``columns``, ``_activity``, ``_position``, ``_complete`` (no null in the panel's columns) and, if
     there are ``columns``, ``_inactive``. Flags and status end here, so they are not shuffled.
 
-    ``rows_before`` (operator_address, rows_before) counts the validators' rows that ``panel`` leaves out.
+    ``rows_before`` (operator_address, rows_before) counts the validators' rows that ``panel`` leaves out; ``layout`` tells
+    how its rows were placed when they were stored.
     """
-    rows = scoring.clean(panel.select(*PANEL_COLUMNS))
+    place = [] if layout is None else [layout.CHUNK, layout.HOME]
+    rows = scoring.clean(panel.select(*PANEL_COLUMNS, *place))
     rows = scoring.vote_points(rows, params.vote_score, params.propose_score).select(
-        HEIGHT, OPERATOR, *columns,
+        HEIGHT, OPERATOR, *columns, *place,
         scores.complete(rows, list(PANEL_COLUMNS)).alias("_complete"), "vote_propose_point",
         *[scores.inactive(F.col("jailed"), F.col("status")).alias("_inactive")] * bool(columns),
     )
-    return trailing_sum(
-        rows, "vote_propose_point", params.vote_proposed_win_size, [OPERATOR], "_activity", "_position",
-        chunk=chunk, rows_before=rows_before,
-    ).drop("vote_propose_point")
+    terms = (rows, "vote_propose_point", params.vote_proposed_win_size, [OPERATOR], "_activity", "_position")
+    if layout is None:
+        summed = trailing_sum(*terms, chunk=chunk, rows_before=rows_before)
+    else:
+        summed = placed_trailing_sum(*terms, layout, rows_before=rows_before)
+    return summed.drop("vote_propose_point")
 
 
 def eligible(params: ScoringParams) -> Column:
@@ -136,7 +141,7 @@ def score_panel(panel: DataFrame, params: ScoringParams, stage: Stage = written,
 
 
 def activity_of(
-    panel: DataFrame, params: ScoringParams, stage: Stage, top: DataFrame | None, chunk: int
+    panel: DataFrame, params: ScoringParams, stage: Stage, top: DataFrame | None, chunk: int, layout: Layout | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Activity rows of the validators to label, and of all validators; of the latter only the key,
     ``_activity``, ``_position`` and ``_complete`` are to be used.
@@ -148,12 +153,15 @@ def activity_of(
         top = stage(top, "top")
         size = top.count()
     elif size is not None:
-        top = stage(survey(panel, params, stage, chunk), "top")
+        top = stage(survey(panel if layout is None else layout.at_home(panel), params, stage, chunk), "top")
     if top is None:
-        rows = stage(activity_rows(panel, params, chunk=chunk), "activity")
+        rows = stage(activity_rows(panel, params, chunk=chunk, layout=layout), "activity")
         return rows, rows
     kept = labeling.keep_validators(panel, top, size)
-    return activity_rows(kept, params, chunk=chunk), activity_rows(panel, params, (), chunk)
+    return (
+        activity_rows(kept, params, chunk=chunk, layout=layout),
+        activity_rows(panel, params, (), chunk, layout=layout),
+    )
 
 
 def data_scoring(
@@ -162,13 +170,16 @@ def data_scoring(
     stage: Stage = written,
     top: DataFrame | None = None,
     chunk: int = CHUNK,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Labelled buckets of the top validators. ``top`` (``operator_address``, one row each) is kept instead of
-    the survey's top set.
+    the survey's top set. With ``layout``, ``panel`` is ``placed()`` of a stored panel (``sources.layout``), whose
+    rows are not shuffled for the activity.
     """
-    kept, everyone = activity_of(panel, params, stage, top, chunk)
+    kept, everyone = activity_of(panel, params, stage, top, chunk, layout)
     largest = largest_activity(everyone.filter(eligible(params)))
-    blocks = stage(block_values(total_values(panel), largest, params), "blocks")
+    rows = panel if layout is None else layout.at_home(panel)
+    blocks = stage(block_values(total_values(rows), largest, params), "blocks")
     scored = stage(scored_rows(kept.filter(eligible(params)), blocks, params), "scored")
     return labels_of(scored, params, chunk=chunk)
 
