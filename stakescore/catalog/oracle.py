@@ -205,6 +205,17 @@ def statements(top: int = TEST.top_validators) -> dict[str, str]:
         f"history AS (SELECT * FROM panel WHERE block_height BETWEEN 0 AND {TEST.end_block})",
         scores("h", "history"), survey("h", top), labels("h", "h"),
     ]
+    minute_gaps = query(
+        [HEIGHTS], f"{gaps} FROM ({pairs} FROM (SELECT DISTINCT block_height FROM heights)) WHERE gap <> 1"
+    )
+    strides = query(
+        labelled,
+        f"SELECT gap, count(*) AS pairs FROM ({gaps} FROM ({pairs} FROM"
+        " (SELECT DISTINCT block_height FROM a_labels))) WHERE gap IS NOT NULL GROUP BY gap",
+    )
+    other_strides = query(
+        labelled, f"{gaps} FROM ({pairs} FROM (SELECT DISTINCT block_height FROM a_labels)) WHERE gap <> {C}"
+    )
     return {
         "scan_panel": rows([PANEL], scanned, *PANEL_COLUMNS),
         "range_scan": rows([PANEL], scanned, *PANEL_COLUMNS)
@@ -255,17 +266,16 @@ def statements(top: int = TEST.top_validators) -> dict[str, str]:
         "label_counts": query(
             labelled, 'SELECT count(*) AS "rows", count(DISTINCT block_height) AS heights FROM a_labels'
         ),
-        "block_gaps": query(
-            [HEIGHTS], f"{gaps} FROM ({pairs} FROM (SELECT DISTINCT block_height FROM heights)) WHERE gap <> 1"
-        ),
-        "stride_histogram": query(
-            labelled,
-            f"SELECT gap, count(*) AS pairs FROM ({gaps} FROM ({pairs} FROM"
-            " (SELECT DISTINCT block_height FROM a_labels))) WHERE gap IS NOT NULL GROUP BY gap",
-        ),
-        "stride_gaps": query(
-            labelled,
-            f"{gaps} FROM ({pairs} FROM (SELECT DISTINCT block_height FROM a_labels)) WHERE gap <> {C}",
+        "block_gaps": minute_gaps,
+        "stride_histogram": strides,
+        "stride_gaps": other_strides,
+        "kept_gaps": minute_gaps,
+        "kept_stride_histogram": strides,
+        "kept_stride_gaps": other_strides,
+        "kept_heights": query(
+            [HEIGHTS],
+            "SELECT min(block_height) AS min_height, max(block_height) AS max_height,"
+            " count(DISTINCT block_height) AS heights FROM heights",
         ),
         "expected_buckets": query(
             [PANEL],

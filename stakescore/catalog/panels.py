@@ -16,6 +16,8 @@ TEST = ScoringParams(
 TEST_BATCH_SIZE = 87
 #: Small enough for the weekly panel to span several chunks.
 TEST_CHUNK = 64
+#: Heights per chunk of run lists: the minutes of a year span many, the weekly panel some.
+TEST_RUN_CHUNK = 96
 #: Buckets of the stored weekly panel.
 TEST_BUCKETS = 4
 #: Last heights of the increments; the last one reaches the panel's end.

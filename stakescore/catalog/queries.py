@@ -13,7 +13,8 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from stakescore import schemas
 from stakescore.catalog.panels import (
-    TEST, TEST_BATCH_SIZE, TEST_BUCKETS, TEST_CHUNK, TEST_INCREMENTS, damaged_panel, minute_heights, weekly_panel,
+    TEST, TEST_BATCH_SIZE, TEST_BUCKETS, TEST_CHUNK, TEST_INCREMENTS, TEST_RUN_CHUNK,
+    damaged_panel, minute_heights, weekly_panel,
 )
 from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
@@ -23,7 +24,7 @@ from stakescore.schemas import HEIGHT, KEY
 from stakescore.operators.chunked import Layout
 from stakescore.sources import files
 from stakescore.sources.layout import StoredPanel
-from stakescore.incremental import backfill, carried, corrections
+from stakescore.incremental import backfill, carried, corrections, runs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -280,6 +281,39 @@ def corrected_labels(spark, sf_dir):
     return store.labels()
 
 
+def _kept_runs(spark, heights, stride=1) -> runs.HeightRuns:
+    """The runs of ``heights`` after increments in falling order that overlap, the first of them twice."""
+    kept = runs.HeightRuns(spark, staging_path(spark, "runs"), stride, chunk=TEST_RUN_CHUNK)
+    third = F.pmod(F.floor(F.col(HEIGHT) / 100), F.lit(3))
+    for part in (third >= 1, third >= 1, third <= 1):
+        kept.add(heights.filter(part))
+    return kept
+
+
+def kept_gaps(spark, sf_dir):
+    return runs.block_gaps(_kept_runs(spark, minute_heights(spark, sf_dir)).runs())
+
+
+def kept_heights(spark, sf_dir):
+    """Bounds and number of heights, after a part of them was withdrawn, counted again, and given back."""
+    heights = minute_heights(spark, sf_dir)
+    kept = _kept_runs(spark, heights)
+    kept.recount(heights.filter(F.col(HEIGHT) % 2 == 0), 5_000, 9_000)
+    kept.recount(heights, 5_000, 9_000)
+    kept.compact()
+    return runs.summary(kept.runs())
+
+
+def kept_stride_gaps(spark, sf_dir):
+    sink = written(_sink(spark, sf_dir).select(HEIGHT), "sink")
+    return runs.block_gaps(_kept_runs(spark, sink, TEST.combine_win_size).runs(), TEST.combine_win_size)
+
+
+def kept_stride_histogram(spark, sf_dir):
+    sink = written(_sink(spark, sf_dir).select(HEIGHT), "sink")
+    return runs.stride_histogram(_kept_runs(spark, sink, TEST.combine_win_size).runs(), TEST.combine_win_size)
+
+
 def covers(spark, sf_dir):
     return backfill.covers(weekly_panel(spark, sf_dir), TEST.end_block)
 
@@ -341,6 +375,10 @@ QUERIES: dict[str, Query] = {
     "incremental_labels": incremental_labels,
     "carried_labels": carried_labels,
     "corrected_labels": corrected_labels,
+    "kept_gaps": kept_gaps,
+    "kept_heights": kept_heights,
+    "kept_stride_gaps": kept_stride_gaps,
+    "kept_stride_histogram": kept_stride_histogram,
     "covers": covers,
     "resume_point": resume_point,
     "append_dedup": append_dedup,

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -74,15 +75,17 @@ class Store:
         self.written.setdefault(name, {})[str(increment)] = folder
         return self.spark.read.parquet(folder).drop("increment")
 
-    def keep_state(self, frames: dict[str, DataFrame], end: int) -> None:
-        """Write the state and then, at once, name it and all parts of tables that belong to it."""
+    def keep_state(self, frames: dict[str, DataFrame], end: int, replaced: Sequence[str] = ()) -> None:
+        """Write the state and then, at once, name it and all parts of tables that belong to it. Of the tables in ``replaced``
+        only the parts written now belong to it.
+        """
         done = self._manifests()
         folder = f"{self.path}/state/{len(done):08d}"
         for name, frame in frames.items():
             frame.write.mode("overwrite").parquet(f"{folder}/{name}")
         parts = self._manifest()["parts"]
         for name, new in self.written.items():
-            parts[name] = parts.get(name, {}) | new
+            parts[name] = ({} if name in replaced else parts.get(name, {})) | new
         self.commit(folder, {"end": end, "parts": parts, "tables": list(frames)})
         self.written = {}
 
