@@ -1,0 +1,94 @@
+"""Height ranges of equal numbers of rows for parallel scans, counted by the queries that a database would run."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from stakescore.sources import jdbc
+
+
+def crowded(seed, hot):
+    """Heights with holes, most rows in a few of them."""
+    rng = random.Random(seed)
+    near = [rng.randint(5_000_000, 5_000_900) for _ in range(hot)]
+    far = [rng.randint(0, 9_000_000) for _ in range(2_000)]
+    return near + far + [h for h in range(7_000_000, 7_040_000, 8)]
+
+
+@pytest.fixture
+def counted(spark):
+    """A view of heights, and how its cells were counted."""
+    calls = []
+
+    def use(heights):
+        spark.createDataFrame([(h,) for h in heights], "block_height int").createOrReplaceTempView("crowded")
+
+        def count(width, spans):
+            rows = spark.sql(f"SELECT * FROM {jdbc.histogram_query('crowded', 0, width, spans)}").collect()
+            calls.append(len(rows))
+            return [(r.cell, r.height_rows) for r in rows]
+
+        return count, calls
+
+    yield use
+    spark.catalog.dropTempView("crowded")
+
+
+@pytest.mark.parametrize("seed, hot, partitions", [(1, 20_000, 16), (2, 3_000, 4), (3, 60_000, 32)])
+def test_parts_of_a_gapped_and_crowded_panel(spark, counted, seed, hot, partitions):
+    heights = crowded(seed, hot)
+    count, calls = counted(heights)
+    bounds = jdbc.even_bounds(jdbc.height_cells(count, 0, 9_000_000, partitions), 0, 9_000_000, partitions)
+    assert bounds[0][0] == 0 and bounds[-1][1] == 9_000_000
+    assert all(a[1] + 1 == b[0] for a, b in zip(bounds, bounds[1:]))
+    sizes = [spark.table("crowded").filter(p).count() for p in jdbc.range_predicates(bounds)]
+    assert len(sizes) == partitions and sum(sizes) == len(heights)
+    assert max(sizes) <= 1.5 * min(sizes)
+    # The same number of equal height ranges: most rows in one of them.
+    width = 9_000_001 // partitions
+    even = spark.table("crowded").groupBy(F.floor(F.col("block_height") / width)).count().agg(F.max("count")).first()[0]
+    assert even > 1.5 * max(sizes)
+    # Few rows come to the driver, in a few queries.
+    assert len(calls) <= 4 and sum(calls) < 200 * partitions * jdbc.CELLS_EACH
+
+
+def test_one_height_is_not_cut(counted):
+    heights = [500] * 900 + list(range(1000, 1100))
+    count, _ = counted(heights)
+    bounds = jdbc.even_bounds(jdbc.height_cells(count, 0, 2_000, 4), 0, 2_000, 4)
+    holding = [b for b in bounds if b[0] <= 500 <= b[1]]
+    assert len(holding) == 1 and len(bounds) >= 2
+    assert bounds[0][0] == 0 and bounds[-1][1] == 2_000
+
+
+@pytest.mark.parametrize("heights", [[], [7]])
+def test_nothing_to_cut(counted, heights):
+    count, _ = counted(heights)
+    assert jdbc.even_bounds(jdbc.height_cells(count, 0, 100, 8), 0, 100, 8) == [(0, 100)]
+    assert jdbc.range_predicates([(0, 100)]) == ["block_height >= 0 AND block_height <= 100"]
+
+
+def test_the_scan_asks_for_each_range(monkeypatch):
+    class Asked:
+        """A session that notes what it is asked to read."""
+
+        @property
+        def read(self):
+            return self
+
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    class Rows:
+        def collect(self):
+            return []
+
+    queries = []
+    monkeypatch.setattr(jdbc, "query", lambda spark, url, table, **settings: queries.append((table, settings)) or Rows())
+    url, table, predicates, properties = jdbc.even_sampling(Asked(), "jdbc:x", "validator_block", 10, 20, 4, user="u", password="p")
+    assert (url, table, predicates) == ("jdbc:x", "validator_block", ["block_height >= 10 AND block_height <= 20"])
+    assert properties == {
+        "driver": jdbc.POSTGRES_DRIVER, "user": "u", "password": "p", "customSchema": jdbc.AMOUNT_TYPES,
+    }
+    assert queries[0][1] == {"user": "u", "password": "p"} and "BETWEEN 10 AND 20" in queries[0][0]
