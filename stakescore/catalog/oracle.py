@@ -159,6 +159,33 @@ def labels(name: str, top_of: str, scope: str = "") -> str:
   WHERE label IS NOT NULL AND score IS NOT NULL AND self_bonded_score IS NOT NULL AND vote_propose_score IS NOT NULL)"""
 
 
+def fates(name: str) -> list[str]:
+    """CTE ``{name}_fates``: what became of the top validators' rows, with all causes."""
+    key = "block_height, operator_address"
+    return [
+        f"""{name}_horizon AS (
+  SELECT operator_address, new_block,
+    lead(score, {SIZE}) OVER (PARTITION BY operator_address ORDER BY new_block) IS NOT NULL AS ahead FROM {name}_buckets)""",
+        f"""{name}_fate AS (
+  SELECT CASE WHEN tokens IS NULL THEN 'null_tokens' WHEN delegator_shares IS NULL THEN 'null_delegator_shares'
+    WHEN self_bonded IS NULL THEN 'null_self_bonded' WHEN commission_rate IS NULL THEN 'null_commission_rate'
+    WHEN jailed IS NULL OR status IS NULL THEN 'null_flags' WHEN activity IS NULL THEN 'not_warm'
+    WHEN new_block IS NULL THEN 'dead_block' WHEN NOT ahead THEN 'no_horizon'
+    WHEN bucket IS NULL THEN 'null_bucket' ELSE 'labelled' END AS cause
+  FROM {name}_moving
+  LEFT JOIN (SELECT {key}, new_block FROM {name}_numbered) USING ({key})
+  LEFT JOIN {name}_horizon USING (operator_address, new_block)
+  LEFT JOIN (SELECT operator_address, new_block, 1 AS bucket FROM {name}_labels) USING (operator_address, new_block)
+  WHERE operator_address IN (SELECT operator_address FROM {name}_top))""",
+        f"""{name}_fates AS (
+  SELECT cause, count({name}_fate.cause) AS rows
+  FROM (VALUES ('null_tokens'), ('null_delegator_shares'), ('null_self_bonded'), ('null_commission_rate'), ('null_flags'),
+    ('not_warm'), ('dead_block'), ('no_horizon'), ('null_bucket'), ('labelled')) AS causes(cause)
+  LEFT JOIN {name}_fate USING (cause) GROUP BY cause
+  UNION ALL SELECT 'rows', count(*) FROM {name}_fate)""",
+    ]
+
+
 # The batch loop, step by step; a tail is cut to whole buckets and needs at least one labelled bucket.
 BATCHES = f"""bounds AS (SELECT min(block_height) AS lo, max(block_height) AS hi FROM panel),
 batches AS (
@@ -300,6 +327,14 @@ def statements(top: int = TEST.top_validators) -> dict[str, str]:
         "incremental_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
         "carried_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
         "corrected_labels": rows(labelled, "a_labels", *BUCKET, "label", types=SINK),
+        "arriving_labels": rows([STORED_PANEL, *labelled[1:]], "a_labels", *BUCKET, "label", types=SINK),
+        "dropped_rows": query([*labelled, *fates("a")], "SELECT * FROM a_fates"),
+        "sketched_counts": query(
+            [HEIGHTS],
+            """SELECT 'rows' AS name, count(block_height) AS exact, true AS within FROM heights
+UNION ALL SELECT 'heights', count(DISTINCT block_height), true FROM heights
+UNION ALL SELECT 'median', count(block_height), true FROM heights""",
+        ),
         "covers": query(
             [PANEL],
             f"SELECT max(block_height) AS max_height, max(block_height) >= {TEST.end_block} AS covered FROM panel",

@@ -18,13 +18,15 @@ from stakescore.catalog.panels import (
 )
 from stakescore.catalog.workdir import give_folder
 from stakescore.operators import labeling, quality, scoring
-from stakescore.plans import data_scoring as scoring_plan
+from stakescore.plans import accounting, data_scoring as scoring_plan
 from stakescore.staging import staging_path, written
 from stakescore.schemas import HEIGHT, KEY
 from stakescore.operators.chunked import Layout
 from stakescore.sources import files
 from stakescore.sources.layout import StoredPanel
 from stakescore.incremental import backfill, carried, corrections, runs
+from stakescore.incremental.arrivals import Arrivals
+from stakescore.incremental.sketches import Sketches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +283,50 @@ def corrected_labels(spark, sf_dir):
     return store.labels()
 
 
+def arriving_labels(spark, sf_dir):
+    """The sink after three arrivals of files, the last with rows that come late, each taken by a run of its own."""
+    source, path = staging_path(spark, "arriving"), staging_path(spark, "store")
+    panel = written(schemas.project(weekly_panel(spark, sf_dir), schemas.PANEL_SCHEMA), "panel")
+    first, second, third, _ = TEST_INCREMENTS
+    late = F.col(HEIGHT).between(third - 20, third - 18)
+    for part in ((F.col(HEIGHT) <= first), (F.col(HEIGHT) > first) & (F.col(HEIGHT) <= third) & ~late, late | (F.col(HEIGHT) > third)):
+        panel.filter(part).write.mode("append").parquet(source)
+        arrivals = Arrivals(spark, source, path, TEST, chunk=TEST_CHUNK)
+        arrivals.run()
+    arrivals.finish()
+    return arrivals.labels()
+
+
+def dropped_rows(spark, sf_dir):
+    """How many rows of the top validators the whole run drops, by cause."""
+    _, account = accounting.accounted_scoring(_panel(spark, sf_dir), TEST, chunk=TEST_CHUNK)
+    return accounting.frame(spark, account)
+
+
+def sketched_counts(spark, sf_dir):
+    """Counts of the minutes of all events from sketches of four increments, one of them noted twice: the exact numbers, and whether the
+    sketches' lie within three times their error.
+    """
+    heights = minute_heights(spark, sf_dir)
+    sketches = Sketches(spark, staging_path(spark, "sketches"), [HEIGHT], [HEIGHT])
+    for part in (2, 0, 3, 1, 3):
+        sketches.add(heights.filter(F.pmod(F.floor(F.col(HEIGHT) / 1000), F.lit(4)) == part), part)
+    noted = sketches.counts()
+    exact = heights.withColumn("_median", sketches.quantiles(HEIGHT, [0.5]).select("value").scalar()).agg(
+        F.count(HEIGHT).alias("rows"), F.countDistinct(HEIGHT).alias("heights"),
+        F.count_if(F.col(HEIGHT) < F.col("_median")).alias("_below"), F.count_if(F.col(HEIGHT) <= F.col("_median")).alias("_upto"),
+    ).withColumns({"_noted": noted.select("rows").scalar(), "_estimate": noted.select(HEIGHT).scalar()})
+    middle, slack = F.col("rows") / 2, 3 * sketches.rank_error() * F.col("rows")
+    within = {
+        "rows": ("rows", F.col("_noted") == F.col("rows")),
+        "heights": ("heights", F.abs(F.col("_estimate") - F.col("heights")) <= 3 * sketches.distinct_error() * F.col("heights")),
+        "median": ("rows", (F.col("_below") <= middle + slack) & (F.col("_upto") >= middle - slack)),
+    }
+    return exact.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.col(number).alias("exact"), holds.alias("within")) for name, (number, holds) in within.items()
+    ])))
+
+
 def _kept_runs(spark, heights, stride=1) -> runs.HeightRuns:
     """The runs of ``heights`` after increments in falling order that overlap, the first of them twice."""
     kept = runs.HeightRuns(spark, staging_path(spark, "runs"), stride, chunk=TEST_RUN_CHUNK)
@@ -375,6 +421,9 @@ QUERIES: dict[str, Query] = {
     "incremental_labels": incremental_labels,
     "carried_labels": carried_labels,
     "corrected_labels": corrected_labels,
+    "arriving_labels": arriving_labels,
+    "dropped_rows": dropped_rows,
+    "sketched_counts": sketched_counts,
     "kept_gaps": kept_gaps,
     "kept_heights": kept_heights,
     "kept_stride_gaps": kept_stride_gaps,

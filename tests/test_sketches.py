@@ -1,0 +1,121 @@
+"""Counts from stored sketches against exact ones."""
+
+import math
+import random
+
+import pytest
+
+from stakescore.incremental.sketches import Sketches
+
+SHAPE = "block_height int, operator_address string, score double"
+
+
+def some_rows(seed, n):
+    rng = random.Random(seed)
+    return [(rng.randrange(40_000), f"val{min(rng.randrange(40), 20)}", rng.lognormvariate(0, 2)) for _ in range(n)]
+
+
+@pytest.fixture()
+def at(tmp_path):
+    return str(tmp_path / "sketches")
+
+
+def test_counts_lie_within_their_error(spark, at):
+    kept = Sketches(spark, at, ["block_height", "operator_address"], ["score"])
+    rows = some_rows(1, 30_000)
+    for increment, start in enumerate(range(0, 30_000, 7_500)):
+        kept.add(spark.createDataFrame(rows[start:start + 7_500], SHAPE), increment)
+    found = kept.counts().first()
+    heights = len({r[0] for r in rows})
+    assert found.rows == 30_000 and found.operator_address == len({r[1] for r in rows})
+    assert abs(found.block_height - heights) <= 3 * kept.distinct_error() * heights
+    ordered = sorted(r[2] for r in rows)
+    for r in kept.quantiles("score", [0.01, 0.25, 0.5, 0.99]).collect():
+        rank = sum(x <= r.value for x in ordered) / len(ordered)
+        assert abs(rank - r.fraction) <= 3 * kept.rank_error()
+    cells = sorted(kept.histogram("score", [0.1, 1.0, 10.0]).collect(), key=lambda r: -math.inf if r.low is None else r.low)
+    assert [(r.low, r.high) for r in cells] == [(None, 0.1), (0.1, 1.0), (1.0, 10.0), (10.0, None)]
+    assert sum(r.rows for r in cells) == 30_000
+    for r in cells:
+        exact = sum((r.low is None or x > r.low) and (r.high is None or x <= r.high) for x in ordered)
+        assert abs(r.rows - exact) <= 6 * kept.rank_error() * 30_000
+
+
+def test_groups_of_which_one_holds_most(spark, at):
+    kept = Sketches(spark, at, ["block_height"], by=["operator_address"], precision=14)
+    rows = some_rows(2, 8_000)
+    for increment in (1, 0):
+        kept.add(spark.createDataFrame(rows[increment::2], SHAPE), increment)
+    found = {r.operator_address: r for r in kept.counts().collect()}
+    for name in {r[1] for r in rows}:
+        own = [r[0] for r in rows if r[1] == name]
+        assert found[name].rows == len(own)
+        assert abs(found[name].block_height - len(set(own))) <= 1 + 3 * kept.distinct_error() * len(set(own))
+    assert len(found) == 21
+
+
+def test_an_increment_counts_once(spark, at):
+    kept = Sketches(spark, at, ["block_height"], ["score"])
+    rows = spark.createDataFrame(some_rows(3, 400), SHAPE)
+    for increment in (0, 1, 0, 1, 1):
+        kept.add(rows, increment)
+    assert kept.counts().first().rows == 800
+    kept.add(rows.limit(100), 0)  # corrected: its rows are these now
+    assert kept.counts().first().rows == 500
+    kept.compact()
+    assert kept.store.table("sketches").count() == 1 and kept.counts().first().rows == 500
+    kept.add(rows, 2)
+    assert kept.counts().first().rows == 900
+
+
+def test_a_killed_increment_counts_for_nothing(spark, at, monkeypatch):
+    kept = Sketches(spark, at, ["block_height"])
+    rows = spark.createDataFrame(some_rows(4, 300), SHAPE)
+    kept.add(rows, 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(kept.store, "commit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            kept.add(rows, 1)
+    again = Sketches(spark, at, ["block_height"])
+    assert again.counts().first().rows == 300
+    again.add(rows, 1)
+    assert again.counts().first().rows == 600
+
+
+def test_no_rows_and_no_values(spark, at):
+    kept = Sketches(spark, at, ["block_height"], ["score"])
+    with pytest.raises(ValueError, match="no increment"):
+        kept.counts()
+    kept.compact()
+    kept.add(spark.createDataFrame([], SHAPE), 0)
+    assert tuple(kept.counts().first()) == (0, 0)
+    kept.add(spark.createDataFrame([(None, "a", None), (None, "b", math.nan)], SHAPE), 1)
+    assert tuple(kept.counts().first()) == (2, 0)
+    assert [tuple(r) for r in kept.quantiles("score", [0.5, 0.9]).collect()] == [(0.5, None), (0.9, None)]
+    assert [r.rows for r in kept.histogram("score", [1.0]).collect()] == [0, 0]
+    kept.add(spark.createDataFrame([(7, "a", 2.5)], SHAPE), 2)
+    assert tuple(kept.counts().first()) == (3, 1)
+    assert kept.quantiles("score", [0.5]).first().value == 2.5
+
+
+def test_counting_reads_no_rows_again(spark, at, tmp_path):
+    source = str(tmp_path / "rows")
+    spark.createDataFrame(some_rows(5, 200), SHAPE).write.parquet(source)
+    kept = Sketches(spark, at, ["block_height"], ["score"])
+    kept.add(spark.read.parquet(source), 0)
+    for frame in (kept.counts(), kept.quantiles("score", [0.5]), kept.histogram("score", [1.0])):
+        assert frame.inputFiles() and not any(source in f for f in frame.inputFiles())
+
+
+def test_other_columns_and_numbers_are_an_error(spark, at):
+    Sketches(spark, at, ["block_height"]).add(spark.createDataFrame(some_rows(6, 9), SHAPE), 0)
+    with pytest.raises(ValueError, match="columns"):
+        Sketches(spark, at, ["operator_address"]).counts()
+    with pytest.raises(ValueError, match="precision"):
+        Sketches(spark, at, ["block_height"], precision=13).counts()
+    with pytest.raises(ValueError, match="precision"):
+        Sketches(spark, at, precision=3)
+    with pytest.raises(ValueError, match="quantiles"):
+        Sketches(spark, at, ["block_height"]).quantiles("score", [0.5])
+    with pytest.raises(ValueError, match="ascend"):
+        Sketches(spark, at, ["block_height"]).histogram("block_height", [2.0, 1.0])
