@@ -49,8 +49,10 @@ class DigestIndex:
         first = new.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
         known = self.spark.table(self.table).select("digest").hint("merge")
         fresh = first.join(known, "digest", "left_anti")
+        # Dealt by Spark's own number of the bucket, a bucket is one file of one task, whatever the number of partitions.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
         (
-            fresh.repartition(self.buckets, "digest").write.format("parquet").mode("append")
+            fresh.repartition(self.buckets, bucket).write.format("parquet").mode("append")
             .bucketBy(self.buckets, "digest").sortBy("digest").option("path", self.path).saveAsTable(self.table)
         )
 

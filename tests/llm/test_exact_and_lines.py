@@ -201,3 +201,15 @@ def test_telling_words_leave_out_only_what_cannot_reach_the_threshold():
         rest = sum(x * x for w, x in vector.items() if w not in kept) ** 0.5
         assert rest < 0.75 * norm
     assert "the" not in kept and "mit" in kept and "gnu" in kept
+
+
+def test_a_load_writes_one_file_for_each_bucket_however_it_is_dealt(spark, docs_of, monkeypatch):
+    """As the digests were dealt out, each of many tasks wrote a file for every bucket."""
+    frame, dealt = type(spark.range(0)), type(spark.range(0)).repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: dealt(self, max(n, 37) if by else n, *by))
+    index = digest_index.DigestIndex(spark, staging.staging_path(spark, "digest-index"), buckets=8)
+    got = digest_index.exact_duplicates(docs_of([(i, f"text {i % 200}") for i in range(400)]), index, loads=2).collect()
+    assert len(got) == 400 and sum(r["kept"] for r in got) == 200
+    assert len(index.rows().inputFiles()) <= 2 * 8
+    known = spark.table(index.table)
+    assert known.select(F.countDistinct("digest")).first()[0] == known.count() == 200
