@@ -23,7 +23,7 @@ from stakescore.staging import staging_path, written
 from stakescore.schemas import HEIGHT, KEY
 from stakescore.operators.chunked import Layout
 from stakescore.sources import files
-from stakescore.sources.layout import StoredPanel
+from stakescore.sources.layout import StoredPanel, buckets_for
 from stakescore.incremental import backfill, carried, corrections, runs
 from stakescore.incremental.arrivals import Arrivals
 from stakescore.incremental.sketches import Sketches
@@ -60,8 +60,8 @@ def _stored_panel(spark, sf_dir):
 def _laid_out(spark, sf_dir) -> StoredPanel:
     """The weekly panel bucketed by validator and chunk, in two loads that share chunks."""
     layout = Layout(TEST_CHUNK, TEST.vote_proposed_win_size - 1)
-    stored = StoredPanel.create(spark, staging_path(spark, "laid-out"), layout, TEST_BUCKETS)
-    panel = weekly_panel(spark, sf_dir)
+    panel = _panel(spark, sf_dir)
+    stored = StoredPanel.create(spark, staging_path(spark, "laid-out"), layout, buckets_for(panel.count(), TEST_BUCKETS))
     stored.append(panel.filter(F.col(HEIGHT) > TEST_INCREMENTS[0]))
     stored.append(panel.filter(F.col(HEIGHT) <= TEST_INCREMENTS[0]))
     return stored

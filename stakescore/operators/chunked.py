@@ -43,6 +43,12 @@ class Layout:
         if self.chunk < 1 or self.halo < 0:
             raise ValueError("chunk must be positive and halo not negative")
 
+    def place(self, df: DataFrame, clock: str = HEIGHT) -> DataFrame:
+        """The rows with their chunk, and copies of those in its halo; a halo longer than a chunk reaches several chunks ahead."""
+        home, last = chunk_of(F.col(clock), self.chunk), chunk_of(F.col(clock).cast("bigint") + self.halo, self.chunk)
+        placed = df.withColumn("_home", home).withColumn(self.CHUNK, F.explode(F.sequence(home, last)))
+        return placed.withColumn(self.HOME, F.col(self.CHUNK) == F.col("_home")).drop("_home")
+
     def at_home(self, df: DataFrame) -> DataFrame:
         """The rows without the copies and without the columns of the layout."""
         return df.filter(self.HOME).drop(self.CHUNK, self.HOME)

@@ -15,10 +15,17 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stakescore.operators.chunked import Layout, chunk_of
+from stakescore.operators.chunked import Layout
 from stakescore.schemas import HEIGHT, OPERATOR, PANEL_SCHEMA, project
 
 BUCKETS = 64
+#: Rows of a load that one task sorts and writes, and of a table that one bucket should hold.
+ROWS_PER_TASK = ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int, least: int = BUCKETS) -> int:
+    """Buckets of a panel of so many rows: a window over (validator, chunk) sorts a bucket in one task."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
 
 
 @dataclass(frozen=True)
@@ -57,18 +64,14 @@ class StoredPanel:
         return cls(spark, path, layout, numbers.buckets, table)
 
     def append(self, panel: DataFrame) -> None:
-        """Add rows, of any heights: each one knows by itself the chunks it belongs to."""
-        home = chunk_of(F.col(HEIGHT), self.layout.chunk)
-        # A halo longer than a chunk reaches several chunks ahead.
-        last = chunk_of(F.col(HEIGHT).cast("bigint") + self.layout.halo, self.layout.chunk)
-        placed = (
-            project(panel, PANEL_SCHEMA)
-            .withColumn("_home", home)
-            .withColumn(self.layout.CHUNK, F.explode(F.sequence(home, last)))
-            .withColumn(self.layout.HOME, F.col(self.layout.CHUNK) == F.col("_home")).drop("_home")
-        )
+        """Add rows, of any heights: each one knows by itself the chunks it belongs to. ``panel`` is read twice, once to count
+        its rows: pass a table. The tasks of a load go with its rows, whatever the number of buckets.
+        """
+        placed = self.layout.place(project(panel, PANEL_SCHEMA))
+        # Tasks in a multiple of the buckets: as both go by the same hash, a task has rows of one bucket and writes one file.
+        tasks = self.buckets * -(-panel.count() // (self.buckets * ROWS_PER_TASK)) or self.buckets
         (
-            placed.repartition(self.buckets, OPERATOR, self.layout.CHUNK).write.format("parquet").mode("append")
+            placed.repartition(tasks, OPERATOR, self.layout.CHUNK).write.format("parquet").mode("append")
             .bucketBy(self.buckets, OPERATOR, self.layout.CHUNK).sortBy(OPERATOR, self.layout.CHUNK, HEIGHT)
             .option("path", f"{self.path}/rows").saveAsTable(self.table)
         )

@@ -8,6 +8,7 @@ from stakescore.operators import scoring
 from stakescore.operators.chunked import Layout, placed_trailing_sum, trailing_sum
 from stakescore.plans import data_scoring as plans
 from stakescore.schemas import HEIGHT, OPERATOR, PANEL_SCHEMA, project
+from stakescore.sources import layout
 from stakescore.sources.layout import StoredPanel
 from tests.conftest import rows_of
 
@@ -127,3 +128,23 @@ def test_the_whole_run_shuffles_the_panel_for_block_values_only(panel, stored, w
     exchanged = [line for line in plan_of(rows).splitlines() if "Exchange" in line]
     assert len(exchanged) == 2 and plan_of(rows).count("Bucketed: true") == 2
     assert len(rows.columns) == 5
+
+
+def test_a_load_is_dealt_by_its_rows_and_not_by_the_buckets(spark, tmp_path, panel, monkeypatch):
+    monkeypatch.setattr(layout, "ROWS_PER_TASK", 300)
+    stored = StoredPanel.create(spark, str(tmp_path / "panel"), Layout(16, 3), buckets=2)
+    stored.append(panel)
+    files = [r[1] for r in stored.placed().groupBy(F.input_file_name()).count().collect()]
+    assert len(files) > 4 and max(files) < 1_000
+    assert rows_of(stored.rows()) == rows_of(panel)
+    moved = scoring.moving_vote_sum(points_of(stored.placed(), Layout.CHUNK, Layout.HOME), 4, layout=stored.layout)
+    assert rows_of(moved) == rows_of(scoring.moving_vote_sum(points_of(panel), 4))
+
+
+def test_buckets_grow_with_the_panel(spark, sf_dir, monkeypatch):
+    from stakescore.catalog import queries
+
+    assert [layout.buckets_for(n, 4) for n in (0, 4_000_000, 4_000_001)] == [4, 4, 5]
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 200)
+    stored = queries._laid_out(spark, sf_dir)
+    assert stored.buckets > 4 and stored.rows().count() == weekly_panel(spark, sf_dir).count()
