@@ -29,7 +29,7 @@ from stakescore.operators.chunked import CHUNK, forward_mean
 from stakescore.operators.quality import height_bounds
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as plans
-from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, OPERATOR, project
+from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, OPERATOR, PANEL_COLUMNS, project
 from stakescore.staging import Stage, written
 
 #: The file that names a state's tables and the parts of the others.
@@ -172,12 +172,13 @@ def advance(
         top = stage(top.select(OPERATOR), "top")
 
     older = None if state is None else state["validators"].select(OPERATOR, "rows_before")
-    everyone = stage(plans.activity_rows(recent, params, (), chunk, older), "activity")
+    everyone = stage(plans.activity_once(recent, params, (), chunk, older), "activity")
     warm = plans.eligible(params) & fresh
     blocks = store.keep("blocks", end_block, plans.block_values(
         plans.total_values(recent.filter(fresh)), plans.largest_activity(everyone.filter(warm)), params))
-    own = recent if top is None else labeling.keep_validators(recent, top, top.count())
-    rows = plans.scored_rows(plans.activity_rows(own, params, chunk=chunk, rows_before=older).filter(warm), blocks, params)
+    # Their rows are written once: all uses of them together would read the panel as often.
+    own = recent if top is None else stage(labeling.keep_validators(recent.select(*PANEL_COLUMNS), top, top.count()), "own")
+    rows = plans.scored_rows(plans.activity_once(own, params, chunk=chunk, rows_before=older).filter(warm), blocks, params)
     closed = everyone.limit(0).select(OPERATOR, F.lit(0).cast("bigint").alias("closed"))
     if state is not None:
         rows = rows.unionByName(state["open"])

@@ -22,7 +22,7 @@ from stakescore.operators import labeling
 from stakescore.operators.chunked import CHUNK, forward_mean, row_numbers
 from stakescore.params import ScoringParams
 from stakescore.plans import data_scoring as plans
-from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, OPERATOR, project
+from stakescore.schemas import BLOCK_LABEL_SCHEMA, HEIGHT, KEY, OPERATOR, PANEL_COLUMNS, project
 from stakescore.staging import Stage, written
 
 #: Height ranges of one scan.
@@ -125,8 +125,8 @@ class _Correction:
         """Activity rows of complete, warm rows within ``ranges``; the panel is read there and one activity window before."""
         rows = self.panel.filter(within(ranges, self.win - 1))
         if of is not None:
-            rows = rows.join(of.select(OPERATOR).distinct(), OPERATOR, "left_semi")
-        found = plans.activity_rows(rows, self.params, columns, self.chunk).filter(F.col("_complete") & within(ranges))
+            rows = self.stage(rows.select(*PANEL_COLUMNS).join(of.select(OPERATOR).distinct(), OPERATOR, "left_semi"), "own")
+        found = plans.activity_once(rows, self.params, columns, self.chunk).filter(F.col("_complete") & within(ranges))
         warm = validators.filter("warm_from is not null").select(OPERATOR, "warm_from")
         return found.join(warm, OPERATOR).filter(F.col(HEIGHT) >= F.col("warm_from")).drop("warm_from")
 

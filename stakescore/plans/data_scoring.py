@@ -62,6 +62,18 @@ def activity_rows(
     return summed.drop("vote_propose_point")
 
 
+def activity_once(
+    panel: DataFrame, params: ScoringParams, columns: Sequence[str] = LABEL_COLUMNS, chunk: int = CHUNK, rows_before: DataFrame | None = None,
+) -> DataFrame:
+    """:func:`activity_rows`. Where the activity window is at most half a chunk, rows are shuffled with copies of the last heights
+    before a chunk, which then are fewer than the expiries of all rows, and ``panel`` is read twice, once for keys only.
+    """
+    if 2 * params.vote_proposed_win_size > chunk:
+        return activity_rows(panel, params, columns, chunk, rows_before)
+    layout = Layout(chunk, params.vote_proposed_win_size - 1)
+    return activity_rows(layout.place(panel), params, columns, chunk, rows_before, layout)
+
+
 def eligible(params: ScoringParams) -> Column:
     """Complete and warmed up."""
     return F.col("_complete") & (F.col("_position") >= params.vote_proposed_win_size)
@@ -125,7 +137,7 @@ def survey(panel: DataFrame, params: ScoringParams, stage: Stage = written, chun
     """
     first = params.start_block - params.vote_proposed_win_size + 1
     recent = panel.filter(F.col(HEIGHT).between(first, params.end_block))
-    rows = activity_rows(recent, params, SURVEY_COLUMNS, chunk, rows_until(panel, first))
+    rows = activity_once(recent, params, SURVEY_COLUMNS, chunk, rows_until(panel, first))
     rows = stage(rows.filter(eligible(params) & (F.col(HEIGHT) >= params.start_block)), "survey")
     totals = total_values(panel.filter(F.col(HEIGHT).between(params.start_block, params.end_block)))
     blocks = stage(block_values(totals, largest_activity(rows), params), "survey-blocks")
