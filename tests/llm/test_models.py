@@ -209,3 +209,35 @@ def test_few_calibration_texts_borrow_from_other_languages(monkeypatch):
     names = ["few" if i < 8 else "many" for i in range(len(texts))]
     model = toxicity.fit(texts, kinds, names, 0.3)
     assert set(model.thresholds) == {"few", "many"} and np.isfinite(list(model.thresholds.values())).all()
+
+
+@pytest.mark.parametrize("each", [2_048, 40])
+def test_every_word_of_every_labelled_text_teaches(spark, docs_of, monkeypatch, each):
+    """Also with several tasks, whose models are averaged."""
+    monkeypatch.setattr(toxicity, "TEXTS_PER_TASK", each)
+    rows, labels = toxic_corpus()
+    rows[4] = (4, "w1 " * 30_000 + "last", "en", None)
+    seen = {}
+
+    def spy(name):
+        real = getattr(toxicity, name)
+
+        def run(texts, *more):
+            seen[name] = texts.selectExpr("count(*)", "sum(length(words)) div 8").first()
+            return real(texts, *more)
+
+        monkeypatch.setattr(toxicity, name, run)
+
+    spy("_passed")
+    spy("_limited")
+    got = toxicity.toxicity(docs_of(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    taught = [t for i, t, _, _ in rows if not out_of_five(i)]
+    assert sum(s[0] for s in seen.values()) == len(taught)
+    assert sum(s[1] for s in seen.values()) == sum(len(toxicity.WORDS(t)) for t in taught)
+    held = [r for r in got if r["held_out"]]
+    assert np.mean([r["predicted"] == (r["doc_id"] % 3 == 0) for r in held]) > 0.97
+
+
+def test_packed_words_are_their_rows():
+    rows = np.array([toxicity.hashed(w) for w in ("a", "vile", "日本語", "x" * 900)], np.int32)
+    assert (toxicity.unpacked(toxicity.packed(rows)) == rows).all()
