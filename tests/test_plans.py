@@ -9,6 +9,7 @@ from stakescore.catalog.queries import QUERIES
 from stakescore.operators import labeling, scoring
 from stakescore.plans import data_scoring as plans
 from stakescore.staging import lazy, written
+from tests.conftest import rows_of
 
 
 @pytest.fixture(scope="module")
@@ -142,3 +143,11 @@ def test_one_copied_row_fails_the_run(panel, run):
     copied = written(panel.unionByName(panel.limit(1)), "copied")
     with pytest.raises(Exception, match="block and validator are not a key"):
         run(copied).collect()
+
+
+@pytest.mark.parametrize("chunk", [15, 16, 64, 16_384])
+def test_activity_by_copies_ahead_is_the_same(panel, chunk):
+    once = plans.activity_once(panel, TEST, chunk=chunk)
+    rows = plans.activity_rows(panel, TEST, chunk=chunk)
+    assert once.columns == rows.columns and rows_of(once) == rows_of(rows)
+    assert plan_of(once).count("FileScan") == (3 if chunk < 16 else 2)
