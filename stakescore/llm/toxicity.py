@@ -468,8 +468,9 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     if len(shares) < 2:
         return None, content
     prior, number = shares[1] / (shares[0] + shares[1]), shares[0] + shares[1]
+    # The labels grow with the documents, so they are never broadcast.
     texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter(
-        ~held_out("id")).join(marked, "id").coalesce(max(1, number // TEXTS_PER_TASK))
+        ~held_out("id")).join(marked.hint("merge"), "id").coalesce(max(1, number // TEXTS_PER_TASK))
     for calibrates in (F.pmod(F.xxhash64("id"), F.lit(4)) == 3, F.lit(True)):
         words = staging.written(worded(texts.withColumn("calibrate", calibrates), content), "words", "zstd")
         sizes = {(r["calibrate"], r["toxic"]): r["count"] for r in words.groupBy("calibrate", "toxic").count().collect()}
