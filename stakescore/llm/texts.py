@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from stakescore.llm.batches import batches_of
+from stakescore.llm.kept import released
 
 #: Texts that are Python's at once.
 AT_ONCE = 1024
@@ -27,6 +28,7 @@ def added(docs: DataFrame, doc_id: str, text: str, make: Callable[[], Columns],
     kept = ["doc_id", *["text", "rest"] * carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         columns = make()
         for batch in batches_of(batches, AT_ONCE):
             yield pa.record_batch({c: batch.column(c) for c in kept} | columns(batch.column("text").to_pylist()))

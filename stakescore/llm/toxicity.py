@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from stakescore import staging
 from stakescore.llm import language
 from stakescore.llm.batches import batches_of
+from stakescore.llm.kept import released
 from stakescore.llm.split import held_out
 from stakescore.llm.texts import added
 
@@ -49,7 +50,10 @@ GRAIN = 1 << 10
 ENOUGH = 12
 #: Words worked on at once.
 STRETCH = 1 << 15
-REMEMBERED = 300_000
+#: Words whose rows a task keeps at hand; more hardly save time.
+REMEMBERED = 100_000
+#: Rows of a model sent at once.
+SENT = 1 << 13
 
 WORDS = re.compile(r"\w+").findall
 
@@ -343,7 +347,11 @@ def packed(rows: np.ndarray) -> np.ndarray:
 
 
 def unpacked(words: np.ndarray) -> np.ndarray:
-    return np.stack([words % BUCKETS, BUCKETS + words // BUCKETS % BUCKETS, 2 * BUCKETS + words // BUCKETS**2], axis=1).astype(np.int32)
+    rows = np.empty((len(words), 3), np.int32)
+    rows[:, 0] = words % BUCKETS
+    rows[:, 1] = BUCKETS + words // BUCKETS % BUCKETS
+    rows[:, 2] = 2 * BUCKETS + words // BUCKETS**2
+    return rows
 
 
 def worded(texts: DataFrame, content: dict[str, bytes]) -> DataFrame:
@@ -352,6 +360,7 @@ def worded(texts: DataFrame, content: dict[str, bytes]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         vocabulary, classifier = Vocabulary(), language.Classifier(content)
         for batch in batches_of(batches, 256):
             rows, at = batch.to_pylist(), 0
@@ -381,8 +390,9 @@ def held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.nda
         counts = np.fromiter(map(len, words), np.int64, len(words))
         return unpacked(np.concatenate(words)), counts, np.array([r["toxic"] for r in some], np.float64), [r["language"] for r in some]
 
+    released()
     some, size = [], 0
-    for batch in batches:
+    for batch in batches_of(batches, 256):
         for row in batch.to_pylist():
             some.append(row)
             size += len(row["words"]) // 8
@@ -412,18 +422,22 @@ def _passed(texts: DataFrame, training: Training, turn: int) -> None:
     context = texts.sparkSession.sparkContext
     shared = context.broadcast(pickle.dumps(training))
 
+    def sent(at: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"at": pa.array(at, pa.int32())} | {f"v{i}": pa.array(values[:, i]) for i in range(2 * DIM)})
+
     def run(batches):
         own, order, steps = pickle.loads(shared.value), np.random.default_rng([11, turn]), None
         before = own.model.table.copy()
         for rows, counts, labels, _ in held(batches):
             steps = own.learn(rows, counts, labels, order) or own.steps
         if steps:
-            at = np.flatnonzero((own.model.table != before).any(axis=1))
-            values = np.concatenate([own.model.table[at], own.squares[at]], axis=1).astype(np.float64)
+            changed = np.flatnonzero((own.model.table != before).any(axis=1))
+            del before
+            for some in np.split(changed, range(SENT, len(changed), SENT)):
+                yield sent(some, np.concatenate([own.model.table[some], own.squares[some]], axis=1).astype(np.float64))
             dense = np.zeros((len(own.dense()), 2 * DIM))
             dense[:, :3], dense[:, 3] = own.dense(), steps
-            at, values = np.concatenate([at, -1 - np.arange(len(dense))]), np.concatenate([values, dense])
-            yield pa.record_batch({"at": pa.array(at, pa.int32())} | {f"v{i}": pa.array(values[:, i]) for i in range(2 * DIM)})
+            yield sent(-1 - np.arange(len(dense)), dense)
 
     names = [f"v{i}" for i in range(2 * DIM)]
     found = texts.mapInArrow(run, "at int, " + ", ".join(f"{n} double" for n in names)).groupBy("at").agg(

@@ -13,12 +13,12 @@ import re
 import sys
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from stakescore.llm.batches import batches_of
+from stakescore.llm.kept import kept
 
 #: Texts encoded at once.
 AT_ONCE = 1024
@@ -152,7 +152,7 @@ def _latin(text: str) -> bool:
     return True
 
 
-@lru_cache(maxsize=2)
+@kept
 def word_encoder(path: str) -> WordEncoder:
     """One encoder for each worker and vocabulary."""
     return WordEncoder(path)
