@@ -12,7 +12,7 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,11 +75,18 @@ class Memory(dict):
             value = self.make(key)
             if len(key) > LONGEST_REMEMBERED:
                 return value
+        self.keep(key, value)
+        return value
+
+    def keep(self, key: str, value: bytes) -> None:
         if len(self) >= REMEMBERED:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
+
+    def unknown(self, keys: Iterable[str]) -> list[str]:
+        """Those of the keys, once each, that would have to be made and then be kept."""
+        return [k for k in dict.fromkeys(keys) if k not in self and k not in self.old and len(k) <= LONGEST_REMEMBERED]
 
 
 class WordEncoder:

@@ -1,6 +1,8 @@
 """Byte-level BPE against the tiktoken library."""
 
+import base64
 import hashlib
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -65,3 +67,31 @@ def test_another_pattern_is_matched_as_it_says():
     own, library = byte_bpe.ByteBpe(PATH, pattern), tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=CODER.ranks, special_tokens={})
     for text in ["Hello World, fine", *filter(None, ODD_TEXTS)]:
         assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+
+
+def test_new_pre_tokens_of_many_texts_go_through_one_queue(monkeypatch):
+    coder = byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+    texts = [f"start qx{i}zvq, wjk{i % 7}xq\nzzq{i}.\n" + "y" * (i % 60) for i in range(200)] + [None, "", "x  y"]
+    queues, merge = [], coder.merge
+    monkeypatch.setattr(coder, "merge", lambda pieces: queues.append(len(pieces)) or merge(pieces))
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(t and t.rstrip() for t in texts)]
+    assert got == [TIKTOKEN.encode_ordinary((t or "").rstrip()) for t in texts]
+    assert max(queues) > 100
+
+
+def test_a_merge_may_make_a_pair_of_lower_rank(tmp_path):
+    tokens = [b"abc", b"cab", b"ab", b"bca", b"ca", b"abcab", *[bytes([b]) for b in b"abc"]]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % rank for rank, t in enumerate(tokens)))
+    coder, library = byte_bpe.ByteBpe(str(path), public_tokenizers.PATTERN), tiktoken.Encoding(
+        "low", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: rank for rank, t in enumerate(tokens)}, special_tokens={})
+    pieces = ["".join(p) for n in range(1, 8) for p in product("abc", repeat=n)]
+    pieces = [p for p in pieces if p.encode() not in tokens]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.merge([p.encode() for p in pieces])] == [library.encode_ordinary(p) for p in pieces]
+
+
+def test_a_pattern_that_matches_nothing_adds_no_ids():
+    coder = byte_bpe.ByteBpe(PATH, r"\p{L}*")
+    assert coder.encode("1") == b""
+    assert coder.decode(coder.encode("1qxzvq")) == b"qxzvq"
+    assert coder.merge([b"", b"qxzvq", b""])[::2] == [b"", b""]
